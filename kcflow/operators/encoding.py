@@ -38,6 +38,19 @@ def code_dictionary(frames: Sequence[DataFrame], col: str, code_col: str = "code
     return ranked.select(col, (F.col("_kc_pos") - 1).cast("bigint").alias(code_col))
 
 
+def code_dictionaries(frame: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(feature, value, code)`` for several string columns in one pass.
+
+    One distinct over the stacked columns and one numbering grouped by
+    feature; a huge dictionary (say students) is still cut across tasks.
+    """
+    stacked = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
+                        for c in cols])
+    d = frame.select(F.inline(stacked)).distinct()
+    ranked = running_index(d, ["feature"], [F.col("value").asc_nulls_first()], "_kc_pos")
+    return ranked.select("feature", "value", (F.col("_kc_pos") - 1).cast("bigint").alias("code"))
+
+
 def encode(df: DataFrame, dictionary: DataFrame, col: str, code_col: str = "code",
            out: str | None = None) -> DataFrame:
     """Replace ``col`` by its code (kept name unless ``out`` is given)."""

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_partitions, ensure_checkpoint_dir
+from ..session import default_partitions, scratch_path
 
 _PID, _MID, _N, _LO, _OFF = "_kc_pid", "_kc_mid", "_kc_n", "_kc_lo", "_kc_off"
 
@@ -29,31 +29,73 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+# Largest group a single task may number with a plain window.  Above it the
+# group is cut into range slices.  Settable per session.
+MAX_GROUP_ROWS_CONF = "kcflow.window.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Rows in the biggest group (one partial + final aggregate, one number back)."""
+    if not group_cols:
+        return df.count()
+    row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
+    return int(row[0] or 0)
+
+
 def running_index(df: DataFrame, group_cols: Sequence[str],
                   order_cols: Sequence[str | Column], out_col: str,
                   num_partitions: int | None = None,
-                  group_count_col: str | None = None) -> DataFrame:
+                  group_count_col: str | None = None,
+                  max_group_rows: int | None = None) -> DataFrame:
     """Add ``out_col``: 1-based position of each row inside its group.
 
     Same result as ``row_number().over(Window.partitionBy(group_cols)
-    .orderBy(order_cols))`` without putting a group into one task.
+    .orderBy(order_cols))``.  The size of the largest group is measured
+    first: when every group fits one task the plain window is used, else
+    the range-sliced form below, which never puts a group into one task.
     ``group_count_col`` optionally adds the size of the group.
     """
     spark = df.sparkSession
+    limit = max_group_rows if max_group_rows is not None else int(
+        spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    if largest_group(df, group_cols) <= limit:
+        w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
+        out = df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
+        if group_count_col:
+            out = out.withColumn(group_count_col,
+                                 F.count(F.lit(1)).over(Window.partitionBy(*group_cols)).cast("bigint"))
+            out = out.select(*df.columns, group_count_col, out_col)
+        return out
+    return sliced_index(df, group_cols, order_cols, out_col, num_partitions, group_count_col)
+
+
+def sliced_index(df: DataFrame, group_cols: Sequence[str],
+                 order_cols: Sequence[str | Column], out_col: str,
+                 num_partitions: int | None = None,
+                 group_count_col: str | None = None) -> DataFrame:
+    """Range-sliced running number: no task ever holds a whole group."""
+    spark = df.sparkSession
     n = num_partitions or default_partitions(spark)
     group_cols = list(group_cols)
     keys = [*_cols(group_cols), *_cols(order_cols)]
     # Range bounds come from sampling, and Catalyst would plan the exchange
-    # once per branch (with different column pruning), so the two branches
-    # could cut different ranges.  A reliable checkpoint in the shared
-    # checkpoint folder fixes the slices once; it also cuts the lineage, so a
-    # lost executor re-reads files instead of re-sampling.
-    ensure_checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_MID, F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # once per branch (with different column pruning), so two branches could
+    # cut different ranges.  The numbered slices are therefore written once
+    # as a parquet table in the shared checkpoint folder and both branches
+    # read that table: the numbers are fixed, a lost executor re-reads files
+    # instead of re-sampling, and the plan above is cut short.
+    ranged = materialize(df.repartitionByRange(n, *keys)
+                         .sortWithinPartitions(*keys)
+                         .withColumn(_PID, F.spark_partition_id())
+                         .withColumn(_MID, F.monotonically_increasing_id()), "ranged")
     slices = ranged.groupBy(_PID, *group_cols).agg(
         F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_LO))
     before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(
@@ -84,7 +126,8 @@ def running_index(df: DataFrame, group_cols: Sequence[str],
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None,
+                    extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas/NumPy default).
 
     For n values sorted x[0..n-1] and probability q: h = (n-1) q,
@@ -94,8 +137,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     """
     group_cols = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_kc_x")) \
-        .where(F.col("_kc_x").isNotNull() & ~F.isnan("_kc_x"))
+    vals = df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col)) \
+        .withColumn("_kc_x", F.col(value_col).cast("double"))
     ranked = running_index(vals, group_cols, ["_kc_x"], "_kc_rank",
                            num_partitions=num_partitions, group_count_col="_kc_cnt")
     # Only the rows at positions floor(h) and floor(h)+1 (0-based) matter;
@@ -106,11 +149,12 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         r0 = F.col("_kc_rank") - 1
         aggs.append(F.max(F.when(r0 == F.floor(h), F.col("_kc_x"))).alias(f"_kc_a{i}"))
         aggs.append(F.max(F.when(r0 == F.floor(h) + 1, F.col("_kc_x"))).alias(f"_kc_b{i}"))
-    picked = ranked.groupBy(*group_cols).agg(*aggs)
+    picked = ranked.groupBy(*group_cols).agg(*aggs, *extra_aggs)
     outs = []
     for i, (p, name) in enumerate(zip(probs, names)):
         h = (F.col("_kc_cnt") - 1) * F.lit(float(p))
         frac = h - F.floor(h)
         a, b = F.col(f"_kc_a{i}"), F.coalesce(F.col(f"_kc_b{i}"), F.col(f"_kc_a{i}"))
         outs.append((a + frac * (b - a)).alias(name))
-    return picked.select(*group_cols, *outs)
+    extra_names = [picked.columns[len(group_cols) + len(aggs) + i] for i in range(len(extra_aggs))]
+    return picked.select(*group_cols, *outs, *extra_names)

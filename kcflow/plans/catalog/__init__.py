@@ -1,3 +1,3 @@
 """Registered queries, grouped by topic; importing this package registers them."""
 
-from . import features, rates  # noqa: F401
+from . import explore, features, rates  # noqa: F401

@@ -85,17 +85,20 @@ def features_sql(body: str, *extra: str) -> str:
 
 def _feature_select() -> str:
     cols = ", ".join(r(c) + f" AS {c}" if c in RATE_FEATURES else c for c in FEATURES)
-    return f"SELECT split, row, {cols} FROM features"
+    return f"SELECT split, {cols} FROM features"
 
 
-def features_df(spark, sf_dir, **kw):
-    return feature_table(key_rows(spark, sf_dir, with_view=True, with_row=True), **kw)
+def features_df(spark, sf_dir, with_row: bool = True, **kw):
+    ids = ("split", "row") if with_row else ("split",)
+    return feature_table(key_rows(spark, sf_dir, with_view=True, with_row=with_row),
+                         id_cols=ids, **kw)
 
 
 @register("feature_table", features_sql(_feature_select()))
 def feature_table_q(spark, sf_dir):
-    """Flagship: the 14 features for every train and test row."""
-    return rounded(features_df(spark, sf_dir), RATE_FEATURES)
+    """Flagship: the 14 features for every train and test row (no row id,
+    like the reference's feature files)."""
+    return rounded(features_df(spark, sf_dir, with_row=False), RATE_FEATURES)
 
 
 @register("one_hot_long", features_sql("""

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import skills
-from ..operators.encoding import code_dictionary
+from ..operators.encoding import code_dictionaries
 from ..operators.rates import mean_of, rate_table
+from ..operators.sequence import materialize
 
 FEATURES = ("personal_cfar", "problem_cfar", "student", "unit", "section", "step", "problem",
             "problem_view", "cfa", "kc_num", "step_cfar", "kc_cfar", "opportunity_mean",
@@ -59,13 +60,17 @@ def feature_table(steps: DataFrame, *, stat: str = "rate", fallback: str = "mean
     Rates are learnt on the training rows (``split = 'train'`` unless
     ``train_filter`` says otherwise); codes come from all rows.
     """
-    rows = base = step_features(steps, id_cols)
+    # Rates, dictionaries and the final joins all read these rows; writing
+    # them once keeps every branch from recomputing the scans and joins.
+    rows = base = materialize(step_features(steps, id_cols), "feature-rows")
     train = rows.where(train_filter if train_filter is not None else F.col("split") == "train")
+    dicts = code_dictionaries(base, [k for k, _, coded in KEY_FEATURES if coded])
     for key, rate_name, coded in KEY_FEATURES:
         how = "inner" if (rate_name and fallback == "drop") else "left"
         dim = None
         if coded:
-            dim = code_dictionary([base], key, code_col="_kc_code")
+            dim = dicts.where(F.col("feature") == key).select(
+                F.col("value").alias(key), F.col("code").alias("_kc_code"))
         if rate_name:
             rates = rate_table(train, key, rate_name, stat=stat, fallback=fallback)
             if dim is None:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequence import running_index
-from .tables import table
+from .tables import spread, table
 
 # Fixed values of the fixture mapping (they must equal the documented view).
 TEST_STATUS = "P"            # orders with this status go to the test split
@@ -48,6 +48,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderdate")
     pt = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_size")
+    li = spread(li, ["l_orderkey", "l_linenumber", "l_partkey"])
     j = li.join(od, "l_orderkey").join(pt, "l_partkey")
 
     cust = F.col("o_custkey")
