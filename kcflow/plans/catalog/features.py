@@ -14,6 +14,7 @@ CODED = ("student", "problem", "unit", "section", "step", "hierarchy")
 RATED = {"student": "personal_cfar", "problem": "problem_cfar", "step": "step_cfar",
          "kc": "kc_cfar"}
 RATE_FEATURES = tuple(RATED.values())
+INPUT_FEATURES = tuple(c for c in FEATURES if c != "cfa")
 
 
 def _code_cte(k: str) -> str:
