@@ -54,19 +54,24 @@ def running_index(df: DataFrame, group_cols: Sequence[str],
                   order_cols: Sequence[str | Column], out_col: str,
                   num_partitions: int | None = None,
                   group_count_col: str | None = None,
-                  max_group_rows: int | None = None) -> DataFrame:
+                  max_group_rows: int | None = None,
+                  size_bound: int | None = None) -> DataFrame:
     """Add ``out_col``: 1-based position of each row inside its group.
 
     Same result as ``row_number().over(Window.partitionBy(group_cols)
     .orderBy(order_cols))``.  The size of the largest group is measured
     first: when every group fits one task the plain window is used, else
     the range-sliced form below, which never puts a group into one task.
-    ``group_count_col`` optionally adds the size of the group.
+    ``group_count_col`` optionally adds the size of the group.  A caller
+    that knows an upper bound of the group sizes passes ``size_bound`` and
+    saves the measuring job.
     """
     spark = df.sparkSession
     limit = max_group_rows if max_group_rows is not None else int(
         spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    if largest_group(df, group_cols) <= limit:
+    small = size_bound <= limit if size_bound is not None else \
+        largest_group(df, group_cols) <= limit
+    if small:
         w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
         out = df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
         if group_count_col:

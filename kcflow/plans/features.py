@@ -13,9 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import skills
-from ..operators.encoding import code_dictionaries
-from ..operators.rates import mean_of, rate_table
-from ..operators.sequence import materialize
+from ..operators.sequence import materialize, running_index
 
 FEATURES = ("personal_cfar", "problem_cfar", "student", "unit", "section", "step", "problem",
             "problem_view", "cfa", "kc_num", "step_cfar", "kc_cfar", "opportunity_mean",
@@ -53,6 +51,54 @@ def step_features(steps: DataFrame, id_cols=("split", "row")) -> DataFrame:
         skills.opportunity_min("opportunity").alias("opportunity_min"))
 
 
+def key_dimensions(rows: DataFrame, is_train, *, stat: str = "rate",
+                   fallback: str = "mean") -> DataFrame:
+    """``(feature, value, code, rate)`` for every key column in one pass.
+
+    The key columns are stacked into (feature, value) pairs and aggregated
+    once over all rows: the distinct values are the dictionary (codes come
+    from all rows, null included), the training counts give the rates.
+    The fallback mean per feature is an aggregate of at most one row per
+    key column, so it is broadcast with a known bound.  With
+    ``fallback='mean'`` every value carries its filled rate; with ``'drop'``
+    only values with a correct training row carry one.
+    """
+    keys = [k for k, _, _ in KEY_FEATURES]
+    stacked = rows.select(
+        is_train.alias("_kc_train"), (F.col("cfa") == 1).alias("_kc_ok"),
+        F.inline(F.array(*[F.struct(F.lit(k).alias("feature"),
+                                    F.col(k).cast("string").alias("value")) for k in keys])))
+    counts = stacked.groupBy("feature", "value").agg(
+        F.count_if(F.col("_kc_train")).cast("bigint").alias("n"),
+        F.count_if(F.col("_kc_train") & F.col("_kc_ok")).cast("bigint").alias("n_correct"))
+    has_rate = F.col("value").isNotNull() & (F.col("n") > 0)
+    if fallback == "drop":
+        has_rate = has_rate & (F.col("n_correct") > 0)
+    elif fallback != "mean":
+        raise ValueError("fallback must be 'mean' or 'drop'")
+    if stat == "rate":
+        value = F.col("n_correct") / F.col("n")
+    elif stat == "count":
+        value = F.col("n_correct").cast("double")
+    else:
+        raise ValueError("stat must be 'rate' or 'count'")
+    # A feature has at most as many distinct values as there are rows, so
+    # the row count bounds every dictionary (a scan without columns).
+    coded = running_index(counts, ["feature"], [F.col("value").asc_nulls_first()], "_kc_pos",
+                          size_bound=rows.count())
+    dims = coded.select("feature", "value", (F.col("_kc_pos") - 1).cast("bigint").alias("code"),
+                        F.when(has_rate, value).alias("rate"))
+    means = dims.groupBy("feature").agg(F.avg("rate").alias("_kc_mean"))
+    dims = dims.join(F.broadcast(means), "feature")
+    dims = dims.select("feature", "value", "code",
+                       (F.col("rate") if fallback == "drop"
+                        else F.coalesce("rate", "_kc_mean")).alias("rate"))
+    # One row per distinct key: small next to the rows, read once per key
+    # column below.  Writing it keeps the six lookups from re-aggregating,
+    # and gives AQE measured sizes for its broadcast choice.
+    return materialize(dims, "key-dimensions")
+
+
 def feature_table(steps: DataFrame, *, stat: str = "rate", fallback: str = "mean",
                   id_cols=("split", "row"), train_filter=None) -> DataFrame:
     """Features for every row of ``steps`` (train and test together).
@@ -60,27 +106,21 @@ def feature_table(steps: DataFrame, *, stat: str = "rate", fallback: str = "mean
     Rates are learnt on the training rows (``split = 'train'`` unless
     ``train_filter`` says otherwise); codes come from all rows.
     """
-    # Rates, dictionaries and the final joins all read these rows; writing
-    # them once keeps every branch from recomputing the scans and joins.
-    rows = base = materialize(step_features(steps, id_cols), "feature-rows")
-    train = rows.where(train_filter if train_filter is not None else F.col("split") == "train")
-    dicts = code_dictionaries(base, [k for k, _, coded in KEY_FEATURES if coded])
+    rows = step_features(steps, id_cols)
+    is_train = train_filter if train_filter is not None else F.col("split") == "train"
+    dims = key_dimensions(rows, is_train, stat=stat, fallback=fallback)
     for key, rate_name, coded in KEY_FEATURES:
+        dim = dims.where(F.col("feature") == key)
+        if rate_name and fallback == "drop":
+            dim = dim.where(F.col("rate").isNotNull())
+        dim = dim.select(F.col("value").alias("_kc_dkey"), F.col("code").alias("_kc_code"),
+                         F.col("rate").alias("_kc_rate"))
         how = "inner" if (rate_name and fallback == "drop") else "left"
-        dim = None
-        if coded:
-            dim = dicts.where(F.col("feature") == key).select(
-                F.col("value").alias(key), F.col("code").alias("_kc_code"))
+        rows = rows.join(dim, F.col(key).cast("string").eqNullSafe(F.col("_kc_dkey")), how)
+        new = {}
         if rate_name:
-            rates = rate_table(train, key, rate_name, stat=stat, fallback=fallback)
-            if dim is None:
-                dim = rates
-            else:
-                dim = dim.join(rates, key, how)
-        dim = dim.withColumnRenamed(key, "_kc_dkey")
-        rows = rows.join(dim, F.col(key).eqNullSafe(F.col("_kc_dkey")), how).drop("_kc_dkey")
-        if rate_name and fallback == "mean":
-            rows = rows.withColumn(rate_name, F.coalesce(F.col(rate_name), mean_of(rates, rate_name)))
+            new[rate_name] = F.col("_kc_rate")
         if coded:
-            rows = rows.withColumn(key, F.col("_kc_code")).drop("_kc_code")
+            new[key] = F.col("_kc_code")
+        rows = rows.withColumns(new).drop("_kc_dkey", "_kc_code", "_kc_rate")
     return rows.select(*id_cols, *FEATURES)

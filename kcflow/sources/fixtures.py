@@ -14,10 +14,13 @@ which never puts one key's rows into one task.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequence import running_index
+from ..session import default_partitions, scratch_path
 from .tables import spread, table
 
 # Fixed values of the fixture mapping (they must equal the documented view).
@@ -92,13 +95,13 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = False,
-             with_view: bool = True, keep_keys: bool = False) -> DataFrame:
-    """The step-record table (see FIXTURES.md section 2).
+def build_step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = True,
+                   with_view: bool = True) -> DataFrame:
+    """The step-record table computed from the driver tables (FIXTURES.md s2).
 
-    ``row`` (1..n per split, in line-item key order) costs a range shuffle,
-    so it is added only on request; ``problem_view`` likewise.  Line-item
-    key columns are kept with ``keep_keys`` for ordering by time.
+    ``row`` is 1..n per split in line-item key order; ``problem_view`` the
+    running count per (student, problem) in time order.  Both come from the
+    size-checked ``running_index``.
     """
     df = _base(spark, sf_dir)
     if with_view:
@@ -107,6 +110,40 @@ def step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = False,
     if with_row:
         df = running_index(df, ["split"], list(ITEM_KEYS), "row")
     cols = [c for c in STEP_COLUMNS if c in df.columns]
+    return df.select(*cols, *ITEM_KEYS)
+
+
+# One prepared step table per (application, input folder): the step log is
+# the library's input, as the step files are for the reference, so it is
+# built once, written as parquet partitioned by split under the shared
+# checkpoint folder, and read by every query.
+_PREPARED: dict[tuple[str, str], str] = {}
+
+
+def prepared_path(spark: SparkSession, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _PREPARED.get(key)
+    if path is None:
+        path = scratch_path(spark, "step-log")
+        # Balanced files: hash the unique item key into as many partitions as
+        # the shuffle width, whatever partitioning the numbering left behind.
+        steps = build_step_log(spark, sf_dir).repartition(
+            default_partitions(spark), "l_orderkey", "l_linenumber", "l_partkey")
+        steps.write.mode("error").partitionBy("split").parquet(path)
+        _PREPARED[key] = path
+    return path
+
+
+def step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = False,
+             with_view: bool = True, keep_keys: bool = False) -> DataFrame:
+    """The step-record table, read from the prepared parquet copy.
+
+    Columns are pruned at the scan; a filter on ``split`` prunes partitions.
+    ``keep_keys`` adds the line-item key columns (the time-order tie-break).
+    """
+    df = spark.read.parquet(prepared_path(spark, sf_dir))
+    cols = [c for c in STEP_COLUMNS
+            if (c != "row" or with_row) and (c != "problem_view" or with_view)]
     if keep_keys:
         cols += list(ITEM_KEYS)
     return df.select(*cols)
