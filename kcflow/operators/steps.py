@@ -32,20 +32,31 @@ def step_rollup(tx: DataFrame, keys: Sequence[str] = ("student", "problem", "ste
     correct at the first attempt when that attempt is correct.  Durations sum
     over all transactions of the step.
     """
+    rolled = tx.groupBy(*keys).agg(*rollup_aggregates(time_col, id_col, outcome_col, dur_col))
+    return finish_rollup(rolled, keys)
+
+
+def rollup_aggregates(time_col: str = "tx_time", id_col: str = "tx_id",
+                      outcome_col: str = "outcome", dur_col: str = "tx_dur") -> list[Column]:
+    """The per-step aggregates of the roll-up (shared by batch and stream)."""
     t, o = F.col(time_col), F.col(outcome_col)
     attempt = o.isin(*ATTEMPTS)
     first = F.min(F.when(attempt, F.struct(t.alias("t"), F.col(id_col).alias("i"),
                                            o.alias("o"))))
-    rolled = tx.groupBy(*keys).agg(
-        F.min(t).alias("step_start"),
-        F.min(F.when(attempt, t)).alias("first_tx"),
-        F.min(F.when(o == CORRECT, t)).alias("correct_tx"),
-        F.max(t).alias("step_end"),
-        F.sum(dur_col).alias("dur"),
-        first["o"].alias("_first"),
-        F.count_if(o == INCORRECT).cast("bigint").alias("incorrects"),
-        F.count_if(o == HINT).cast("bigint").alias("hints"),
-        F.count_if(o == CORRECT).cast("bigint").alias("corrects"))
+    return [F.min(t).alias("step_start"),
+            F.min(F.when(attempt, t)).alias("first_tx"),
+            F.min(F.when(o == CORRECT, t)).alias("correct_tx"),
+            F.max(t).alias("step_end"),
+            F.sum(dur_col).alias("dur"),
+            first["o"].alias("_first"),
+            F.count_if(o == INCORRECT).cast("bigint").alias("incorrects"),
+            F.count_if(o == HINT).cast("bigint").alias("hints"),
+            F.count_if(o == CORRECT).cast("bigint").alias("corrects")]
+
+
+def finish_rollup(rolled: DataFrame, keys: Sequence[str] = ("student", "problem", "step")
+                  ) -> DataFrame:
+    """CFA and the split of the duration, from the aggregated columns."""
     cfa = F.when(F.col("_first") == CORRECT, 1).when(F.col("_first").isNotNull(), 0).cast("int")
     return rolled.select(
         *keys, "step_start", "first_tx", "correct_tx", "step_end", "dur",

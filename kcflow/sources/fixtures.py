@@ -162,7 +162,11 @@ PROBLEMS_IN_EVENTS = 10
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions for the step roll-up (FIXTURES.md section 3)."""
-    ev = table(spark, sf_dir, "events")
+    return transactions_of(table(spark, sf_dir, "events"))
+
+
+def transactions_of(ev: DataFrame) -> DataFrame:
+    """The transaction mapping over an events frame (batch or stream)."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     outcome = F.lit(None).cast("string")
     for e, o in reversed(list(OUTCOME_OF_EVENT.items())):
