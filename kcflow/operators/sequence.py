@@ -69,7 +69,8 @@ def running_index(df: DataFrame, group_cols: Sequence[str],
     spark = df.sparkSession
     limit = max_group_rows if max_group_rows is not None else int(
         spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    small = size_bound <= limit if size_bound is not None else \
+    # A bound above the limit says nothing about the largest group: measure.
+    small = (size_bound is not None and size_bound <= limit) or \
         largest_group(df, group_cols) <= limit
     if small:
         w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))

@@ -104,11 +104,14 @@ def build_step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = True,
     size-checked ``running_index``.
     """
     df = _base(spark, sf_dir)
+    # The row count bounds every group of both numberings: one counting pass
+    # instead of measuring each grouping.
+    bound = df.count()
     if with_view:
         df = running_index(df, ["student", "problem"], ["first_tx", *ITEM_KEYS],
-                           "problem_view")
+                           "problem_view", size_bound=bound)
     if with_row:
-        df = running_index(df, ["split"], list(ITEM_KEYS), "row")
+        df = running_index(df, ["split"], list(ITEM_KEYS), "row", size_bound=bound)
     cols = [c for c in STEP_COLUMNS if c in df.columns]
     return df.select(*cols, *ITEM_KEYS)
 
