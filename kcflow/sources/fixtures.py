@@ -95,8 +95,14 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows per prepared file, roughly (about 100 MB of step records), and the
+# fewest rows worth a file of their own when spreading small data over cores.
+ROWS_PER_FILE = 1_000_000
+MIN_ROWS_PER_FILE = 10_000
+
+
 def build_step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = True,
-                   with_view: bool = True) -> DataFrame:
+                   with_view: bool = True, row_count: list | None = None) -> DataFrame:
     """The step-record table computed from the driver tables (FIXTURES.md s2).
 
     ``row`` is 1..n per split in line-item key order; ``problem_view`` the
@@ -107,6 +113,8 @@ def build_step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = True,
     # The row count bounds every group of both numberings: one counting pass
     # instead of measuring each grouping.
     bound = df.count()
+    if row_count is not None:
+        row_count.append(bound)
     if with_view:
         df = running_index(df, ["student", "problem"], ["first_tx", *ITEM_KEYS],
                            "problem_view", size_bound=bound)
@@ -130,8 +138,13 @@ def prepared_path(spark: SparkSession, sf_dir: str) -> str:
         path = scratch_path(spark, "step-log")
         # Balanced files: hash the unique item key into as many partitions as
         # the shuffle width, whatever partitioning the numbering left behind.
-        steps = build_step_log(spark, sf_dir).repartition(
-            default_partitions(spark), "l_orderkey", "l_linenumber", "l_partkey")
+        rows: list[int] = []
+        built = build_step_log(spark, sf_dir, row_count=rows)
+        cores = spark.sparkContext.defaultParallelism
+        n = rows[0]
+        n_files = max(1, min(cores, -(-n // MIN_ROWS_PER_FILE)),
+                      min(default_partitions(spark), -(-n // ROWS_PER_FILE)))
+        steps = built.repartition(n_files, "l_orderkey", "l_linenumber", "l_partkey")
         steps.write.mode("error").partitionBy("split").parquet(path)
         _PREPARED[key] = path
     return path
