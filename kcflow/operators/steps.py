@@ -83,7 +83,10 @@ def opportunity_counts(steps: DataFrame, id_cols: Sequence[str],
                                *[c for c in order_cols if isinstance(c, str)]]))
     ex = steps.where(F.col(kc_col).isNotNull()).select(
         *keep, F.posexplode(skills.kc_list(kc_col)).alias("_kc_pos", "_kc_one"))
-    numbered = running_index(ex, ["student", "_kc_one"], order_cols, "_kc_n")
+    # The exploded row count bounds every (student, KC) group and needs no
+    # shuffle, unlike measuring the groups.
+    numbered = running_index(ex, ["student", "_kc_one"], order_cols, "_kc_n",
+                             size_bound=ex.count())
     per_row = numbered.groupBy(*id_cols).agg(
         F.array_sort(F.collect_list(F.struct("_kc_pos", "_kc_n"))).alias("_kc_ns"))
     return per_row.select(*id_cols, F.array_join(
