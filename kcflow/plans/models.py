@@ -200,7 +200,7 @@ def leaderboard(train: DataFrame, test: DataFrame, methods: Sequence[str]) -> Da
     return rows
 
 
-def cross_validate(train: DataFrame, folds: int = 5, parallelism: int = 2) -> DataFrame:
+def cross_validate(train: DataFrame, folds: int = 5, parallelism: int = 4) -> DataFrame:
     """5-fold CV over a small GBT grid, scored by RMSE (lower is better)."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.regression import GBTRegressor
