@@ -17,8 +17,17 @@ from pyspark.sql import functions as F
 from .sequence import exact_quantiles
 
 
-def distinct_counts(df: DataFrame, cols: Sequence[str], prefix: str = "n_") -> DataFrame:
-    """Exact number of distinct non-null values per column (one row)."""
+def distinct_counts(df: DataFrame, cols: Sequence[str], prefix: str = "n_",
+                    approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Number of distinct non-null values per column (one row).
+
+    Exact by default; ``approx=True`` uses HyperLogLog++ sketches (relative
+    standard deviation ``rsd``), which merge map-side and never shuffle the
+    values themselves.
+    """
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c, rsd).cast("bigint").alias(f"{prefix}{c}")
+                        for c in cols])
     return df.agg(*[F.count_distinct(c).cast("bigint").alias(f"{prefix}{c}") for c in cols])
 
 

@@ -83,7 +83,3 @@ def add_rate(train: DataFrame, rows: DataFrame, key: str | Sequence[str], col: s
     """Rate of ``key`` learnt on ``train``, attached to ``rows``."""
     table = rate_table(train, key, col, stat=stat, fallback=fallback, label=label)
     return apply_rate(rows, table, key, col, fallback=fallback)
-
-
-def rate_col(name: str) -> Column:
-    return F.col(name).cast("double")

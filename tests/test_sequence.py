@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from kcflow.operators.sequence import exact_quantiles, running_index, sliced_index
 
