@@ -29,11 +29,18 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet below the shared checkpoint folder and read it back."""
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back.
+
+    ``partition_by`` lays the files out by those columns, so later filters
+    on them prune whole folders.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    w = df.write.mode("error")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 # Largest group a single task may number with a plain window.  Above it the

@@ -95,8 +95,9 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str = "rate",
                         else F.coalesce("rate", "_kc_mean")).alias("rate"))
     # One row per distinct key: small next to the rows, read once per key
     # column below.  Writing it keeps the six lookups from re-aggregating,
-    # and gives AQE measured sizes for its broadcast choice.
-    return materialize(dims, "key-dimensions")
+    # gives AQE measured sizes for its broadcast choice, and the layout by
+    # feature lets each lookup read only its own key column's files.
+    return materialize(dims, "key-dimensions", partition_by=["feature"])
 
 
 def feature_table(steps: DataFrame, *, stat: str = "rate", fallback: str = "mean",
