@@ -28,3 +28,31 @@ def test_hot_student_problem_view(spark):
     pdf = hot.where("student = 'HOT'").toPandas().sort_values(ORDER)
     hot_b = [b[tuple(r[k] for k in key)] for _, r in pdf.iterrows()]
     assert hot_b == list(range(1, n_hot + 1))
+
+
+def test_sliced_step_log_matches_duckdb(spark):
+    """The at-scale path of the step-log preparation: with the group limit
+    at 0 every numbering is range-sliced; row and problem_view must equal
+    DuckDB's window functions."""
+    import duckdb
+
+    from kcflow.plans.oracle import with_steps
+    from kcflow.sources.fixtures import build_step_log
+
+    spark.conf.set("kcflow.window.maxGroupRows", "0")
+    try:
+        ours = build_step_log(spark, SF_SMALL).select(
+            "split", "row", "problem_view", *ITEM_KEYS).toPandas()
+    finally:
+        spark.conf.unset("kcflow.window.maxGroupRows")
+    con = duckdb.connect()
+    for t in ("lineitem", "orders", "part"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    theirs = con.sql(with_steps(
+        "SELECT split, row, problem_view, " + ", ".join(ITEM_KEYS) + " FROM step_log")).df()
+    key = ["split", *ITEM_KEYS]
+    a = ours.sort_values(key).reset_index(drop=True)
+    b = theirs.sort_values(key).reset_index(drop=True)
+    assert len(a) == len(b) == 6000
+    assert (a["row"].to_numpy() == b["row"].to_numpy()).all()
+    assert (a["problem_view"].to_numpy() == b["problem_view"].to_numpy()).all()
