@@ -40,8 +40,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (tests, local runs) a private
-    folder is created.
+    as is.  Only when nothing is configured and the master is local (tests,
+    local runs) a private folder is created; a cluster without the setting
+    is an error, since a machine-local folder would not be shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="kcflow-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
