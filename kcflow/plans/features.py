@@ -9,11 +9,12 @@ keeps a shuffle join otherwise.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import skills
-from ..operators.sequence import materialize, running_index
+from ..operators.sequence import running_index
 
 FEATURES = ("personal_cfar", "problem_cfar", "student", "unit", "section", "step", "problem",
             "problem_view", "cfa", "kc_num", "step_cfar", "kc_cfar", "opportunity_mean",
@@ -94,10 +95,11 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str = "rate",
                        (F.col("rate") if fallback == "drop"
                         else F.coalesce("rate", "_kc_mean")).alias("rate"))
     # One row per distinct key: small next to the rows, read once per key
-    # column below.  Writing it keeps the six lookups from re-aggregating,
-    # gives AQE measured sizes for its broadcast choice, and the layout by
-    # feature lets each lookup read only its own key column's files.
-    return materialize(dims, "key-dimensions", partition_by=["feature"])
+    # column below.  Persisting it keeps the six lookups from re-aggregating
+    # and gives AQE measured sizes for its broadcast choice.  Every value is
+    # unique within its feature, so a lost block is rebuilt with the same
+    # codes.
+    return dims.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def feature_table(steps: DataFrame, *, stat: str = "rate", fallback: str = "mean",
