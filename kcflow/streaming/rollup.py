@@ -3,46 +3,63 @@
 The same per-step aggregates as the batch roll-up run as a stateful
 streaming aggregation keyed by (student, problem, step); the state store
 holds one partial record per step, partitioned by the key like any shuffle.
-Each micro-batch hands the updated result to ``foreachBatch``, which writes
-it as parquet (nothing is collected to the driver); the checkpoint of the
-stream lives under the shared checkpoint folder, so a restarted job resumes.
+
+Output runs in update mode: each micro-batch appends only the step records
+it changed, tagged with its batch id, to a parquet folder (nothing is
+collected to the driver, nothing already written is rewritten).  Readers
+take the latest version of every step with one aggregate.  A micro-batch
+replayed after a failure appends the same rows again, which the latest-
+version read absorbs.  The stream's checkpoint lives under the shared
+checkpoint folder, so a restarted job resumes where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.steps import finish_rollup, rollup_aggregates
 from ..session import scratch_path
 from ..sources.fixtures import transactions_of
 
 KEYS = ("student", "problem", "step")
+BATCH_COL = "_kc_batch"
 
 
 def step_records_stream(tx_stream: DataFrame) -> DataFrame:
-    """Streaming step records (complete/update output) from streaming transactions."""
+    """Streaming step records (update or complete output) from streaming transactions."""
     return finish_rollup(tx_stream.groupBy(*KEYS).agg(*rollup_aggregates()), KEYS)
 
 
 def events_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1) -> DataFrame:
     """The events table read as a file stream (new files become micro-batches)."""
     folder = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    schema = spark.read.option("pathGlobFilter", "events*.parquet").parquet(folder).schema
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .option("pathGlobFilter", "events*.parquet").parquet(folder))
 
 
+def latest_records(spark: SparkSession, path: str) -> DataFrame:
+    """The current step records: per step, the version of the latest batch."""
+    log = spark.read.parquet(path)
+    cols = [c for c in log.columns if c not in (*KEYS, BATCH_COL)]
+    latest = log.groupBy(*KEYS).agg(
+        F.max_by(F.struct(*cols), F.col(BATCH_COL)).alias("_kc_rec"))
+    return latest.select(*KEYS, *[F.col(f"_kc_rec.{c}").alias(c) for c in cols])
+
+
 def run_rollup(spark: SparkSession, sf_dir: str, out_path: str | None = None) -> DataFrame:
     """Run the streaming roll-up over the events until the input is drained;
-    return the written step records as a batch DataFrame."""
+    return the current step records as a batch DataFrame."""
     out_path = out_path or scratch_path(spark, "stream-steps")
     ckpt = scratch_path(spark, "stream-ckpt")
     records = step_records_stream(transactions_of(events_stream(spark, sf_dir)))
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def append_changes(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint")) \
+            .write.mode("append").parquet(out_path)
 
-    query = (records.writeStream.outputMode("complete").foreachBatch(write)
+    query = (records.writeStream.outputMode("update").foreachBatch(append_changes)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.parquet(out_path)
+    return latest_records(spark, out_path)
