@@ -155,10 +155,13 @@ def fit_adaboost(train: DataFrame, rounds: int = ADABOOST_ROUNDS, rate: float =
     return Fitted(predict)
 
 
-def fit_vote(train: DataFrame) -> Fitted:
-    """Soft vote: forest weight 1, the depth-4 booster weight 1.5."""
-    forest = _classifier(lambda: RandomForestClassifier(seed=SEED, **FOREST))(train)
-    boost = _classifier(lambda: GBTClassifier(seed=SEED, **LGBM_LIKE))(train)
+def fit_vote(train: DataFrame, forest: Fitted | None = None,
+             boost: Fitted | None = None) -> Fitted:
+    """Soft vote: forest weight 1, the depth-4 booster weight 1.5.
+
+    Already fitted members (same settings and seeds) can be passed in."""
+    forest = forest or _classifier(lambda: RandomForestClassifier(seed=SEED, **FOREST))(train)
+    boost = boost or _classifier(lambda: GBTClassifier(seed=SEED, **LGBM_LIKE))(train)
     w1, w2 = VOTE_WEIGHTS
 
     def predict(df: DataFrame) -> DataFrame:
@@ -191,10 +194,16 @@ def fit(method: str, train: DataFrame) -> Fitted:
 def leaderboard(train: DataFrame, test: DataFrame, methods: Sequence[str]) -> DataFrame:
     """RMSE of each method on the labelled test rows (one row per method)."""
     from .submission import score
-    rows = None
+    rows, fitted = None, {}
     lab = test.where(F.col(LABEL).isNotNull())
     for m in methods:
-        s = score(fit(m, train).predict(lab), "prediction", LABEL) \
+        if m == "Vote":
+            # the vote's members are the forest and the booster fitted above
+            model = fit_vote(train, fitted.get("RandomForest"), fitted.get("Lightgbm"))
+        else:
+            model = fit(m, train)
+        fitted[m] = model
+        s = score(model.predict(lab), "prediction", LABEL) \
             .select(F.lit(m).alias("model"), "n", "rmse")
         rows = s if rows is None else rows.unionByName(s)
     return rows
