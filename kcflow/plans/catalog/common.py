@@ -20,6 +20,22 @@ def rounded(df: DataFrame, cols: Iterable[str], digits: int = DIGITS) -> DataFra
                        for c in df.columns])
 
 
+# Timestamps leave the registered queries as text with six fractional digits,
+# the same on both sides of the check, whatever unit a client converts
+# datetimes to.
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def ts_text(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    cols = set(cols)
+    return df.select(*[F.date_format(F.col(c), TS_TEXT).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def ts_sql(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f') AS {col}"
+
+
 def key_rows(spark: SparkSession, sf_dir: str, *, with_view: bool = False,
              with_row: bool = False) -> DataFrame:
     """Step rows with the derived unit and section keys."""

@@ -10,12 +10,16 @@ from ...operators.sequence import sliced_index
 from ...sources.fixtures import ITEM_KEYS, step_log, transactions
 from ..oracle import ITEM_ORDER, with_steps, with_transactions
 from ..registry import register
-from .common import KEY_ROWS_SQL, key_rows, r, rounded, test_of, train_of
+from .common import KEY_ROWS_SQL, key_rows, r, rounded, test_of, train_of, ts_sql, ts_text
+
+ROLLUP_TIMES = ["step_start", "first_tx", "correct_tx", "step_end"]
 
 TIME_ORDER = ["first_tx", *ITEM_KEYS]
 
 
-@register("step_rollup", with_transactions("""
+@register("step_rollup", with_transactions(f"""
+SELECT student, problem, step, {", ".join(ts_sql(c) for c in ROLLUP_TIMES)},
+       dur, correct_dur, error_dur, cfa, incorrects, hints, corrects FROM (
 SELECT student, problem, step,
        min(tx_time) AS step_start,
        min(tx_time) FILTER (WHERE outcome IN ('correct', 'incorrect', 'hint')) AS first_tx,
@@ -29,7 +33,7 @@ SELECT student, problem, step,
        CAST(count(*) FILTER (WHERE outcome = 'hint') AS BIGINT) AS hints,
        CAST(count(*) FILTER (WHERE outcome = 'correct') AS BIGINT) AS corrects
 FROM transactions JOIN firsts USING (student, problem, step)
-GROUP BY student, problem, step, fa""", """
+GROUP BY student, problem, step, fa)""", """
 firsts AS (SELECT student, problem, step,
                   arg_min(outcome, tx_time) FILTER (WHERE outcome IN ('correct', 'incorrect', 'hint'))
                     AS fa
@@ -37,30 +41,31 @@ firsts AS (SELECT student, problem, step,
 def step_rollup(spark, sf_dir):
     """Transactions (events) rolled up into one step record per student step."""
     out = st.step_rollup(transactions(spark, sf_dir))
-    return rounded(out, ["dur", "correct_dur", "error_dur"])
+    return ts_text(rounded(out, ["dur", "correct_dur", "error_dur"]), ROLLUP_TIMES)
 
 
-@register("problem_view", with_steps("""
-SELECT student, problem, step, first_tx, problem_view FROM step_log"""))
+@register("problem_view", with_steps(f"""
+SELECT student, problem, step, {ts_sql("first_tx")}, problem_view FROM step_log"""))
 def problem_view(spark, sf_dir):
     """Running count of each student's encounters with a problem, by time."""
     sl = step_log(spark, sf_dir, with_view=False, keep_keys=True)
-    return st.problem_views(sl, TIME_ORDER).select("student", "problem", "step", "first_tx",
-                                                   "problem_view")
+    return ts_text(st.problem_views(sl, TIME_ORDER).select(
+        "student", "problem", "step", "first_tx", "problem_view"), ["first_tx"])
 
 
-@register("renumber_rows", with_steps("""
-SELECT split, row, student, problem, step, first_tx FROM step_log"""))
+@register("renumber_rows", with_steps(f"""
+SELECT split, row, student, problem, step, {ts_sql("first_tx")} FROM step_log"""))
 def renumber_rows(spark, sf_dir):
     """Row numbers 1..n restarted per split, in key order, via the range-sliced
     numbering (no task holds a whole split)."""
     sl = step_log(spark, sf_dir, with_view=False, keep_keys=True)
     numbered = sliced_index(sl, ["split"], list(ITEM_KEYS), "row")
-    return numbered.select("split", "row", "student", "problem", "step", "first_tx")
+    return ts_text(numbered.select("split", "row", "student", "problem", "step", "first_tx"),
+                   ["first_tx"])
 
 
 @register("opportunity_count", with_steps(f"""
-SELECT student, problem, step, kc, first_tx,
+SELECT student, problem, step, kc, {ts_sql("first_tx")},
        string_agg(CAST(n AS VARCHAR), '~~' ORDER BY pos) AS opportunity_count
 FROM (
   SELECT *, row_number() OVER (PARTITION BY student, k ORDER BY first_tx, {ITEM_ORDER}) AS n
@@ -73,11 +78,12 @@ def opportunity_count(spark, sf_dir):
     sl = step_log(spark, sf_dir, with_view=False, keep_keys=True)
     ids = ["student", "problem", "step", "kc", "first_tx", *ITEM_KEYS]
     opp = st.opportunity_counts(sl, ids, TIME_ORDER)
-    return opp.select("student", "problem", "step", "kc", "first_tx", "opportunity_count")
+    return ts_text(opp.select("student", "problem", "step", "kc", "first_tx", "opportunity_count"),
+                   ["first_tx"])
 
 
-@register("holdout_split", with_steps("""
-SELECT student, unit, problem, step, first_tx,
+@register("holdout_split", with_steps(f"""
+SELECT student, unit, problem, step, {ts_sql("first_tx")},
        CASE WHEN problem = test_problem THEN 'test'
             WHEN first_tx < start THEN 'train' ELSE 'discard' END AS part
 FROM key_rows
@@ -89,12 +95,13 @@ JOIN (SELECT student, unit, problem AS test_problem, min(first_tx) AS start
 def holdout_split(spark, sf_dir):
     """Per (student, unit) one hashed-random problem is test; earlier rows train."""
     rows = key_rows(spark, sf_dir)
-    return st.holdout_split(rows).select("student", "unit", "problem", "step", "first_tx", "part")
+    return ts_text(st.holdout_split(rows).select("student", "unit", "problem", "step", "first_tx",
+                                                 "part"), ["first_tx"])
 
 
 _MASKED = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in [
-    ("step_start", "TIMESTAMP"), ("first_tx", "TIMESTAMP"), ("correct_tx", "TIMESTAMP"),
-    ("step_end", "TIMESTAMP"), ("dur", "DOUBLE"), ("correct_dur", "DOUBLE"),
+    ("step_start", "VARCHAR"), ("first_tx", "VARCHAR"), ("correct_tx", "VARCHAR"),
+    ("step_end", "VARCHAR"), ("dur", "DOUBLE"), ("correct_dur", "DOUBLE"),
     ("error_dur", "DOUBLE"), ("incorrects", "BIGINT"), ("hints", "BIGINT"),
     ("corrects", "BIGINT")])
 
@@ -106,7 +113,7 @@ def mask_test(spark, sf_dir):
     """Test rows as a test file carries them: withheld columns blank."""
     sl = step_log(spark, sf_dir, with_view=True)
     masked = st.mask_test(test_of(sl))
-    return masked.drop("truth")
+    return ts_text(masked.drop("truth"), ROLLUP_TIMES)
 
 
 @register("rate_single_kc", with_steps(f"""

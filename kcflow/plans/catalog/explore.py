@@ -8,7 +8,7 @@ from ...operators import explore
 from ...sources.fixtures import step_log
 from ..oracle import with_steps
 from ..registry import register
-from .common import rounded, train_of
+from .common import rounded, train_of, ts_sql, ts_text
 from .features import features_df, features_sql
 
 # Fixed values of the notebook's charts: 100 bins on [0, 100] for durations,
@@ -161,10 +161,15 @@ def feature_correlation(spark, sf_dir):
     return rounded(c, ["corr"], 6)
 
 
+_TIMES = ["step_start", "first_tx", "correct_tx", "step_end"]
+
+
 @register("preview", with_steps(f"""
-SELECT * EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)
+SELECT * EXCLUDE (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                  step_start, first_tx, correct_tx, step_end),
+       {", ".join(ts_sql(c) for c in _TIMES)}
 FROM train ORDER BY row LIMIT {PREVIEW_ROWS}"""))
 def preview(spark, sf_dir):
     """First 105 training rows in file order (the notebook's head)."""
     sl = step_log(spark, sf_dir, with_view=True, with_row=True)
-    return sl.where(F.col("split") == "train").orderBy("row").limit(PREVIEW_ROWS)
+    return ts_text(sl.where(F.col("split") == "train").orderBy("row").limit(PREVIEW_ROWS), _TIMES)

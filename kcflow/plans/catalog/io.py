@@ -7,22 +7,26 @@ from ...sources import store, tsv
 from ...sources.fixtures import step_log
 from ..oracle import with_steps
 from ..registry import register
-from .common import SECTION_SQL, UNIT_SQL, key_rows, rounded, test_of
+from .common import SECTION_SQL, UNIT_SQL, key_rows, rounded, test_of, ts_sql, ts_text
 from ..features import FEATURES
 from .features import RATE_FEATURES, _feature_select, features_df, features_sql
 
 STEP_FILE_COLS = [c for c in tsv.FILE_ORDER if c != "row"]
 
 
+_TIMES = ["step_start", "first_tx", "correct_tx", "step_end"]
+
+
 @register("tsv_roundtrip", with_steps(
-    "SELECT split, " + ", ".join(STEP_FILE_COLS) + " FROM step_log"))
+    "SELECT split, " + ", ".join(ts_sql(c) if c in _TIMES else c for c in STEP_FILE_COLS)
+    + " FROM step_log"))
 def tsv_roundtrip(spark, sf_dir):
     """Step rows written as a tab-separated file with the file column names,
     read back through the null-spelling normalisation and typed casts."""
     sl = step_log(spark, sf_dir, with_view=True).select("split", *STEP_FILE_COLS)
     path = scratch_path(spark, "steps-tsv")
     tsv.write_steps(sl, path)
-    return tsv.read_steps(spark, path)
+    return ts_text(tsv.read_steps(spark, path), _TIMES)
 
 
 @register("feature_store", features_sql(_feature_select()))

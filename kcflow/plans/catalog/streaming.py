@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from ...streaming.rollup import run_rollup
 from ..registry import ORACLE, register
-from .common import rounded
+from .common import rounded, ts_text
+from .dataset import ROLLUP_TIMES
 
 
 @register("step_rollup_stream", ORACLE["step_rollup"])
@@ -12,4 +13,4 @@ def step_rollup_stream(spark, sf_dir):
     """Events read as a stream and rolled up incrementally into step records;
     the drained result equals the batch roll-up."""
     out = run_rollup(spark, sf_dir)
-    return rounded(out, ["dur", "correct_dur", "error_dur"])
+    return ts_text(rounded(out, ["dur", "correct_dur", "error_dur"]), ROLLUP_TIMES)
