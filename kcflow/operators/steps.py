@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import skills
-from .sequence import running_index
+from ..session import default_partitions
+from .sequence import DEFAULT_MAX_GROUP_ROWS, MAX_GROUP_ROWS_CONF, largest_group, running_index
 
 # Outcomes of a transaction that count as an attempt.
 CORRECT, INCORRECT, HINT = "correct", "incorrect", "hint"
@@ -83,10 +84,21 @@ def opportunity_counts(steps: DataFrame, id_cols: Sequence[str],
                                *[c for c in order_cols if isinstance(c, str)]]))
     ex = steps.where(F.col(kc_col).isNotNull()).select(
         *keep, F.posexplode(skills.kc_list(kc_col)).alias("_kc_pos", "_kc_one"))
-    # The exploded row count bounds every (student, KC) group and needs no
-    # shuffle, unlike measuring the groups.
-    numbered = running_index(ex, ["student", "_kc_one"], order_cols, "_kc_n",
-                             size_bound=ex.count())
+    spark = steps.sparkSession
+    limit = int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    # The exploded row count bounds every group and needs no shuffle.
+    n_ex = ex.count()
+    if "student" in id_cols and (n_ex <= limit or largest_group(ex, ["student"]) <= limit):
+        # Every student fits a task: one hash shuffle by student serves both
+        # the numbering per (student, KC) and the regroup per step row, since
+        # both groupings contain the student.
+        by_student = ex.repartition(default_partitions(spark), "student")
+        w = Window.partitionBy("student", "_kc_one").orderBy(*order_cols)
+        numbered = by_student.withColumn("_kc_n", F.row_number().over(w).cast("bigint"))
+    else:
+        # A hot student: number (student, KC) groups skew-safely, then regroup.
+        numbered = running_index(ex, ["student", "_kc_one"], order_cols, "_kc_n",
+                                 size_bound=n_ex)
     per_row = numbered.groupBy(*id_cols).agg(
         F.array_sort(F.collect_list(F.struct("_kc_pos", "_kc_n"))).alias("_kc_ns"))
     return per_row.select(*id_cols, F.array_join(
