@@ -84,19 +84,22 @@ def easiest_problems(spark, sf_dir):
 
 def _hist_sql(source: str, col: str, bins: int, lo: float, hi: float, cdf: bool = False) -> str:
     width = (hi - lo) / bins
-    idx = f"CAST(least(floor(({col} - {lo}) * {float(bins)} / {hi - lo}), {bins - 1}) AS BIGINT)"
+    # literals as DOUBLE, as in Spark (DuckDB would make them DECIMAL)
+    LO, W, B, SPAN = (f"CAST({v!r} AS DOUBLE)" for v in (lo, width, float(bins), hi - lo))
+    idx = f"CAST(least(floor(({col} - {LO}) * {B} / {SPAN}), {bins - 1}) AS BIGINT)"
     body = f"""
-SELECT s.bin, {lo} + s.bin * {width} AS lo, {lo} + (s.bin + 1) * {width} AS hi,
+SELECT s.bin, {LO} + s.bin * {W} AS lo, {LO} + (s.bin + 1) * {W} AS hi,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n,
-       coalesce(c.n, 0) / ((SELECT sum(n) FROM counts) * {width}) AS density
+       coalesce(c.n, 0) / ((SELECT sum(n) FROM counts) * {W}) AS density
 FROM (SELECT range AS bin FROM range({bins})) s LEFT JOIN counts c ON s.bin = c.bin"""
     counts = f"""
 counts AS (SELECT {idx} AS bin, count(*) AS n FROM {source}
-           WHERE {col} IS NOT NULL AND {col} >= {lo} AND {col} <= {hi} GROUP BY 1)"""
+           WHERE {col} IS NOT NULL AND {col} >= {LO} AND {col} <= CAST({hi!r} AS DOUBLE)
+           GROUP BY 1)"""
     if not cdf:
         return f"SELECT bin, lo, hi, n, round(density, 9) AS density FROM ({body})", counts
     return (f"""SELECT bin, hi, round(sum(density) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED
-PRECEDING AND CURRENT ROW) * {width}, 9) AS cdf FROM ({body})""", counts)
+PRECEDING AND CURRENT ROW) * {W}, 9) AS cdf FROM ({body})""", counts)
 
 
 def _duration_hist(spark, sf_dir):
