@@ -11,7 +11,7 @@ from .common import rounded
 from .features import INPUT_FEATURES, features_df, features_sql
 
 # 70 / 30 split of the training rows when no test file exists.
-FIT_SHARE = 7  # out of 10 hash buckets
+FIT_SHARE = M.FIT_BUCKETS  # out of 10 hash buckets
 
 
 def _frames(spark, sf_dir):
@@ -61,9 +61,8 @@ FROM features WHERE split = 'train'"""))
 def hash_split(spark, sf_dir):
     """Deterministic 70/30 split of the training rows by a hash of the row id."""
     ft = features_df(spark, sf_dir, with_row=True).where(F.col("split") == "train")
-    bucket = F.conv(F.substring(F.md5(F.col("row").cast("string")), 1, 8), 16, 10) \
-        .cast("bigint") % 10
-    return ft.select("row", F.when(bucket < FIT_SHARE, "fit").otherwise("holdout").alias("part"))
+    return ft.select("row", F.when(M.hash_bucket("row") < FIT_SHARE, "fit")
+                     .otherwise("holdout").alias("part"))
 
 
 _complete = " AND ".join(f"{c} IS NOT NULL" for c in INPUT_FEATURES + ("cfa",))

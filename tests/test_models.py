@@ -38,3 +38,13 @@ def test_export_keeps_known_labels(spark):
     assert j.where(F.col("cfa").isNotNull() & (F.col("cfa") != F.col("filled"))).count() == 0
     assert j.where(F.col("filled").isNull()).count() == 0
     assert out.count() == steps.count()
+
+
+def test_large_data_mode_split(frames):
+    train, _ = frames
+    fit_rows, held = M.split_holdout(train)
+    n, a, b = train.count(), fit_rows.count(), held.count()
+    assert a + b == n and 0.6 < a / n < 0.8
+    assert fit_rows.join(held, "row").count() == 0
+    lb = M.leaderboard(train, None, ["BasicLogistic"]).first()
+    assert lb["n"] == held.where("cfa IS NOT NULL").count() and lb["rmse"] > 0
