@@ -75,3 +75,19 @@ def test_describe_matches_pandas(spark):
     for ours, theirs in [("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"),
                          ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")]:
         assert got[ours] == pytest.approx(ref[theirs])
+
+
+def test_feature_table_count_and_drop_forms(edge):
+    steps = edge.withColumn("problem_view", F.lit(1).cast("bigint"))
+    # X1 count form: unseen student D gets the mean correct count 2/3, A its count 1
+    ft = feature_table(steps, stat="count", id_cols=("split", "row"))
+    who = ft.join(edge.select("row", F.col("student").alias("who"), F.col("step").alias("st")), "row")
+    got = {(r["who"], r["st"], r["split"]): r["personal_cfar"] for r in who.collect()}
+    assert got[("D", "s9", "test")] == pytest.approx(2 / 3)
+    assert got[("A", "s1", "test")] == pytest.approx(1.0)
+    # X2 drop form: only rows whose student, problem, step and KC all have a
+    # correct training row survive: A/p1/s1/x~~y in train and in test
+    kept = feature_table(steps, fallback="drop", id_cols=("split", "row"))
+    rows = kept.join(edge.select("row", F.col("student").alias("who")), "row").collect()
+    assert sorted((r["split"], r["who"]) for r in rows) == [("test", "A"), ("train", "A")]
+    assert all(r["problem_cfar"] == pytest.approx(1 / 3) for r in rows)   # denominators: all rows
