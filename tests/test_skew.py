@@ -56,3 +56,21 @@ def test_sliced_step_log_matches_duckdb(spark):
     assert len(a) == len(b) == 6000
     assert (a["row"].to_numpy() == b["row"].to_numpy()).all()
     assert (a["problem_view"].to_numpy() == b["problem_view"].to_numpy()).all()
+
+
+def test_opportunity_counts_paths_agree(spark):
+    """One shuffle by student (students fit a task) and the skew-safe
+    fallback (limit 0: every student counts as hot) give the same strings."""
+    from kcflow.operators.steps import opportunity_counts
+
+    sl = step_log(spark, SF_SMALL, with_view=False, keep_keys=True)
+    ids = ["student", "problem", "step", "kc", "first_tx", *ITEM_KEYS]
+    fast = {tuple(r[c] for c in ids): r["opportunity_count"]
+            for r in opportunity_counts(sl, ids, ORDER).collect()}
+    spark.conf.set("kcflow.window.maxGroupRows", "0")
+    try:
+        slow = {tuple(r[c] for c in ids): r["opportunity_count"]
+                for r in opportunity_counts(sl, ids, ORDER).collect()}
+    finally:
+        spark.conf.unset("kcflow.window.maxGroupRows")
+    assert fast == slow and len(fast) > 0
