@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kcflow.llm.chat import format_chats
 from kcflow.llm.common import documents
+from kcflow.llm.langid import identify
 from kcflow.llm.line_dedup import dedup_lines
+from kcflow.llm.packing import pack
+from kcflow.llm.quality import judge_quality
 from kcflow.llm.registry import register
 from kcflow.llm.sharding import assign_shards
+from kcflow.session import ensure_checkpoint_dir
+from kcflow.sources.tables import table
 
 # DuckDB counts code points with length(); trim() takes the characters to strip.
 _SPACE = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -49,3 +55,65 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return assign_shards(docs, 24).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+CHAT_SQL = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
+                               text NULLS FIRST) AS at,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         coalesce(role, chr(1)) || chr(2) || coalesce(text, chr(1)) AS body
+  FROM turns),
+prefixes AS (
+  SELECT conv_id, at, n, string_agg(body, chr(3)) OVER (PARTITION BY conv_id ORDER BY at) AS p
+  FROM numbered),
+own AS (SELECT p, n, min(conv_id) AS conv_id FROM prefixes WHERE at = n GROUP BY p, n),
+kept AS (
+  SELECT conv_id, n FROM own
+  WHERE NOT EXISTS (SELECT 1 FROM prefixes q WHERE q.p = own.p AND q.at = own.n AND q.at < q.n))
+SELECT numbered.conv_id, CAST((at - 1) // 512 AS INTEGER) AS part, max(kept.n) AS n_turns,
+       count(*) AS turns,
+       string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '')
+                  || '<|im_end|>', chr(10) ORDER BY at) AS text
+FROM numbered JOIN kept USING (conv_id) GROUP BY 1, 2
+"""
+
+
+@register("op5_chat_formatting", CHAT_SQL)
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered conversations that no other logged conversation continues."""
+    ensure_checkpoint_dir(spark)
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+@register("op6_quality_rules")
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted rules and compression bands per document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return judge_quality(docs).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "ratio", "bad_chunks")
+
+
+@register("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 1024 tokens."""
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """The fold that nothing is learned from (a null id belongs to no fold)."""
+    return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 4 == 2,
+                      F.lit(False))
+
+
+@register("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return identify(docs, ~held_out()).select(
+        "row.doc_id", held_out("row.doc_id").alias("held_out"), "lang_pred", "score", "rejected")
