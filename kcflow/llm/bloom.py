@@ -62,8 +62,13 @@ class Pair:
         self.once = np.zeros(bits // 8, np.uint8)
         self.twice = np.zeros(bits // 8, np.uint8)
 
-    def add(self, hashes: np.ndarray) -> None:
-        """Add hashes; one that is given twice counts as seen twice."""
+    def add(self, hashes: np.ndarray, docs: np.ndarray | None = None) -> None:
+        """Add hashes; one that is given twice (for different `docs`) counts as seen twice."""
+        if docs is not None:
+            by = np.lexsort((docs, hashes))
+            hashes, docs = hashes[by], docs[by]
+            new = (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])
+            hashes = hashes[np.concatenate((np.ones(min(1, hashes.size), bool), new))]
         seen, counts = np.unique(hashes, return_counts=True)
         a, b = positions(seen, self.bits)
         again = (counts > 1) | (test(self.once, a) & test(self.once, b))
@@ -95,13 +100,23 @@ def twice_filter(batches_to_hashes, source: DataFrame, bits: int) -> np.ndarray:
     """The merged twice filter of all rows of `source`.
 
     `batches_to_hashes` turns an Arrow batch into an array of 64-bit hashes
-    in which each document gives each of its hashes once.
+    in which each document gives each of its hashes once, or into the hashes
+    and the document of each.
     """
+    return _filter(source, batches_to_hashes, bits, "twice")
 
+
+def once_filter(source: DataFrame, batches_to_hashes, bits: int) -> np.ndarray:
+    """The filter of all hashes of `source`, seen once or more."""
+    return _filter(source, batches_to_hashes, bits, "once")
+
+
+def _filter(source: DataFrame, batches_to_hashes, bits: int, wanted: str) -> np.ndarray:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(bits)
         for batch in batches:
-            pair.add(batches_to_hashes(batch))
+            hashes = batches_to_hashes(batch)
+            pair.add(*(hashes if isinstance(hashes, tuple) else (hashes,)))
         yield from pair.segments()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,8 +124,9 @@ def twice_filter(batches_to_hashes, source: DataFrame, bits: int) -> np.ndarray:
 
         def done():
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([twice.tobytes()], pa.binary())],
-                names=["seg", "twice"])
+                [pa.array([now], pa.int32()),
+                 pa.array([(twice if wanted == "twice" else once).tobytes()], pa.binary())],
+                names=["seg", "bits"])
 
         for batch in batches:
             for seg, o, t in zip(*(batch.column(i) for i in range(3)), strict=True):
@@ -128,11 +144,11 @@ def twice_filter(batches_to_hashes, source: DataFrame, bits: int) -> np.ndarray:
 
     parts = source.mapInArrow(build, "seg int, once binary, twice binary")
     merged = (parts.repartition(SEGMENTS, "seg").sortWithinPartitions("seg")
-              .mapInArrow(merge, "seg int, twice binary"))
+              .mapInArrow(merge, "seg int, bits binary"))
     bitmap = np.zeros(bits // 8, np.uint8)
     size = bits // 8 // SEGMENTS
     for row in merged.collect():  # SEGMENTS rows, MAX_BITS / 8 bytes at most
-        bitmap[row.seg * size:(row.seg + 1) * size] = np.frombuffer(row.twice, np.uint8)
+        bitmap[row.seg * size:(row.seg + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return bitmap
 
 

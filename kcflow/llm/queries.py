@@ -13,6 +13,7 @@ from kcflow.llm.packing import pack
 from kcflow.llm.quality import judge_quality
 from kcflow.llm.registry import register
 from kcflow.llm.sharding import assign_shards
+from kcflow.llm.suffix_dedup import dedup_substrings
 from kcflow.session import ensure_checkpoint_dir
 from kcflow.sources.tables import table
 
@@ -117,3 +118,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return identify(docs, ~held_out()).select(
         "row.doc_id", held_out("row.doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes kept per document once strings of 50 bytes of earlier documents are gone."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return dedup_substrings(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans",
+                                         F.sha2("kept", 256).alias("kept_sha256"))
