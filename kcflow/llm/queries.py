@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kcflow.llm.chat import format_chats
 from kcflow.llm.common import documents
+from kcflow.llm.decontaminate import contaminated
 from kcflow.llm.langid import identify
 from kcflow.llm.line_dedup import dedup_lines
 from kcflow.llm.packing import pack
@@ -62,21 +63,21 @@ CHAT_SQL = """
 WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
-                               text NULLS FIRST) AS at,
+                               text NULLS FIRST) AS pos,
          count(*) OVER (PARTITION BY conv_id) AS n,
          coalesce(role, chr(1)) || chr(2) || coalesce(text, chr(1)) AS body
   FROM turns),
 prefixes AS (
-  SELECT conv_id, at, n, string_agg(body, chr(3)) OVER (PARTITION BY conv_id ORDER BY at) AS p
+  SELECT conv_id, pos, n, string_agg(body, chr(3)) OVER (PARTITION BY conv_id ORDER BY pos) AS p
   FROM numbered),
-own AS (SELECT p, n, min(conv_id) AS conv_id FROM prefixes WHERE at = n GROUP BY p, n),
+own AS (SELECT p, n, min(conv_id) AS conv_id FROM prefixes WHERE pos = n GROUP BY p, n),
 kept AS (
   SELECT conv_id, n FROM own
-  WHERE NOT EXISTS (SELECT 1 FROM prefixes q WHERE q.p = own.p AND q.at = own.n AND q.at < q.n))
-SELECT numbered.conv_id, CAST((at - 1) // 512 AS INTEGER) AS part, max(kept.n) AS n_turns,
+  WHERE NOT EXISTS (SELECT 1 FROM prefixes q WHERE q.p = own.p AND q.pos = own.n AND q.pos < q.n))
+SELECT numbered.conv_id, CAST((pos - 1) // 512 AS INTEGER) AS part, max(kept.n) AS n_turns,
        count(*) AS turns,
        string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '')
-                  || '<|im_end|>', chr(10) ORDER BY at) AS text
+                  || '<|im_end|>', chr(10) ORDER BY pos) AS text
 FROM numbered JOIN kept USING (conv_id) GROUP BY 1, 2
 """
 
@@ -126,3 +127,50 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return dedup_substrings(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans",
                                          F.sha2("kept", 256).alias("kept_sha256"))
+
+
+DECONTAMINATION_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+item_words AS (
+  SELECT item_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+items AS (SELECT item_id, w, len(w) AS size FROM item_words WHERE len(w) >= 5),
+item_shingles AS (
+  SELECT item_id, size, i AS ofs, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT item_id, size, w, unnest(range(1, size - 3)) AS i FROM items)),
+doc_shingles AS (
+  SELECT doc_id, len(w) AS n, i AS pos, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words WHERE len(w) >= 5)),
+windows AS (
+  SELECT DISTINCT doc_id, item_id, size, n,
+         greatest(0, least(pos - ofs, n - size)) AS start
+  FROM doc_shingles JOIN item_shingles USING (s)),
+in_window AS (
+  SELECT v.doc_id, v.item_id, v.start, v.size, d.s, count(*) AS weight
+  FROM windows v JOIN doc_shingles d
+    ON d.doc_id = v.doc_id AND d.pos > v.start AND d.pos <= v.start + v.size - 4
+  GROUP BY ALL),
+item_weights AS (SELECT item_id, s, count(*) AS item_weight FROM item_shingles GROUP BY ALL),
+scored AS (
+  SELECT doc_id, item_id, start, x.size, sum(weight) AS n,
+         sum(least(weight, coalesce(item_weight, 0))) AS least_sum
+  FROM in_window x LEFT JOIN item_weights USING (item_id, s) GROUP BY ALL),
+judged AS (
+  SELECT doc_id, item_id, start, size, least_sum / (n + (size - 4) - least_sum) AS similarity,
+         row_number() OVER (PARTITION BY doc_id, item_id
+                            ORDER BY least_sum / (n + (size - 4) - least_sum) DESC, start) AS best
+  FROM scored)
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start,
+       CAST(round(similarity, 6) AS DOUBLE) AS similarity
+FROM judged WHERE best = 1 AND similarity >= 0.75
+"""
+
+
+@register("op2_decontamination", DECONTAMINATION_SQL)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the best window of each."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return contaminated(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "start", F.round("similarity", 6).alias("similarity"))
