@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kcflow.llm.chat import format_chats
-from kcflow.llm.common import documents
+from kcflow.llm.common import documents, id_back
 from kcflow.llm.decontaminate import contaminated
+from kcflow.llm.jaccard_join import similar_groups
 from kcflow.llm.langid import identify
 from kcflow.llm.line_dedup import dedup_lines
 from kcflow.llm.packing import pack
@@ -174,3 +175,38 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return contaminated(docs, table(spark, sf_dir, "benchmark")).select(
         "doc_id", "item_id", "start", F.round("similarity", 6).alias("similarity"))
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+                               ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+        FROM doc_words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS node FROM documents
+  UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.node)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(node) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+@register("op4_jaccard_join", JACCARD_SQL)
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return similar_groups(docs).select("row.doc_id", "n_shingles",
+                                       id_back("component").alias("component_id"))
