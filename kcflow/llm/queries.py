@@ -10,6 +10,7 @@ from kcflow.llm.common import documents, id_back
 from kcflow.llm.decontaminate import contaminated
 from kcflow.llm.jaccard_join import similar_groups
 from kcflow.llm.langid import identify
+from kcflow.llm.licenses import scan_licences
 from kcflow.llm.line_dedup import dedup_lines
 from kcflow.llm.packing import pack
 from kcflow.llm.quality import judge_quality
@@ -210,3 +211,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return similar_groups(docs).select("row.doc_id", "n_shingles",
                                        id_back("component").alias("component_id"))
+
+
+@register("op9_license_scans")
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document; its path is source/lang/doc_id."""
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "text", F.concat_ws("/", "source", "lang", "doc_id").alias("path"))
+    return scan_licences(docs).select(
+        "row.doc_id", "licence", "cosine", "basis", F.col("source").alias("licence_path"))
