@@ -330,7 +330,7 @@ def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    percent: int = PERCENT) -> DataFrame:
     """`row` (the input row as a struct), d (its id as a long, null as the last),
-    n_shingles and component (in terms of d)."""
+    v (a hash of its text), n_shingles and component (in terms of d)."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     rows = docs.select(packed(docs).alias("row"), id_key(doc_id).alias("d"),
@@ -398,7 +398,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "d", "v", F.col("n").alias("n_shingles"),
         F.coalesce("component", "first").alias("component")).distinct()
     return rows.select("row", "d", "v").join(groups, ["d", "v"]).select(
-        "row", "d", "n_shingles", "component")
+        "row", "d", "v", "n_shingles", "component")
 
 
 def _pairs(edges: DataFrame) -> DataFrame:
