@@ -39,8 +39,8 @@ from kcflow.llm.tokens import Encoder
 CAPACITY = 1024
 END_ID = 2
 
-#: Bytes of text encoded at once in a worker.
-ENCODE_BYTES = 4_000_000
+#: Pieces that a worker hands on at once.
+MOST_ROWS = 4096
 
 PIECES = "d long, piece int, start long, length long, ids_crc32 long"
 
@@ -109,40 +109,37 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                      doc_id: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
     """d (id key), piece, start, length, ids_crc32 and, if asked for, the ids."""
 
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    names = ["d", "piece", "start", "length", "ids_crc32", "ids"]
+
+    def handed_on(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=False)],
+            names=names[:len(columns)])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.at(tokenizer)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            lo = 0
-            while lo < len(keys):
-                part, size, hi = [], 0, lo
-                while hi < len(keys) and (size < ENCODE_BYTES or hi == lo):
-                    value = texts[hi].as_py() or ""
-                    part.append(value)
-                    size += len(value)
-                    hi += 1
-                rows = []
-                for key, own in zip(keys[lo:hi], encoder.encode(part), strict=True):
-                    own = np.append(own, np.uint32(END_ID)).astype("<u4")
-                    begin, k = 0, 0
-                    while begin < own.size:
-                        short = (own.size - begin) % capacity
-                        end = begin + (short or capacity)
-                        piece = own[begin:end]
-                        rows.append((key, k, begin, end - begin, zlib.crc32(piece.tobytes()),
-                                     *([piece] if ids else [])))
-                        begin, k = end, k + 1
-                lo = hi
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
-                         pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds,
-                                                    strict=False)],
-                    names=["d", "piece", "start", "length", "ids_crc32",
-                           *(["ids"] if ids else [])])
+            rows = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.append(encoder.encode(text.as_py() or ""),
+                                np.uint32(END_ID)).astype("<u4")
+                begin, k = 0, 0
+                while begin < own.size:
+                    short = (own.size - begin) % capacity
+                    piece = own[begin:begin + (short or capacity)]
+                    rows.append((key, k, begin, piece.size, zlib.crc32(piece.tobytes()),
+                                 *([piece] if ids else [])))
+                    begin, k = begin + piece.size, k + 1
+                if len(rows) >= MOST_ROWS:
+                    yield handed_on(rows)
+                    rows = []
+            if rows:
+                yield handed_on(rows)
 
     return docs.select(id_key(doc_id).alias("d"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        cut, PIECES + (", ids array<long>" if ids else ""))
+        cut, PIECES + (", ids array<int>" if ids else ""))
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str = "doc_id",

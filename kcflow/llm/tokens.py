@@ -1,46 +1,48 @@
-"""Token ids of texts with a public tokenizer file.
+"""Token ids of texts with a public byte-level BPE file.
 
-A byte-level tokenizer splits a text into pre-tokens by itself first, and
-never across a single space that stands between two visible characters:
-that space opens the next pre-token.  So a text is cut there into units,
-and each different unit is encoded once per worker (the cache is emptied
-when it is full).
+The file is the JSON of the `tokenizers` library.  Its vocabulary is read
+into `tiktoken`, which gives the same ids at several times the speed: in a
+byte-level BPE of this kind a token's id is also the rank of its merge.
+Both are compared in the tests.
 """
 
 from __future__ import annotations
 
-import re
+import json
 
 import numpy as np
-import pandas as pd
 
-#: Units kept per worker.
-CACHE_UNITS = 300_000
+#: Fixed value: how a byte-level BPE file of this kind splits texts.
+PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-_NEXT_TO_SPACE = re.compile(r" \s|\s ")
-_CUT = re.compile(r"(?<=\S)(?= \S)")
 
-
-def units(text: str) -> list[str]:
-    """The text cut before each single space between visible characters."""
-    if _NEXT_TO_SPACE.search(text):
-        return [u for u in _CUT.split(text) if u]
-    first, *rest = text.split(" ")
-    out = [" " + w for w in rest]
-    return [first, *out] if first else out
+def _byte_of_char() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    visible Latin-1 characters for themselves, the others from 256 on."""
+    visible = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
+    others = [b for b in range(256) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 class Encoder:
-    """Encodes lists of texts; one per Python worker and tokenizer file."""
+    """Encodes texts; one per Python worker and tokenizer file."""
 
     _by_path: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[str, np.ndarray] = {}
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            content = json.load(f)
+        model = content["model"]
+        if model["type"] != "BPE":
+            raise ValueError(f"{path} holds no byte-level BPE")
+        byte = _byte_of_char()
+        added = {t["content"] for t in content.get("added_tokens", [])}
+        ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()
+                 if token not in added}
+        self.encoding = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks,
+                                          special_tokens={})
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -48,28 +50,6 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text as uint32."""
-        cut = [units(t) for t in texts]
-        flat = [u for c in cut for u in c]
-        if not flat:
-            return [np.zeros(0, np.uint32) for _ in texts]
-        codes, different = pd.factorize(np.array(flat, dtype=object))
-        if len(self.known) + len(different) > CACHE_UNITS:
-            self.known.clear()
-        new = [u for u in different if u not in self.known]
-        for u, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False),
-                        strict=True):
-            self.known[u] = np.array(e.ids, np.uint32)
-        ids = [self.known[u] for u in different]
-        sizes = np.fromiter((x.size for x in ids), np.int64, len(ids))
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        pool = np.concatenate(ids)
-        n = sizes[codes]
-        ends = np.cumsum(n)
-        # where each unit's ids lie in the pool, for all units one after the other
-        at = np.arange(ends[-1]) + np.repeat(starts[codes] - (ends - n), n)
-        out = pool[at]
-        last = np.cumsum([len(c) for c in cut])
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], last))]
-        return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    def encode(self, text: str) -> np.ndarray:
+        """The ids as uint32; strings of special tokens are ordinary text."""
+        return self.encoding.encode_to_numpy(text, disallowed_special=())
