@@ -45,10 +45,11 @@ def kc_count(kc: str | Column) -> Column:
 
 
 def opportunity_mean(opp: str | Column) -> Column:
-    """Mean of the opportunity numbers; 0.0 for null or empty."""
-    arr = opportunity_list(opp)
+    """Mean of the readable opportunity numbers (pieces that are no number are
+    left out, as in the minimum); 0.0 for null, empty or nothing readable."""
+    arr = F.filter(opportunity_list(opp), lambda x: x.isNotNull())
     total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return F.coalesce(total / F.size(arr), F.lit(0.0))
+    return F.coalesce(F.when(F.size(arr) > 0, total / F.size(arr)), F.lit(0.0))
 
 
 def opportunity_min(opp: str | Column) -> Column:

@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sequence import running_index
@@ -63,13 +64,12 @@ def encode(df: DataFrame, dictionary: DataFrame, col: str, code_col: str = "code
     return joined.select(*cols)
 
 
-def encode_columns(train: DataFrame, test: DataFrame, cols: Sequence[str]
-                   ) -> tuple[DataFrame, DataFrame]:
-    """Encode several columns of a train/test pair with shared dictionaries."""
+def encode_all(df: DataFrame, dictionaries: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Replace several columns by their codes from ``code_dictionaries``."""
     for c in cols:
-        d = code_dictionary([train, test], c)
-        train, test = encode(train, d, c), encode(test, d, c)
-    return train, test
+        own = dictionaries.where(F.col("feature") == c).select(F.col("value").alias(c), "code")
+        df = encode(df.withColumn(c, F.col(c).cast("string")), own, c)
+    return df
 
 
 def one_hot_long(df: DataFrame, id_cols: Sequence[str], coded_cols: Sequence[str]) -> DataFrame:
@@ -80,3 +80,20 @@ def one_hot_long(df: DataFrame, id_cols: Sequence[str], coded_cols: Sequence[str
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("bigint").alias("code"))
                       for c in coded_cols])
     return df.select(*id_cols, F.inline(pairs))
+
+
+def one_hot_vectors(df: DataFrame, coded_cols: Sequence[str], out: str = "one_hot") -> DataFrame:
+    """One sparse vector per row: a slot per code of each column, in the order
+    of the columns.  Codes are 0..n-1 with the missing value as a code of its
+    own, so it keeps a slot (``dropLast`` off, no column per value)."""
+    parts = [f"_kc_{c}" for c in coded_cols]
+    encoder = OneHotEncoder(inputCols=list(coded_cols), outputCols=parts, dropLast=False)
+    hot = encoder.fit(df).transform(df)
+    return VectorAssembler(inputCols=parts, outputCol=out).transform(hot).drop(*parts)
+
+
+def vector_indices(col: str) -> Column:
+    """Positions of the non-zero entries of a vector column."""
+    v = F.unwrap_udt(F.col(col))
+    places = F.transform(v["values"], lambda x, i: F.when(x != 0, i))
+    return F.coalesce(v["indices"], F.filter(places, lambda i: i.isNotNull()))

@@ -84,29 +84,26 @@ def cumulative(hist: DataFrame, value: str = "density", out: str = "cdf",
     return hist.select("bin", "hi", (F.sum(value).over(w) * F.lit(width)).alias(out))
 
 
-def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, long form (a, b, corr).
-
-    One aggregate computes all co-moments (partial + final).  ``corr`` itself
-    raises on a constant column under ANSI mode, so the ratio
-    cov / sqrt(var_a var_b) is formed with ``try_divide``: a column without
-    variance gives null.
+def correlation_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Pearson correlation of every pair of columns, long form (by..., a, b, corr).
+
+    Each pair uses the rows where both values are present: covariance and
+    both variances are taken over the same rows.  One aggregate computes all
+    of them (partial + final).  ``corr`` itself raises on a constant column
+    under ANSI mode, so the ratio is formed with ``try_divide``: a column
+    without variance gives null.
     """
-    cols = list(cols)
-    x = [F.col(c).cast("double") for c in cols]
-    aggs = [F.var_samp(x[i]).alias(f"_v{i}") for i in range(len(cols))]
-    aggs += [F.covar_samp(x[i], x[j]).alias(f"_c{i}_{j}")
-             for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = df.agg(*aggs)
-    pairs = []
+    cols, by = list(cols), list(by)
+    x = {c: F.col(c).cast("double") for c in cols}
+    aggs = []
     for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            if i == j:
-                value = F.when(F.col(f"_v{i}") > 0, F.lit(1.0))
-            else:
-                value = F.try_divide(F.col(f"_c{lo}_{hi}"),
-                                     F.sqrt(F.col(f"_v{lo}") * F.col(f"_v{hi}")))
-            pairs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                  value.alias("corr")))
-    return row.select(F.inline(F.array(*pairs)))
+        for j in range(i, len(cols)):
+            both = x[a].isNotNull() & x[cols[j]].isNotNull()
+            va, vb = F.when(both, x[a]), F.when(both, x[cols[j]])
+            scale = F.sqrt(F.var_samp(va) * F.var_samp(vb))
+            aggs.append(F.try_divide(F.covar_samp(va, vb), scale).alias(f"_c{i}_{j}"))
+    row = df.groupBy(*by).agg(*aggs)
+    pairs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                      F.col(f"_c{min(i, j)}_{max(i, j)}").alias("corr"))
+             for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return row.select(*by, F.inline(F.array(*pairs)))

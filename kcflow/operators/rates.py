@@ -83,3 +83,13 @@ def add_rate(train: DataFrame, rows: DataFrame, key: str | Sequence[str], col: s
     """Rate of ``key`` learnt on ``train``, attached to ``rows``."""
     table = rate_table(train, key, col, stat=stat, fallback=fallback, label=label)
     return apply_rate(rows, table, key, col, fallback=fallback)
+
+
+def stacked_counts(train: DataFrame, keys: Sequence[str], label: str = LABEL) -> DataFrame:
+    """(key, value, n, n_correct) for several key columns in one pass over the
+    rows; null values are left out."""
+    pairs = train.select((F.col(label) == 1).alias("_kc_ok"), F.inline(F.array(*[
+        F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys])))
+    return pairs.where(F.col("value").isNotNull()).groupBy("key", "value").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.count_if(F.col("_kc_ok")).cast("bigint").alias("n_correct"))

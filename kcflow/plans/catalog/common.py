@@ -59,7 +59,7 @@ SECTION_SQL = ("CASE WHEN strpos(hierarchy, ',') > 0 "
                "THEN substr(hierarchy, strpos(hierarchy, ',') + 1) END")
 KC_NUM_SQL = "CAST(coalesce(len(string_split(nullif(kc, ''), '~~')), 0) AS BIGINT)"
 OPP_LIST_SQL = "list_transform(string_split(nullif(opportunity, ''), '~~'), lambda x: TRY_CAST(x AS BIGINT))"
-OPP_MEAN_SQL = (f"coalesce(CAST(list_sum({OPP_LIST_SQL}) AS DOUBLE) / len({OPP_LIST_SQL}), 0.0)")
+OPP_MEAN_SQL = f"coalesce(CAST(list_avg({OPP_LIST_SQL}) AS DOUBLE), 0.0)"
 OPP_MIN_SQL = f"CAST(coalesce(list_min({OPP_LIST_SQL}), 0) AS BIGINT)"
 
 KEY_ROWS_SQL = f"""

@@ -78,8 +78,8 @@ SELECT problem, round(median, 9) AS median FROM medians
 ORDER BY median ASC, problem DESC LIMIT {TOP_K}""", MEDIAN_CTE))
 def easiest_problems(spark, sf_dir):
     """The last five of the list sorted by descending median."""
-    top = explore.top_k(_medians(spark, sf_dir), TOP_K, [F.asc("median"), F.desc("problem")])
-    return rounded(top, ["median"])
+    last = explore.top_k(_medians(spark, sf_dir), TOP_K, [F.asc("median"), F.desc("problem")])
+    return rounded(last.orderBy(F.desc("median"), F.asc("problem")), ["median"])
 
 
 def _hist_sql(source: str, col: str, bins: int, lo: float, hi: float, cdf: bool = False) -> str:
@@ -138,30 +138,20 @@ def median_histogram(spark, sf_dir):
 
 
 def _corr_sql() -> str:
-    cols = list(CORR_COLUMNS)
-    aggs = [f"var_samp(CAST({c} AS DOUBLE)) AS v{i}" for i, c in enumerate(cols)]
-    aggs += [f"covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c{i}_{j}"
-             for i, a in enumerate(cols) for j, b in enumerate(cols) if j > i]
-    items = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            if i == j:
-                v = f"CASE WHEN v{i} > 0 THEN 1.0 END"
-            else:
-                v = f"CASE WHEN v{lo} > 0 AND v{hi} > 0 THEN c{lo}_{hi} / sqrt(v{lo} * v{hi}) END"
-            items.append(f"{{'col_a': '{a}', 'col_b': '{b}', 'corr': round({v}, 6)}}")
+    """Written from the definition: DuckDB's corr skips rows where either is null."""
+    items = [f"{{'col_a': '{a}', 'col_b': '{b}', 'corr': "
+             f"round(CASE WHEN NOT isnan(corr({a}, {b})) THEN corr({a}, {b}) END, 6)}}"
+             for a in CORR_COLUMNS for b in CORR_COLUMNS]
     return features_sql(f"""
-SELECT unnest([{', '.join(items)}], recursive := true)
-FROM (SELECT {', '.join(aggs)} FROM features WHERE split = 'train')""")
+SELECT split, unnest([{', '.join(items)}], recursive := true) FROM features GROUP BY split""")
 
 
 @register("feature_correlation", _corr_sql())
 def feature_correlation(spark, sf_dir):
-    """Pearson correlation matrix of the 12 notebook features (training rows)."""
+    """Pearson correlation matrix of the 12 notebook features, for the training
+    rows and for the test rows (where some labels are missing)."""
     ft = features_df(spark, sf_dir, with_row=False)
-    c = explore.correlation_long(ft.where(F.col("split") == "train"), CORR_COLUMNS)
-    return rounded(c, ["corr"], 6)
+    return rounded(explore.correlation_long(ft, CORR_COLUMNS, ["split"]), ["corr"], 6)
 
 
 _TIMES = ["step_start", "first_tx", "correct_tx", "step_end"]

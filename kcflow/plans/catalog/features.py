@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...operators.encoding import code_dictionary, key_dictionary, one_hot_long
-from ..features import FEATURES, feature_table
+from ...operators.encoding import code_dictionaries, code_dictionary, encode_all, \
+    key_dictionary, one_hot_long, one_hot_vectors, vector_indices
+from ...session import scratch_path
+from ...sources import tsv
+from ..features import FEATURES, feature_table, read_features, write_features
 from ..oracle import with_steps
 from ..registry import register
-from .common import KC_NUM_SQL, KEY_ROWS_SQL, OPP_MEAN_SQL, OPP_MIN_SQL, key_rows, r, rounded
+from .common import KC_NUM_SQL, KEY_ROWS_SQL, OPP_MEAN_SQL, OPP_MIN_SQL, key_rows, r, rounded, \
+    ts_sql, ts_text
 
 CODED = ("student", "problem", "unit", "section", "step", "hierarchy")
 RATED = {"student": "personal_cfar", "problem": "problem_cfar", "step": "step_cfar",
@@ -102,6 +106,86 @@ def feature_table_q(spark, sf_dir):
     return rounded(features_df(spark, sf_dir, with_row=False), RATE_FEATURES)
 
 
+def _variant_sql(count_students: bool = False, strict: bool = False) -> str:
+    """The feature table again, with another student statistic or inner joins."""
+    sql = features_sql(_feature_select())
+    if count_students:
+        head, tail = sql.split("g_student AS (", 1)
+        tail = tail.replace("count(*) FILTER (WHERE cfa = 1) / count(*) AS v",
+                            "CAST(count(*) FILTER (WHERE cfa = 1) AS DOUBLE) AS v", 1)
+        sql = head + "g_student AS (" + tail
+    if strict:
+        for k in RATED:
+            sql = sql.replace(f"AND {k} IS NOT NULL GROUP BY {k})",
+                              f"AND {k} IS NOT NULL GROUP BY {k}\n"
+                              "          HAVING count(*) FILTER (WHERE cfa = 1) > 0)")
+            sql = sql.replace(f"LEFT JOIN g_{k} ON", f"JOIN g_{k} ON")
+    return sql
+
+
+@register("feature_table_count", _variant_sql(count_students=True))
+def feature_table_count(spark, sf_dir):
+    """The feature table with the number of correct steps as the student's value."""
+    ft = features_df(spark, sf_dir, with_row=False, stat={"student": "count"})
+    return rounded(ft, RATE_FEATURES)
+
+
+@register("feature_table_strict", _variant_sql(strict=True))
+def feature_table_strict(spark, sf_dir):
+    """The feature table without rows (train or test) that have a key of no rate."""
+    ft = features_df(spark, sf_dir, with_row=False, fallback="drop")
+    return rounded(ft, RATE_FEATURES)
+
+
+@register("feature_tsv", features_sql(_feature_select()))
+def feature_tsv(spark, sf_dir):
+    """The feature table written as tab-separated files with the original column
+    names, read back with its types."""
+    ft = rounded(features_df(spark, sf_dir, with_row=False), RATE_FEATURES)
+    path = scratch_path(spark, "features-tsv")
+    write_features(ft, path)
+    return read_features(spark, path, ft.schema)
+
+
+SPLIT_CODED = ("student", "hierarchy", "unit", "section", "problem", "step")
+
+
+def _encoded_sql() -> str:
+    cols = []
+    for c in tsv.SPLIT_ORDER:
+        if c in SPLIT_CODED:
+            cols.append(f"c_{c}.code AS {c}")
+        else:
+            cols.append(ts_sql(c) if tsv.TYPES[c] == "timestamp_ntz" else f"f.{c}")
+    joins = " ".join(f"JOIN c_{c} ON f.{c} IS NOT DISTINCT FROM c_{c}.{c}" for c in SPLIT_CODED)
+    return with_steps(f"SELECT f.split, {', '.join(cols)} FROM key_rows f {joins}", KEY_ROWS_SQL,
+                      "feat_rows AS (SELECT * FROM key_rows)", *[_code_cte(c) for c in SPLIT_CODED])
+
+
+@register("encoded_steps", _encoded_sql())
+def encoded_steps(spark, sf_dir):
+    """The 21-column step table with six columns replaced by codes that training
+    and test rows share."""
+    rows = key_rows(spark, sf_dir, with_view=True, with_row=True)
+    out = encode_all(rows, code_dictionaries(rows, SPLIT_CODED), SPLIT_CODED)
+    times = [c for c in tsv.SPLIT_ORDER if tsv.TYPES[c] == "timestamp_ntz"]
+    return ts_text(out.select("split", *tsv.SPLIT_ORDER), times)
+
+
+@register("one_hot_sparse", features_sql("""
+SELECT split, row, [student, sizes.n1 + unit, sizes.n1 + sizes.n2 + section,
+       sizes.n1 + sizes.n2 + sizes.n3 + step,
+       sizes.n1 + sizes.n2 + sizes.n3 + sizes.n4 + problem]::VARCHAR AS indices
+FROM features, (SELECT max(student) + 1 AS n1, max(unit) + 1 AS n2, max(section) + 1 AS n3,
+                       max(step) + 1 AS n4 FROM features) sizes"""))
+def one_hot_sparse(spark, sf_dir):
+    """The one-hot matrix as one sparse vector per row: positions of its ones."""
+    vectors = one_hot_vectors(features_df(spark, sf_dir),
+                              ["student", "unit", "section", "step", "problem"])
+    return vectors.select("split", "row", F.concat(
+        F.lit("["), F.array_join(vector_indices("one_hot"), ", "), F.lit("]")).alias("indices"))
+
+
 @register("one_hot_long", features_sql("""
 SELECT split, row, feature, code FROM (
   SELECT split, row, unnest([

@@ -1,12 +1,24 @@
-"""Model queries (no SQL twin: fits are iterative) plus the SQL-checkable
-pieces around them: the hash split and the complete-row filter."""
+"""Model queries and the SQL-checkable pieces around them.
+
+Fits are iterative and have no SQL form, but what must hold of their output
+has: one row per test row, known labels unchanged, every prediction present
+and in [0, 1].  The queries return exactly that, so each has a twin.  The
+2150-round booster and the vote that contains it take longer than a query
+run allows (a round is a few Spark jobs); they are library calls
+(`models.fit_booster`, `models.fit_vote`) and not registered.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...functions.metrics import soft_vote
+from ...session import scratch_path
+from ...sources.fixtures import step_log
 from .. import models as M
+from ..oracle import with_steps
 from ..registry import register
+from ..submission import export
 from .common import rounded
 from .features import INPUT_FEATURES, features_df, features_sql
 
@@ -15,54 +27,87 @@ FIT_SHARE = M.FIT_BUCKETS  # out of 10 hash buckets
 
 
 def _frames(spark, sf_dir):
-    data = M.training_frame(features_df(spark, sf_dir, with_row=True))
-    return data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    return M.model_frames(features_df(spark, sf_dir, with_row=True))
+
+
+def _valid(col: str = "prediction"):
+    return F.coalesce(F.col(col).between(0.0, 1.0), F.lit(False))
 
 
 def _make_model_query(method: str):
     def q(spark, sf_dir):
-        train, test = _frames(spark, sf_dir)
-        pred = M.fit(method, train).predict(test)
-        return rounded(pred.select("row", "cfa", "prediction"), ["prediction"])
+        frames = _frames(spark, sf_dir)
+        pred = M.fit(method, frames.fit).predict(frames.test)
+        frames.release()
+        return pred.select("row", "cfa", _valid().alias("valid"))
     q.__name__ = f"model_{method.lower()}"
     q.__doc__ = f"Fit {method} on the training rows, predict every test row."
     return q
 
 
 MODEL_KEYS = {"model_tree": "DecisionTree", "model_forest": "RandomForest",
-              "model_adaboost": "Adaboost", "model_gbt_deep": "XGBoost",
-              "model_gbt_long": "Lightgbm", "model_gbt": "GBDT",
-              "model_logistic": "BasicLogistic", "model_vote": "Vote"}
+              "model_adaboost": "Adaboost", "model_gbt_deep": "XGBoost", "model_gbt": "GBDT",
+              "model_logistic": "BasicLogistic"}
+
+MODEL_SQL = with_steps("SELECT row, CAST(cfa AS DOUBLE) AS cfa, TRUE AS valid FROM test")
 
 for _key, _method in MODEL_KEYS.items():
-    register(_key)(_make_model_query(_method))
+    register(_key, MODEL_SQL)(_make_model_query(_method))
+
+LEADERBOARD = tuple(MODEL_KEYS.values())
 
 
-@register("model_leaderboard")
+@register("model_leaderboard", with_steps(f"""
+SELECT m.model, CAST(count(*) AS BIGINT) AS n, TRUE AS scored
+FROM test, (SELECT unnest({list(LEADERBOARD)}) AS model) m
+WHERE cfa IS NOT NULL GROUP BY m.model"""))
 def model_leaderboard(spark, sf_dir):
-    """RMSE of all eight methods on the labelled test rows."""
-    train, test = _frames(spark, sf_dir)
-    return M.leaderboard(train, test, list(M.METHODS))
+    """Labelled test rows scored per method, and that each has an RMSE."""
+    frames = _frames(spark, sf_dir)
+    board = M.leaderboard(frames.fit, frames.test, LEADERBOARD)
+    frames.release()
+    return board.select("model", "n", _valid("rmse").alias("scored"))
 
 
-@register("model_cv")
+# The searched cells of the query: ends of the reference's depth range that it also uses.
+CV_GRID = {"maxIter": (80,), "maxDepth": (2, 5)}
+
+
+@register("model_cv", """
+SELECT CAST(80 AS DOUBLE) AS "maxIter", CAST(d AS DOUBLE) AS "maxDepth", TRUE AS scored
+FROM (SELECT unnest([2, 5]) AS d)""")
 def model_cv(spark, sf_dir):
-    """5-fold cross-validated RMSE over a small boosted-tree grid."""
-    train, _ = _frames(spark, sf_dir)
-    return M.cross_validate(train)
+    """5-fold cross-validated error of the boosted classifier for two depths."""
+    frames = _frames(spark, sf_dir)
+    out = M.cross_validate(frames.fit, CV_GRID, {"stepSize": 0.1, "subsamplingRate": 0.8})
+    frames.release()
+    return out.select("maxIter", "maxDepth", _valid("mse").alias("scored"))
+
+
+@register("submission_export", with_steps("""
+SELECT row, student, problem, step, CAST(cfa AS DOUBLE) AS known, TRUE AS valid FROM test"""))
+def submission_export(spark, sf_dir):
+    """Fit, predict every test row, fill missing labels, write TSV, read it back:
+    known labels as they were, and every label in [0, 1]."""
+    steps = step_log(spark, sf_dir, with_row=True)
+    written = export(steps, scratch_path(spark, "submission"), method="RandomForest")
+    given = steps.where(F.col("split") == "test").select("row", F.col("cfa").alias("given"))
+    return written.join(given, "row").select(
+        "row", "student", "problem", "step",
+        F.when(F.col("given").isNotNull(), F.col("cfa")).alias("known"), _valid("cfa").alias("valid"))
 
 
 HASH_BUCKET_SQL = "CAST(('0x' || substr(md5(CAST(row AS VARCHAR)), 1, 8)) AS BIGINT) % 10"
 
 
-@register("hash_split", features_sql(f"""
+@register("hash_split", with_steps(f"""
 SELECT row, CASE WHEN {HASH_BUCKET_SQL} < {FIT_SHARE} THEN 'fit' ELSE 'holdout' END AS part
-FROM features WHERE split = 'train'"""))
+FROM train"""))
 def hash_split(spark, sf_dir):
     """Deterministic 70/30 split of the training rows by a hash of the row id."""
-    ft = features_df(spark, sf_dir, with_row=True).where(F.col("split") == "train")
-    return ft.select("row", F.when(M.hash_bucket("row") < FIT_SHARE, "fit")
-                     .otherwise("holdout").alias("part"))
+    rows = step_log(spark, sf_dir, with_row=True).where(F.col("split") == "train")
+    return rows.select("row", F.when(M.hash_bucket("row") < FIT_SHARE, "fit")
+                       .otherwise("holdout").alias("part"))
 
 
 _complete = " AND ".join(f"{c} IS NOT NULL" for c in INPUT_FEATURES + ("cfa",))
@@ -75,3 +120,29 @@ def complete_rows(spark, sf_dir):
     ft = features_df(spark, sf_dir, with_row=False)
     kept = ft.na.drop("any", subset=list(INPUT_FEATURES) + ["cfa"])
     return kept.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+# One boosting round on a stand-in tree: the mean of two rates is its prediction.
+ROUND_ROWS = "split = 'train' AND cfa IS NOT NULL"
+
+
+@register("adaboost_round", features_sql("""
+SELECT row, round(err, 9) AS err, round(loss, 9) AS loss, round(beta, 9) AS beta,
+       round(power(beta, 1 - loss) / (SELECT count(*) FROM errors), 12) AS w
+FROM losses, (SELECT avg(loss) / (1 - avg(loss)) AS beta FROM losses)""", f"""
+errors AS (SELECT row, abs(cfa - (personal_cfar + problem_cfar) / 2) AS err
+           FROM features WHERE {ROUND_ROWS})""", """
+losses AS (SELECT row, err, 1 - exp(-err / (SELECT max(err) FROM errors)) AS loss FROM errors)"""))
+def adaboost_round(spark, sf_dir):
+    """Error, loss, beta and new weights of one AdaBoost.R2 round (equal weights before)."""
+    rows = features_df(spark, sf_dir).where(ROUND_ROWS).select(
+        "row", F.abs(F.col("cfa") - soft_vote(("personal_cfar", "problem_cfar"), (1.0, 1.0)))
+        .alias("err"))
+    sized = rows.crossJoin(F.broadcast(rows.agg(  # one row
+        F.max("err").alias("top"), F.count(F.lit(1)).alias("n"))))
+    losses = sized.withColumn("loss", M.adaboost_loss(F.col("err"), F.col("top")))
+    beta = losses.agg(F.avg("loss").alias("a")).select((F.col("a") / (1 - F.col("a"))).alias("beta"))
+    out = losses.crossJoin(F.broadcast(beta))  # one row
+    w = M.adaboost_weight(1 / F.col("n"), F.col("loss"), F.col("beta"))
+    return rounded(rounded(out.select("row", "err", "loss", "beta", w.alias("w")),
+                           ["err", "loss", "beta"]), ["w"], 12)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ...functions import skills
-from ...operators.rates import add_rate, correct_counts, rate_table
+from ...operators.rates import add_rate, correct_counts, stacked_counts
+from ...operators.sequence import materialize
 from ...sources.fixtures import step_log
 from ..oracle import with_steps
 from ..registry import register
@@ -81,18 +80,13 @@ FROM (SELECT {k}, count(*) FILTER (WHERE cfa = 1) AS n_correct, count(*) AS n
 @register("mean_group_rate", _mean_group_sql())
 def mean_group_rate(spark, sf_dir):
     """Unweighted mean of group rates per key (the fallback values)."""
-    train = train_of(key_rows(spark, sf_dir))
-    outs = []
-    for k in RATE_KEYS:
-        c = correct_counts(train, k).where(F.col(k).isNotNull())
-        rate = F.col("n_correct") / F.col("n")
-        outs.append(c.agg(
-            F.count(F.lit(1)).alias("n_groups"),
-            F.avg(rate).alias("mean_rate"),
-            F.avg(F.when(F.col("n_correct") > 0, rate)).alias("mean_rate_strict"),
-            F.avg("n_correct").alias("mean_correct_count"),
-        ).select(F.lit(k).alias("key"), "*"))
-    out = reduce(lambda a, b: a.unionByName(b), outs)
+    counts = stacked_counts(train_of(key_rows(spark, sf_dir)), list(RATE_KEYS))
+    rate = F.col("n_correct") / F.col("n")
+    out = counts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n_groups"),
+        F.avg(rate).alias("mean_rate"),
+        F.avg(F.when(F.col("n_correct") > 0, rate)).alias("mean_rate_strict"),
+        F.avg("n_correct").alias("mean_correct_count"))
     return rounded(out, ["mean_rate", "mean_rate_strict", "mean_correct_count"])
 
 
@@ -111,11 +105,13 @@ FROM train WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) FILTER (WHERE cfa
 @register("rate_strict_table", _strict_table_sql())
 def rate_strict_table(spark, sf_dir):
     """Rate tables keeping only keys with a correct row (long form, four keys)."""
-    train = train_of(step_log(spark, sf_dir, with_view=False))
-    outs = [rate_table(train, k, "rate", fallback="drop")
-            .select(F.lit(k).alias("key"), F.col(k).alias("value"), "rate")
-            for k in STRICT_KEYS]
-    return reduce(lambda a, b: a.unionByName(b), outs)
+    return _strict_rates(train_of(step_log(spark, sf_dir, with_view=False)))
+
+
+def _strict_rates(train):
+    """(key, value, rate) of all four keys in one pass."""
+    counts = stacked_counts(train, list(STRICT_KEYS)).where(F.col("n_correct") > 0)
+    return counts.select("key", "value", (F.col("n_correct") / F.col("n")).alias("rate"))
 
 
 def _strict_sql() -> str:
@@ -132,9 +128,12 @@ s_{k} AS (SELECT {k}, count(*) FILTER (WHERE cfa = 1) / count(*) AS {n}
 def rate_strict(spark, sf_dir):
     """Training rows kept by inner joins with the four strict rate tables."""
     train = train_of(step_log(spark, sf_dir, with_view=False))
+    # one row per key value, read once per key below
+    rates = materialize(_strict_rates(train), "strict-rates", ["key"])
     rows = train
     for k, n in STRICT_KEYS.items():
-        rows = add_rate(train, rows, k, n, fallback="drop")
+        table = rates.where(F.col("key") == k).select(F.col("value").alias(k), F.col("rate").alias(n))
+        rows = rows.join(table, k)
     return rows.select(*STRICT_KEYS, *STRICT_KEYS.values())
 
 

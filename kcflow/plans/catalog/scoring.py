@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.metrics import clamp01, rmse, soft_vote, weighted_median
+from ...sources.fixtures import step_log
+from ..oracle import with_steps
 from ..registry import register
-from ..submission import fill_labels, mean_score
+from ..submission import mean_score
 from .common import rounded
 from .features import features_df, features_sql
 
@@ -35,16 +37,15 @@ def _with_vote(ft):
     return ft.withColumn("vote", soft_vote(VOTE_INPUTS, VOTE_WEIGHTS))
 
 
-@register("rmse_mean_baseline", features_sql("""
+@register("rmse_mean_baseline", with_steps("""
 SELECT CAST(count(*) AS BIGINT) AS n,
-       round(sqrt(avg(power((SELECT avg(cfa) FROM features WHERE split = 'train') - cfa, 2))), 9)
-         AS rmse
-FROM features WHERE split = 'test' AND cfa IS NOT NULL"""))
+       round(sqrt(avg(power((SELECT avg(cfa) FROM train) - cfa, 2))), 9) AS rmse
+FROM test WHERE cfa IS NOT NULL"""))
 def rmse_mean_baseline(spark, sf_dir):
     """RMSE of predicting the training mean label for every labelled test row."""
-    ft = _features(spark, sf_dir)
-    mean = ft.where(F.col("split") == "train").agg(F.avg("cfa")).scalar()
-    lab = ft.where((F.col("split") == "test") & F.col("cfa").isNotNull())
+    steps = step_log(spark, sf_dir, with_view=False)
+    mean = steps.where(F.col("split") == "train").agg(F.avg("cfa")).scalar()
+    lab = steps.where((F.col("split") == "test") & F.col("cfa").isNotNull())
     out = lab.agg(F.count(F.lit(1)).cast("bigint").alias("n"), rmse(mean, "cfa").alias("rmse"))
     return rounded(out, ["rmse"])
 
@@ -81,10 +82,9 @@ SELECT row, round(coalesce(CAST(cfa AS DOUBLE), greatest(0.0, least(1.0, {VOTE_S
 FROM features WHERE split = 'test'"""))
 def submission(spark, sf_dir):
     """Test rows with missing labels filled by the (stand-in) vote; known labels kept."""
-    ft = _with_vote(_features(spark, sf_dir))
-    test = ft.where(F.col("split") == "test")
-    filled = fill_labels(test.select("row", "cfa"), test.select("row", F.col("vote").alias("prediction")))
-    return rounded(filled.select("row", "cfa"), ["cfa"])
+    test = _with_vote(_features(spark, sf_dir)).where(F.col("split") == "test")
+    filled = F.coalesce(F.col("cfa").cast("double"), clamp01("vote"))
+    return rounded(test.select("row", filled.alias("cfa")), ["cfa"])
 
 
 @register("mean_rmse", features_sql(f"""

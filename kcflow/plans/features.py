@@ -10,8 +10,9 @@ keeps a shuffle join otherwise.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import skills
 from ..operators.sequence import running_index
@@ -52,7 +53,7 @@ def step_features(steps: DataFrame, id_cols=("split", "row")) -> DataFrame:
         skills.opportunity_min("opportunity").alias("opportunity_min"))
 
 
-def key_dimensions(rows: DataFrame, is_train, *, stat: str = "rate",
+def key_dimensions(rows: DataFrame, is_train, *, stat: str | dict[str, str] = "rate",
                    fallback: str = "mean") -> DataFrame:
     """``(feature, value, code, rate)`` for every key column in one pass.
 
@@ -77,12 +78,12 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str = "rate",
         has_rate = has_rate & (F.col("n_correct") > 0)
     elif fallback != "mean":
         raise ValueError("fallback must be 'mean' or 'drop'")
-    if stat == "rate":
-        value = F.col("n_correct") / F.col("n")
-    elif stat == "count":
-        value = F.col("n_correct").cast("double")
-    else:
+    stats = stat if isinstance(stat, dict) else {k: stat for k in keys}
+    if not set(stats.values()) <= {"rate", "count"}:
         raise ValueError("stat must be 'rate' or 'count'")
+    counted = [k for k, s in stats.items() if s == "count"]
+    value = F.when(F.col("feature").isin(*counted), F.col("n_correct").cast("double")) \
+        .otherwise(F.try_divide(F.col("n_correct"), F.col("n")))
     # A feature has at most as many distinct values as there are rows, so
     # the row count bounds every dictionary (a scan without columns).
     coded = running_index(counts, ["feature"], [F.col("value").asc_nulls_first()], "_kc_pos",
@@ -102,12 +103,15 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str = "rate",
     return dims.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def feature_table(steps: DataFrame, *, stat: str = "rate", fallback: str = "mean",
+def feature_table(steps: DataFrame, *, stat: str | dict[str, str] = "rate",
+                  fallback: str = "mean",
                   id_cols=("split", "row"), train_filter=None) -> DataFrame:
     """Features for every row of ``steps`` (train and test together).
 
     Rates are learnt on the training rows (``split = 'train'`` unless
-    ``train_filter`` says otherwise); codes come from all rows.
+    ``train_filter`` says otherwise); codes come from all rows.  ``stat`` is
+    'rate' or 'count' for all keys, or a dict of key column to either
+    (keys left out use the rate).
     """
     rows = step_features(steps, id_cols)
     is_train = train_filter if train_filter is not None else F.col("split") == "train"
@@ -127,3 +131,16 @@ def feature_table(steps: DataFrame, *, stat: str = "rate", fallback: str = "mean
             new[key] = F.col("_kc_code")
         rows = rows.withColumns(new).drop("_kc_dkey", "_kc_code", "_kc_rate")
     return rows.select(*id_cols, *FEATURES)
+
+
+def write_features(features: DataFrame, path: str) -> None:
+    """Feature files: tab-separated, original column names, a header."""
+    features.select(*[F.col(c).alias(EXPORT_NAMES.get(c, c)) for c in features.columns]) \
+        .write.option("sep", "\t").option("header", True).csv(path)
+
+
+def read_features(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Feature files in their types, with the library's column names."""
+    raw = spark.read.option("sep", "\t").option("header", True).csv(path)
+    return raw.select(*[F.col(f"`{EXPORT_NAMES.get(f.name, f.name)}`").cast(f.dataType)
+                        .alias(f.name) for f in schema])

@@ -1,8 +1,18 @@
 """Models on the feature table: MLlib estimators, AdaBoost.R2, soft vote, CV.
 
-Every fit is an MLlib job on the executors; the training frame is written
-once (parquet in the shared checkpoint folder) and persisted, so iterative
-learners do not recompute the feature plan on every pass.
+Every fit is an MLlib job on the executors.  ``model_frames`` writes the
+assembled rows once (parquet in the shared checkpoint folder) and keeps the
+fit rows persisted, so iterative learners do not recompute the feature plan
+on every pass; ``release`` frees them.
+
+Rows to fit on are complete and labelled.  At most ``max_fit_rows`` of them
+are used, picked by a hash of the row id (a documented bound: it limits the
+passes of sequential learners and the size of unbounded trees; scoring and
+prediction always cover all rows).  Every row is predicted: a missing input
+is replaced by the mean of the complete training rows.
+
+Rounds, depths, grids and folds are parameters with the reference's settings
+as defaults.
 
 Mapping of the reference's eight methods (SURVEY section 2.8):
 
@@ -11,7 +21,7 @@ Mapping of the reference's eight methods (SURVEY section 2.8):
 * ``Adaboost``      - AdaBoost.R2 (exponential loss) over depth-3 regression
                       trees, weighted fits instead of weighted resampling
 * ``XGBoost``       - GBTClassifier 150 x depth 5, rate 0.1, subsample 0.8
-* ``Lightgbm``      - GBTClassifier depth 4, rate 0.1, subsample 0.85
+* ``Lightgbm``      - GBTClassifier 2150 x depth 4, rate 0.1, subsample 0.85
 * ``GBDT``          - GBTClassifier 200 x depth 3, rate 0.1
 * ``BasicLogistic`` - LogisticRegression with an L2 penalty
 * ``Vote``          - soft vote of RandomForest (1) and Lightgbm (1.5)
@@ -20,7 +30,9 @@ Mapping of the reference's eight methods (SURVEY section 2.8):
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
@@ -31,7 +43,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import weighted_median
+from ..functions.metrics import rmse, squared_error, weighted_median
 from ..operators.sequence import materialize
 from .features import FEATURES
 
@@ -43,23 +55,75 @@ SEED = 33
 FOREST = dict(numTrees=50, featureSubsetStrategy="sqrt", maxDepth=30,
               minWeightFractionPerNode=0.005, impurity="gini")
 XGB_LIKE = dict(maxIter=150, maxDepth=5, stepSize=0.1, subsamplingRate=0.8)
-LGBM_LIKE = dict(maxIter=150, maxDepth=4, stepSize=0.1, subsamplingRate=0.85)
+LGBM_LIKE = dict(maxIter=2150, maxDepth=4, stepSize=0.1, subsamplingRate=0.85)
 GBDT = dict(maxIter=200, maxDepth=3, stepSize=0.1)
 VOTE_WEIGHTS = (1.0, 1.5)
 ADABOOST_ROUNDS, ADABOOST_RATE, ADABOOST_DEPTH = 50, 1.0, 3
 TREE_MAX_DEPTH = 30
-# Rounds between lineage cuts in the boosting loop.
-ADABOOST_CUT_EVERY = 5
-
-
-def training_frame(features: DataFrame, name: str = "model-input") -> DataFrame:
-    """Complete rows with a label, assembled, written once and persisted."""
-    cols = [c for c in features.columns if c not in INPUTS]
-    complete = features.na.drop("any", subset=list(INPUTS))
-    assembled = VectorAssembler(inputCols=list(INPUTS), outputCol="features") \
-        .transform(complete.withColumn(LABEL, F.col(LABEL).cast("double")))
-    fixed = materialize(assembled.select(*cols, "features"), name)
-    return fixed.persist(StorageLevel.MEMORY_AND_DISK)
+# Rounds between lineage cuts (a checkpoint in the shared folder) of the boosting loop.
+ADABOOST_CUT_EVERY = 10
+# Labelled rows used to fit, at most (see the module docstring).
+MAX_FIT_ROWS = 1_000_000
+# Rows per partition of the fit table: sequential learners pay per task.
+FIT_ROWS_PER_PARTITION = 25_000
+# Models fitted at the same time by the leaderboard (Spark interleaves their jobs).
+CONCURRENT_FITS = 4
+
+
+@dataclass
+class Frames:
+    """Assembled rows of one feature table: ``fit`` (complete, labelled
+    training rows, bounded), ``train`` and ``test`` (every row)."""
+
+    fit: DataFrame
+    train: DataFrame
+    test: DataFrame
+
+    def release(self) -> None:
+        self.fit.unpersist()
+
+
+def bounded_sample(rows: DataFrame, n: int, most: int, id_col: str = "row") -> DataFrame:
+    """At most about ``most`` of ``n`` rows, picked by a hash of the id (the
+    same ones on every run); all rows when they are few enough."""
+    if n <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)) < most)
+
+
+def model_frames(features: DataFrame, max_fit_rows: int = MAX_FIT_ROWS,
+                 name: str = "model-input") -> Frames:
+    """Split, impute and assemble a feature table for fitting and prediction."""
+    others = [c for c in features.columns if c not in INPUTS]
+    present = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in INPUTS]
+    complete = present[0]
+    for x in present[1:]:
+        complete = complete & x
+    plain = materialize(features.select(
+        *others, *INPUTS, complete.alias("_kc_complete")), name)
+    known = plain.where((F.col("split") == "train") & F.col("_kc_complete"))
+    # one row with one mean per input, attached as constants
+    means = known.agg(*[F.avg(c).alias(c) for c in INPUTS]).first()
+    filled = plain.withColumns({c: F.coalesce(
+        F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
+        F.lit(float(means[c] if means[c] is not None else 0.0))) for c in INPUTS})
+    data = VectorAssembler(inputCols=list(INPUTS), outputCol="features").transform(
+        filled.withColumn(LABEL, F.col(LABEL).cast("double")))
+    data = data.select(*others, "_kc_complete", "features")
+    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
+    return Frames(fit_rows(train, max_fit_rows), train.drop("_kc_complete"),
+                  test.drop("_kc_complete"))
+
+
+def fit_rows(train: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
+    """Complete, labelled rows in few partitions, bounded and persisted."""
+    usable = train.where(F.col(LABEL).isNotNull() & ~F.isnan(LABEL))
+    if "_kc_complete" in train.columns:
+        usable = usable.where(F.col("_kc_complete")).drop("_kc_complete")
+    n = usable.count()
+    used = bounded_sample(usable, n, max_fit_rows)
+    parts = max(1, -(-min(n, max_fit_rows) // FIT_ROWS_PER_PARTITION))
+    return used.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def prob_one(col: str = "probability") -> F.Column:
@@ -91,58 +155,71 @@ def _classifier(make, use_probability: bool = True) -> Callable[[DataFrame], Fit
     return fit
 
 
-def _n_rows_reg(train: DataFrame) -> float:
-    return 1.0 / max(train.count(), 1)
-
-
 def fit_logistic(train: DataFrame) -> Fitted:
     """L2 logistic regression; regParam 1/n matches an unscaled C = 1 penalty."""
-    reg = _n_rows_reg(train)
+    reg = 1.0 / max(train.count(), 1)
     return _classifier(lambda: LogisticRegression(elasticNetParam=0.0, regParam=reg,
                                                   standardization=False, maxIter=100))(train)
 
 
+def adaboost_loss(error: F.Column, top: float | F.Column) -> F.Column:
+    """Exponential loss of a row: 1 - exp(-error / largest error)."""
+    return 1.0 - F.exp(-error / (F.lit(top) if isinstance(top, float) else top))
+
+
+def adaboost_weight(weight: F.Column, loss: F.Column, beta: float | F.Column,
+                    rate: float = ADABOOST_RATE) -> F.Column:
+    """New weight of a row, before normalising: w * beta ** (rate * (1 - loss))."""
+    return weight * F.pow(F.lit(beta) if isinstance(beta, float) else beta, rate * (1.0 - loss))
+
+
 def fit_adaboost(train: DataFrame, rounds: int = ADABOOST_ROUNDS, rate: float = ADABOOST_RATE,
                  depth: int = ADABOOST_DEPTH) -> Fitted:
     """AdaBoost.R2 (Drucker 1997) with exponential loss.
 
-    Per round, with weights w summing to 1: fit a weighted regression tree,
-    e = |y - p| / max |y - p|, L = 1 - exp(-e), A = sum(w L); stop when A >= 0.5
-    (or the fit is perfect); b = A / (1 - A); the tree gets weight
-    rate * ln(1 / b) and w becomes w * b^(rate (1 - L)), renormalised.  The
-    prediction is the weighted median of the trees' outputs.  Errors and
-    weight updates are aggregates and columns; the weights are written out
-    every few rounds to keep the lineage short.
+    Per round, with weights w: fit a weighted regression tree,
+    e = |y - p| / max |y - p|, L = 1 - exp(-e), A = sum(w L) / sum(w); stop
+    when A >= 0.5 (or the fit is perfect); b = A / (1 - A); the tree gets
+    weight rate * ln(1 / b) and w becomes w * b^(rate (1 - L)).  The prediction
+    is the weighted median of the trees' outputs.
+
+    The fit rows stay one persisted table.  A round reads the weights of the
+    last one and persists its own (row id, weight); the loss sums and the
+    largest error are aggregates.  Weights are scaled by the sum that the round
+    has measured anyway; only their ratios matter to the tree and to A.
     """
-    spark = train.sparkSession
-    n = train.count()
-    cur = train.select("features", LABEL, F.lit(1.0 / n).alias("w"))
-    models, alphas = [], []
+    cur = train.select("features", LABEL, F.lit(1.0).alias("w"))
+    models, alphas, held = [], [], []
     for t in range(rounds):
         tree = DecisionTreeRegressor(maxDepth=depth, labelCol=LABEL, featuresCol="features",
                                      weightCol="w", seed=SEED + t).fit(cur)
         scored = tree.transform(cur).withColumn("err", F.abs(F.col(LABEL) - F.col("prediction")))
-        top = scored.agg(F.max("err")).first()[0] or 0.0
+        top = float(scored.agg(F.max("err")).first()[0] or 0.0)
         if top <= 0.0:
             models.append(tree)
             alphas.append(1.0)
             break
-        loss = 1.0 - F.exp(-F.col("err") / F.lit(top))
-        avg_loss = scored.agg(F.sum(F.col("w") * loss)).first()[0]
-        if avg_loss >= 0.5:
+        loss = adaboost_loss(F.col("err"), top)
+        total, lost = scored.agg(F.sum("w"), F.sum(F.col("w") * loss)).first()
+        average = lost / total
+        if average >= 0.5:
             if not models:
                 models.append(tree)
                 alphas.append(1.0)
             break
-        beta = avg_loss / (1.0 - avg_loss)
+        beta = average / (1.0 - average)
         models.append(tree)
         alphas.append(rate * math.log(1.0 / beta))
-        upd = scored.withColumn("w", F.col("w") * F.pow(F.lit(beta), rate * (1.0 - loss)))
-        total = upd.agg(F.sum("w")).first()[0]
-        cur = upd.select("features", LABEL, (F.col("w") / F.lit(total)).alias("w"))
+        cur = scored.select("features", LABEL, adaboost_weight(
+            F.col("w") / F.lit(total), loss, beta, rate).alias("w")).persist(
+                StorageLevel.MEMORY_AND_DISK)
+        held.append(cur)
+        if len(held) > 2:  # the round before the last is no longer read
+            held.pop(0).unpersist()
         if (t + 1) % ADABOOST_CUT_EVERY == 0:
-            cur = materialize(cur, "adaboost-weights")
-    del spark
+            cur = cur.checkpoint()
+    for h in held:
+        h.unpersist()
 
     def predict(df: DataFrame) -> DataFrame:
         out, cols = df, []
@@ -155,13 +232,22 @@ def fit_adaboost(train: DataFrame, rounds: int = ADABOOST_ROUNDS, rate: float =
     return Fitted(predict)
 
 
-def fit_vote(train: DataFrame, forest: Fitted | None = None,
-             boost: Fitted | None = None) -> Fitted:
+def fit_booster(train: DataFrame, rounds: int | None = None, **settings) -> Fitted:
+    """A gradient-boosted classifier; LGBM_LIKE settings unless told otherwise."""
+    chosen = {**LGBM_LIKE, **settings}
+    if rounds is not None:
+        chosen["maxIter"] = rounds
+    return _classifier(lambda: GBTClassifier(seed=SEED, **chosen))(train)
+
+
+def fit_vote(train: DataFrame, forest: Fitted | None = None, boost: Fitted | None = None,
+             rounds: int | None = None) -> Fitted:
     """Soft vote: forest weight 1, the depth-4 booster weight 1.5.
 
-    Already fitted members (same settings and seeds) can be passed in."""
-    forest = forest or _classifier(lambda: RandomForestClassifier(seed=SEED, **FOREST))(train)
-    boost = boost or _classifier(lambda: GBTClassifier(seed=SEED, **LGBM_LIKE))(train)
+    Already fitted members (same settings and seeds) can be passed in;
+    ``rounds`` is the booster's (2150 by default)."""
+    forest = forest or METHODS["RandomForest"](train)
+    boost = boost or fit_booster(train, rounds)
     w1, w2 = VOTE_WEIGHTS
 
     def predict(df: DataFrame) -> DataFrame:
@@ -177,9 +263,9 @@ METHODS: dict[str, Callable[[DataFrame], Fitted]] = {
                                 use_probability=False),
     "RandomForest": _classifier(lambda: RandomForestClassifier(seed=SEED, **FOREST)),
     "Adaboost": fit_adaboost,
-    "XGBoost": _classifier(lambda: GBTClassifier(seed=SEED, **XGB_LIKE)),
-    "Lightgbm": _classifier(lambda: GBTClassifier(seed=SEED, **LGBM_LIKE)),
-    "GBDT": _classifier(lambda: GBTClassifier(seed=SEED, **GBDT)),
+    "XGBoost": lambda train: fit_booster(train, **XGB_LIKE),
+    "Lightgbm": fit_booster,
+    "GBDT": lambda train: fit_booster(train, **{"subsamplingRate": 1.0, **GBDT}),
     "BasicLogistic": fit_logistic,
     "Vote": fit_vote,
 }
@@ -208,39 +294,82 @@ def split_holdout(train: DataFrame, id_col: str = "row") -> tuple[DataFrame, Dat
     return train.where(b < FIT_BUCKETS), train.where(b >= FIT_BUCKETS)
 
 
-def leaderboard(train: DataFrame, test: DataFrame | None, methods: Sequence[str]) -> DataFrame:
-    """RMSE of each method on labelled held-out rows (one row per method).
+def leaderboard(train: DataFrame, test: DataFrame | None, methods: Sequence[str],
+                max_fit_rows: int = MAX_FIT_ROWS, concurrent: int = CONCURRENT_FITS) -> DataFrame:
+    """RMSE of each method on labelled held-out rows: (model, n, rmse, rmse_mean).
 
-    With ``test`` None the training rows are split 70 / 30 by hash first."""
+    ``rmse_mean`` is the score of predicting the mean label.  With ``test``
+    None the training rows are split 70 / 30 by hash first.  The fits share
+    one persisted table and run ``concurrent`` at a time; the vote reuses the
+    forest and the booster.
+    """
     if test is None:
         train, test = split_holdout(train)
-    from .submission import score
-    rows, fitted = None, {}
-    lab = test.where(F.col(LABEL).isNotNull())
-    for m in methods:
-        if m == "Vote":
-            # the vote's members are the forest and the booster fitted above
-            model = fit_vote(train, fitted.get("RandomForest"), fitted.get("Lightgbm"))
-        else:
-            model = fit(m, train)
-        fitted[m] = model
-        s = score(model.predict(lab), "prediction", LABEL) \
-            .select(F.lit(m).alias("model"), "n", "rmse")
-        rows = s if rows is None else rows.unionByName(s)
-    return rows
-
-
-def cross_validate(train: DataFrame, folds: int = 5, parallelism: int = 4) -> DataFrame:
-    """5-fold CV over a small GBT grid, scored by RMSE (lower is better)."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.regression import GBTRegressor
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    est = GBTRegressor(labelCol=LABEL, featuresCol="features", seed=SEED, maxIter=20)
-    grid = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).addGrid(est.stepSize, [0.1, 0.3]).build()
-    ev = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="rmse")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=SEED).fit(train)
-    spark = train.sparkSession
-    rows = [(float(pm[est.maxDepth]), float(pm[est.stepSize]), float(score))
-            for pm, score in zip(grid, cv.avgMetrics)]
-    return spark.createDataFrame(rows, "max_depth double, step_size double, rmse double")
+    rows = fit_rows(train, max_fit_rows)
+    labelled = test.where(F.col(LABEL).isNotNull() & ~F.isnan(LABEL))
+    mean = rows.agg(F.avg(LABEL)).first()[0]
+    try:
+        alone = [m for m in methods if m != "Vote"]
+        with ThreadPoolExecutor(max_workers=concurrent) as pool:
+            fitted = dict(zip(alone, pool.map(lambda m: fit(m, rows), alone), strict=True))
+        if "Vote" in methods:
+            fitted["Vote"] = fit_vote(rows, fitted.get("RandomForest"), fitted.get("Lightgbm"))
+
+        def scored(m: str) -> tuple:
+            got = fitted[m].predict(labelled).agg(
+                F.count(F.lit(1)).alias("n"), rmse("prediction", LABEL).alias("rmse"),
+                rmse(F.lit(mean), LABEL).alias("rmse_mean")).first()
+            return m, *got
+
+        with ThreadPoolExecutor(max_workers=concurrent) as pool:
+            scores = list(pool.map(scored, methods))  # one row per method
+    finally:
+        rows.unpersist()
+    return train.sparkSession.createDataFrame(
+        scores, "model string, n bigint, rmse double, rmse_mean double")
+
+
+# The searched settings of the two boosters (some have no MLlib counterpart).
+XGB_GRID = {"maxIter": range(80, 200, 4), "maxDepth": range(2, 15),
+            "stepSize": [0.01 + i * 1.99 / 19 for i in range(20)],
+            "subsamplingRate": [0.7 + i * 0.2 / 19 for i in range(20)]}
+LGBM_GRID = {"maxIter": (50, 1366, 2683, 4000), "maxDepth": range(2, 15, 5),
+             "stepSize": (0.01, 2.0), "subsamplingRate": (0.7, 0.9)}
+CV_FOLDS = 5
+
+
+def cross_validate(train: DataFrame, grid: dict[str, Iterable], base: dict | None = None,
+                   folds: int = CV_FOLDS, parallelism: int = CONCURRENT_FITS) -> DataFrame:
+    """Cross-validated grid search over the boosted classifier.
+
+    ``grid`` maps parameters of the booster to their values (``XGB_GRID`` and
+    ``LGBM_GRID`` are the reference's ranges, many thousands of cells);
+    ``base`` holds the settings that stay fixed.  One row per cell: the
+    parameters and ``mse``, the mean over the folds of the squared error of
+    the predicted probability (lower is better).  Folds come from a hash of
+    the row id; cells of a fold run ``parallelism`` at a time.
+    """
+    names = list(grid)
+    cells = [{}]
+    for name in names:
+        cells = [{**c, name: v} for c in cells for v in grid[name]]
+    fold = F.pmod(F.xxhash64("row"), F.lit(folds))
+    sums = [0.0] * len(cells)
+    for k in range(folds):
+        inside = train.where(fold != k).persist(StorageLevel.MEMORY_AND_DISK)
+        outside = train.where(fold == k).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def error(cell: dict) -> float:
+            model = _classifier(lambda: GBTClassifier(seed=SEED, **{**(base or {}), **cell}))(inside)
+            return model.predict(outside).agg(
+                F.avg(squared_error("prediction", LABEL))).first()[0]  # noqa: B023
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for i, e in enumerate(pool.map(error, cells)):
+                sums[i] += e
+        inside.unpersist()
+        outside.unpersist()
+    return train.sparkSession.createDataFrame(
+        [(*[float(c[n]) for n in names], total / folds) for c, total in zip(cells, sums,
+                                                                           strict=True)],
+        ", ".join(f"{n} double" for n in names) + ", mse double")

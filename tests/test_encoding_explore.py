@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kcflow.operators import explore
-from kcflow.operators.encoding import code_dictionaries, code_dictionary, encode_columns
+from kcflow.operators.encoding import code_dictionaries, code_dictionary, encode_all
 from kcflow.plans.features import feature_table
 
 
@@ -15,8 +15,8 @@ def test_codes_dense_null_first_shared(edge):
     assert [r["code"] for r in d] == list(range(len(d)))
     assert d[0]["kc"] is None
     assert [r["kc"] for r in d[1:]] == sorted(r["kc"] for r in d[1:])
-    tr, te = encode_columns(train, test, ["student"])
-    codes = {r["student"] for r in tr.union(te).collect()}
+    coded = encode_all(edge, code_dictionaries(edge, ["student"]), ["student"])
+    codes = {r["student"] for r in coded.collect()}
     assert codes == {0, 1, 2, 3}
 
 
@@ -60,12 +60,22 @@ def test_correlation_symmetric_constant_null(spark):
     df = spark.createDataFrame(rows, "a double, b double, c double")
     m = {(r["col_a"], r["col_b"]): r["corr"] for r in explore.correlation_long(df, ["a", "b", "c"]).collect()}
     assert m[("a", "b")] == pytest.approx(m[("b", "a")])
-    assert m[("a", "a")] == 1.0
+    assert m[("a", "a")] == pytest.approx(1.0)
     assert m[("a", "c")] is None and m[("c", "c")] is None
     pdf = df.toPandas()
     assert m[("a", "b")] == pytest.approx(pdf["a"].corr(pdf["b"]))
 
 
+def test_correlation_with_missing_values(spark):
+    """Every statistic of a pair runs over the rows where both are present."""
+    rows = [(1.0, 2.0), (2.0, None), (None, 9.0), (4.0, 1.0), (5.0, 7.0), (7.0, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    m = {(r["col_a"], r["col_b"]): r["corr"] for r in explore.correlation_long(df, ["a", "b"]).collect()}
+    pdf = df.toPandas()
+    assert m[("a", "b")] == pytest.approx(pdf["a"].corr(pdf["b"]))
+    assert m[("a", "a")] == pytest.approx(1.0)
+
+
 def test_describe_matches_pandas(spark):
     rng = np.random.default_rng(3)
     vals = rng.exponential(18, 500).tolist()
