@@ -24,6 +24,10 @@ WITHHELD = ("step_start", "first_tx", "correct_tx", "step_end", "dur", "correct_
             "error_dur", "incorrects", "hints", "corrects")
 
 
+# The challenge form withholds the label too: all 11 columns.
+CHALLENGE_WITHHELD = (*WITHHELD, "cfa")
+
+
 def step_rollup(tx: DataFrame, keys: Sequence[str] = ("student", "problem", "step"),
                 time_col: str = "tx_time", id_col: str = "tx_id",
                 outcome_col: str = "outcome", dur_col: str = "tx_dur") -> DataFrame:

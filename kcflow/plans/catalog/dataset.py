@@ -116,6 +116,24 @@ def mask_test(spark, sf_dir):
     return ts_text(masked.drop("truth"), ROLLUP_TIMES)
 
 
+# Written from the list of the 11 columns that a challenge test file leaves empty.
+_CHALLENGE = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in [
+    ("step_start", "VARCHAR"), ("first_tx", "VARCHAR"), ("correct_tx", "VARCHAR"),
+    ("step_end", "VARCHAR"), ("dur", "DOUBLE"), ("correct_dur", "DOUBLE"),
+    ("error_dur", "DOUBLE"), ("cfa", "INTEGER"), ("incorrects", "BIGINT"), ("hints", "BIGINT"),
+    ("corrects", "BIGINT")])
+
+
+@register("mask_challenge", with_steps(f"""
+SELECT split, student, hierarchy, problem, problem_view, step, {_CHALLENGE}, kc, opportunity
+FROM test"""))
+def mask_challenge(spark, sf_dir):
+    """Test rows in the challenge form: the label is withheld as well."""
+    sl = step_log(spark, sf_dir, with_view=True)
+    masked = st.mask_test(test_of(sl), st.CHALLENGE_WITHHELD)
+    return ts_text(masked.drop("truth"), ROLLUP_TIMES)
+
+
 @register("rate_single_kc", with_steps(f"""
 SELECT k AS kc_one, CAST(count(*) AS BIGINT) AS n,
        CAST(count(*) FILTER (WHERE cfa = 1) AS BIGINT) AS n_correct,

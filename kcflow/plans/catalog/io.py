@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ...functions import skills
 from ...session import scratch_path
 from ...sources import store, tsv
 from ...sources.fixtures import step_log
 from ..oracle import with_steps
 from ..registry import register
-from .common import SECTION_SQL, UNIT_SQL, key_rows, rounded, test_of, ts_sql, ts_text
-from ..features import FEATURES
+from .common import KEY_ROWS_SQL, SECTION_SQL, UNIT_SQL, key_rows, rounded, test_of, ts_sql, ts_text
+from ..features import FEATURES, feature_table
 from .features import RATE_FEATURES, _feature_select, features_df, features_sql
 
 STEP_FILE_COLS = [c for c in tsv.FILE_ORDER if c != "row"]
@@ -77,3 +80,31 @@ def drop_columns(spark, sf_dir):
     """The step rows after the export drop list (repeats are harmless)."""
     rows = key_rows(spark, sf_dir)
     return rows.drop(*DROPPED).drop("truth")
+
+
+# The second KC model of the query: the unit as the only KC of a step, its
+# opportunity the first number of the default model's.
+_RULES = """
+rules AS (SELECT * REPLACE (split_part(hierarchy, ',', 1) AS kc,
+                            split_part(opportunity, '~~', 1) AS opportunity) FROM step_log)"""
+
+
+def _rules_sql() -> str:
+    sql = features_sql(_feature_select())
+    # the key rows read the second model's columns instead
+    return sql.replace(KEY_ROWS_SQL.strip(), f"{_RULES.strip()},\n" + KEY_ROWS_SQL.strip().replace(
+        "FROM step_log", "FROM rules"), 1)
+
+
+@register("feature_table_kc_model", _rules_sql())
+def feature_table_kc_model(spark, sf_dir):
+    """The feature table for a second KC model that comes with the step files as
+    the columns KC(Rules) and Opportunity(Rules)."""
+    steps = step_log(spark, sf_dir, with_view=True).select("split", *STEP_FILE_COLS).withColumns({
+        "kc_rules": skills.unit_of("hierarchy"),
+        "opportunity_rules": F.substring_index("opportunity", "~~", 1)})
+    path = scratch_path(spark, "steps-two-models")
+    tsv.write_steps(steps, path)
+    read = tsv.read_steps(spark, path)
+    ft = feature_table(read, id_cols=("split",), kc_model=tsv.kc_models(read)[1])
+    return rounded(ft, RATE_FEATURES)

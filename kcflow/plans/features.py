@@ -42,8 +42,12 @@ EXPORT_NAMES = {
 }
 
 
-def step_features(steps: DataFrame, id_cols=("split", "row")) -> DataFrame:
-    """Per-row features that need no other row: hierarchy split, KC counts."""
+def step_features(steps: DataFrame, id_cols=("split", "row"),
+                  kc_model: tuple[str, str] = ("kc", "opportunity")) -> DataFrame:
+    """Per-row features that need no other row: hierarchy split, KC counts.
+
+    ``kc_model`` names the KC and opportunity columns to use."""
+    steps = steps.withColumns({"kc": F.col(kc_model[0]), "opportunity": F.col(kc_model[1])})
     return steps.select(
         *id_cols, "student", "problem", "step", "problem_view", "cfa", "kc",
         skills.unit_of("hierarchy").alias("unit"),
@@ -105,15 +109,17 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str | dict[str, str] = "r
 
 def feature_table(steps: DataFrame, *, stat: str | dict[str, str] = "rate",
                   fallback: str = "mean",
-                  id_cols=("split", "row"), train_filter=None) -> DataFrame:
+                  id_cols=("split", "row"), train_filter=None,
+                  kc_model: tuple[str, str] = ("kc", "opportunity")) -> DataFrame:
     """Features for every row of ``steps`` (train and test together).
 
     Rates are learnt on the training rows (``split = 'train'`` unless
     ``train_filter`` says otherwise); codes come from all rows.  ``stat`` is
     'rate' or 'count' for all keys, or a dict of key column to either
-    (keys left out use the rate).
+    (keys left out use the rate).  ``kc_model`` picks one of the table's KC
+    models (``tsv.kc_models``).
     """
-    rows = step_features(steps, id_cols)
+    rows = step_features(steps, id_cols, kc_model)
     is_train = train_filter if train_filter is not None else F.col("split") == "train"
     dims = key_dimensions(rows, is_train, stat=stat, fallback=fallback)
     for key, rate_name, coded in KEY_FEATURES:

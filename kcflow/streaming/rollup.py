@@ -9,8 +9,15 @@ it changed, tagged with its batch id, to a parquet folder (nothing is
 collected to the driver, nothing already written is rewritten).  Readers
 take the latest version of every step with one aggregate.  A micro-batch
 replayed after a failure appends the same rows again, which the latest-
-version read absorbs.  The stream's checkpoint lives under the shared
-checkpoint folder, so a restarted job resumes where it stopped.
+version read absorbs.  The stream's checkpoint lies beside the output (or
+where the caller says), so a job started again with the same output resumes
+where the last one stopped.  ``compact`` rewrites the change log to one row
+per step.
+
+State: one partial record (a dozen numbers) per (student, problem, step) ever
+seen.  A step can be continued at any time, so nothing expires; the state
+grows with the distinct steps, not with the transactions, and is spread over
+the shuffle partitions.
 """
 
 from __future__ import annotations
@@ -48,11 +55,26 @@ def latest_records(spark: SparkSession, path: str) -> DataFrame:
     return latest.select(*KEYS, *[F.col(f"_kc_rec.{c}").alias(c) for c in cols])
 
 
-def run_rollup(spark: SparkSession, sf_dir: str, out_path: str | None = None) -> DataFrame:
+def compact(spark: SparkSession, path: str, out: str) -> None:
+    """Write the change log at ``path`` to ``out`` with one row per step: the
+    latest version, under its batch id."""
+    log = spark.read.parquet(path)
+    latest = log.groupBy(*KEYS).agg(
+        F.max_by(F.struct(*[c for c in log.columns if c not in KEYS]), F.col(BATCH_COL))
+        .alias("_kc_rec"))
+    latest.select(*KEYS, "_kc_rec.*").write.parquet(out)
+
+
+def run_rollup(spark: SparkSession, sf_dir: str, out_path: str | None = None,
+               checkpoint: str | None = None) -> DataFrame:
     """Run the streaming roll-up over the events until the input is drained;
-    return the current step records as a batch DataFrame."""
+    return the current step records as a batch DataFrame.
+
+    ``checkpoint`` holds the stream's progress and state; by default it is
+    ``<out_path>-checkpoint``.  Calling again with the same folders reads new
+    events only."""
     out_path = out_path or scratch_path(spark, "stream-steps")
-    ckpt = scratch_path(spark, "stream-ckpt")
+    ckpt = checkpoint or f"{out_path.rstrip('/')}-checkpoint"
     records = step_records_stream(transactions_of(events_stream(spark, sf_dir)))
 
     def append_changes(batch: DataFrame, batch_id: int) -> None:
