@@ -96,8 +96,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     suspected = materialise(
         keyed.mapInArrow(suspects, "d long, version long, at int, key binary"), "line-suspects")
-    first = (suspected.groupBy("key").agg(F.min("d").alias("first"), F.max("d").alias("last"))
-             .where("first < last").select("key", "first"))
+    # written, so that the join below has an exchange on both sides and can be split
+    first = materialise(
+        suspected.groupBy("key").agg(F.min("d").alias("first"), F.max("d").alias("last"))
+        .where("first < last").select("key", "first"), "first-lines")
     drops = (suspected.join(first, "key").where(F.col("d") > F.col("first"))
              .groupBy("d", "version").agg(F.collect_list("at").alias("drops")))
 
