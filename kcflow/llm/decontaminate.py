@@ -123,7 +123,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     key = ["d", "version", "item", "copy", "start"]
     w = F.slice(words(F.col("t")), F.col("start") + 1, F.col("size"))
     # the window's words are as few as the item's, so this stays small per row
-    windows = hits.join(texts, ["d", "version"]).select(*key, "size", "k", w.alias("w"))
+    windows = hits.join(texts, ["d", "version"]).select(*key, "size", "k", w.alias("w")) \
+        .dropDuplicates(key)
     exploded = materialise(reduce(DataFrame.unionByName, [
         windows.where(F.col("k") == k).select(
             *key, F.size("w").alias("size"), F.explode(shingles(F.col("w"), k)).alias("h"))

@@ -80,9 +80,9 @@ def _next(model, history, c, j):
 
 def test_bound_on_the_model(worker_path):
     df = documents(worker_path)
-    small = fit(df.where("lang IS NOT NULL").select("lang", "text"), max_grams=40)
-    assert 0 < small.keys.size <= 80  # kept n-grams and their contexts
-    rows = identify(df, ~held_out(), max_grams=40).where("row.doc_id < 60").collect()
+    small = fit(df.where("lang IS NOT NULL").select("lang", "text"), max_grams=400)
+    assert 0 < small.keys.size <= 800  # kept n-grams and their contexts
+    rows = identify(df, ~held_out(), max_grams=400).where("row.doc_id < 60").collect()
     right = sum(r.lang_pred == r.row.lang for r in rows)
     assert right >= 57
 

@@ -28,7 +28,7 @@ def test_lines_files_and_inheritance(worker_path):
         ("q/COPYING", "Proprietary", "file", "q/COPYING"),
         ("q/r/s/deep.c", "Apache-2.0", "inherited", "q/r/NOTICE"),
         ("q/r/NOTICE", "Apache-2.0", "file", "q/r/NOTICE"), ("p/only.txt", None, None, None),
-        ("top.txt", None, None, None), (None, "CC-BY-NC-4.0", "line", None),
+        ("top.txt", None, None, None), (None, "CC-BY-NC-4.0", "file", None),
         ("ab/not-under-a.txt", None, None, None)}
 
 

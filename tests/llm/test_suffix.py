@@ -74,8 +74,8 @@ def test_texts_in_parts(monkeypatch):
     texts = [prose(1, 200).encode(), b"", prose(2, 3).encode(), prose(1, 200).encode()]
     seen = {}
     for row, body, starts, ends, offset in suffix_dedup._pieces(texts):
-        doc, key, first, last = suffix_dedup.anchors(np.frombuffer(body, np.uint8), starts, ends)
-        for d, k, a, b in zip(doc, key, first, last):
+        found = suffix_dedup.Anchors(np.frombuffer(body, np.uint8), starts, ends)
+        for d, k, a, b in zip(found.doc, found.key, found.first, found.last):
             for w in range(a, b + 1):
                 at = w - starts[d] + offset[d]
                 assert texts[row[d]][at:at + 50] == body[w:w + 50]
