@@ -34,11 +34,13 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], prefix: str = "n_",
 def describe(df: DataFrame, col: str, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std (sample), min, quantiles, max of one column; nulls skipped."""
     names = [f"p{int(round(p * 100))}" for p in probs]
-    vals = df.where(F.col(col).isNotNull() & ~F.isnan(col))
-    extra = [F.count(col).cast("bigint").alias("count"), F.avg(col).alias("mean"),
-             F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")]
-    return exact_quantiles(vals, col, probs, names=names, extra_aggs=extra) \
-        .select("count", "mean", "std", "min", *names, "max")
+    vals = df.where(F.col(col).isNotNull() & ~F.isnan(col)).select(col)
+    moments = vals.agg(F.count(col).cast("bigint").alias("count"), F.avg(col).alias("mean"),
+                       F.stddev_samp(col).alias("std"), F.min(col).alias("min"),
+                       F.max(col).alias("max"))
+    quantiles = exact_quantiles(vals, col, probs, names=names)
+    return moments.crossJoin(F.broadcast(quantiles)).select(  # one row each
+        "count", "mean", "std", "min", *names, "max")
 
 
 def group_median(df: DataFrame, key: str | Sequence[str], col: str, out: str = "median") -> DataFrame:

@@ -3,14 +3,15 @@
 A window ``partitionBy(group).orderBy(...)`` sends every row of a group to
 one task, so a group holding a third of the data becomes one straggler.
 Here rows are range-partitioned on (group, order) instead: a hot group is
-cut into many partitions, each partition numbers its own rows, and a small
-per-(partition, group) table supplies the offset of every slice.  The
-offset table has one row per group per partition it touches, so the only
-window runs over that table, never over the data.
+cut into many slices, each slice numbers (or sums) its own rows, and a small
+per-(slice, group) table supplies the offset of every slice.  That table has
+one row per group per slice it touches, so the only window over a whole
+group runs over it, never over the data.  There is one path for all sizes.
 
-Requirements: ``order_cols`` must make the order total within a group when
+Requirement: ``order_cols`` must make the order total within a group when
 the exact number of each row matters (ties get consecutive numbers in an
-unspecified order, which is harmless for order statistics).
+unspecified order).  Rows equal in group and order fall into one slice, so
+quantiles, whose input may have many equal values, count equal values first.
 """
 
 from __future__ import annotations
@@ -43,131 +44,97 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
-# Largest group a single task may number with a plain window.  Above it the
-# group is cut into range slices.  Settable per session.
-MAX_GROUP_ROWS_CONF = "kcflow.window.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
+def sliced(df: DataFrame, keys: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
+    """The rows range-partitioned and sorted by ``keys``, with the slice and
+    the position in the whole table (ascending inside a slice).
 
+    Range bounds come from sampling, and Catalyst would plan the exchange
+    once per branch that reads it, so the slices are written once in the
+    shared checkpoint folder: every branch reads the same cut, and a lost
+    executor re-reads files instead of sampling again.
+    """
+    n = num_partitions or default_partitions(df.sparkSession)
+    return materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                       .withColumn(_PID, F.spark_partition_id())
+                       .withColumn(_MID, F.monotonically_increasing_id()), "ranged")
+
+
+def _slice_offsets(ranged: DataFrame, group_cols: Sequence[str], size: Column,
+                   total_col: str | None) -> DataFrame:
+    """Per (slice, group): offset from the earlier slices, first position, and
+    the group's total; key columns renamed for the join."""
+    slices = ranged.groupBy(_PID, *group_cols).agg(size.alias(_N), F.min(_MID).alias(_LO))
+    before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(
+        Window.unboundedPreceding, -1)
+    out = slices.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)))
+    if total_col:
+        out = out.withColumn(total_col, F.sum(_N).over(Window.partitionBy(*group_cols))
+                             .cast("bigint"))
+    out = out.withColumnsRenamed({_PID: "_kc_pid2", **{
+        g: f"_kc_g{i}" for i, g in enumerate(group_cols)}}).drop(_N)
+    # without groups there is one row per slice: a bound, so broadcast
+    return out if group_cols else F.broadcast(out)
 
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Rows in the biggest group (one partial + final aggregate, one number back)."""
-    if not group_cols:
-        return df.count()
-    row = df.groupBy(*group_cols).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
+
+def _with_offsets(ranged: DataFrame, offsets: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    cond = [F.col(_PID) == F.col("_kc_pid2")] + [
+        F.col(g).eqNullSafe(F.col(f"_kc_g{i}")) for i, g in enumerate(group_cols)]
+    return ranged.join(offsets, cond, "inner")
 
 
 def running_index(df: DataFrame, group_cols: Sequence[str],
                   order_cols: Sequence[str | Column], out_col: str,
                   num_partitions: int | None = None,
-                  group_count_col: str | None = None,
-                  max_group_rows: int | None = None,
-                  size_bound: int | None = None) -> DataFrame:
+                  group_count_col: str | None = None) -> DataFrame:
     """Add ``out_col``: 1-based position of each row inside its group.
 
     Same result as ``row_number().over(Window.partitionBy(group_cols)
-    .orderBy(order_cols))``.  The size of the largest group is measured
-    first: when every group fits one task the plain window is used, else
-    the range-sliced form below, which never puts a group into one task.
-    ``group_count_col`` optionally adds the size of the group.  A caller
-    that knows an upper bound of the group sizes passes ``size_bound`` and
-    saves the measuring job.
+    .orderBy(order_cols))``, but no task ever holds a whole group.
+    ``group_count_col`` optionally adds the size of the group.
     """
-    spark = df.sparkSession
-    limit = max_group_rows if max_group_rows is not None else int(
-        spark.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    # A bound above the limit says nothing about the largest group: measure.
-    small = (size_bound is not None and size_bound <= limit) or \
-        largest_group(df, group_cols) <= limit
-    if small:
-        w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
-        out = df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
-        if group_count_col:
-            out = out.withColumn(group_count_col,
-                                 F.count(F.lit(1)).over(Window.partitionBy(*group_cols)).cast("bigint"))
-            out = out.select(*df.columns, group_count_col, out_col)
-        return out
-    return sliced_index(df, group_cols, order_cols, out_col, num_partitions, group_count_col)
-
-
-def sliced_index(df: DataFrame, group_cols: Sequence[str],
-                 order_cols: Sequence[str | Column], out_col: str,
-                 num_partitions: int | None = None,
-                 group_count_col: str | None = None) -> DataFrame:
-    """Range-sliced running number: no task ever holds a whole group."""
-    spark = df.sparkSession
-    n = num_partitions or default_partitions(spark)
     group_cols = list(group_cols)
-    keys = [*_cols(group_cols), *_cols(order_cols)]
-    # Range bounds come from sampling, and Catalyst would plan the exchange
-    # once per branch (with different column pruning), so two branches could
-    # cut different ranges.  The numbered slices are therefore written once
-    # as a parquet table in the shared checkpoint folder and both branches
-    # read that table: the numbers are fixed, a lost executor re-reads files
-    # instead of re-sampling, and the plan above is cut short.
-    ranged = materialize(df.repartitionByRange(n, *keys)
-                         .sortWithinPartitions(*keys)
-                         .withColumn(_PID, F.spark_partition_id())
-                         .withColumn(_MID, F.monotonically_increasing_id()), "ranged")
-    slices = ranged.groupBy(_PID, *group_cols).agg(
-        F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_LO))
-    before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = slices.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)))
-    if group_count_col:
-        whole = Window.partitionBy(*group_cols)
-        offsets = offsets.withColumn(group_count_col, F.sum(_N).over(whole))
-    # Rename the offset side so the self-join has no shared attribute names.
-    gren = [f"_kc_g{i}" for i in range(len(group_cols))]
-    sel = [F.col(_PID).alias("_kc_pid2"), *[F.col(g).alias(r) for g, r in zip(group_cols, gren)],
-           F.col(_LO), F.col(_OFF)]
-    if group_count_col:
-        sel.append(F.col(group_count_col).cast("bigint").alias("_kc_gcnt"))
-    offsets = offsets.select(*sel)
-    if not group_cols:
-        # One row per partition: the size is bounded by n, so broadcast.
-        offsets = F.broadcast(offsets)
-    cond = [F.col(_PID) == F.col("_kc_pid2")] + [
-        F.col(g).eqNullSafe(F.col(r)) for g, r in zip(group_cols, gren)]
-    joined = ranged.join(offsets, cond, "inner")
-    out_cols = [F.col(c) for c in df.columns]
-    if group_count_col:
-        out_cols.append(F.col("_kc_gcnt").alias(group_count_col))
+    ranged = sliced(df, [*_cols(group_cols), *_cols(order_cols)], num_partitions)
+    offsets = _slice_offsets(ranged, group_cols, F.count(F.lit(1)), group_count_col)
+    joined = _with_offsets(ranged, offsets, group_cols)
     pos = (F.col(_OFF) + F.col(_MID) - F.col(_LO) + F.lit(1)).cast("bigint")
-    return joined.select(*out_cols, pos.alias(out_col))
+    return joined.select(*[F.col(c) for c in df.columns],
+                         *([group_count_col] if group_count_col else []), pos.alias(out_col))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    num_partitions: int | None = None,
-                    extra_aggs: Sequence[Column] = ()) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas/NumPy default).
 
     For n values sorted x[0..n-1] and probability q: h = (n-1) q,
     result = x[floor h] + (h - floor h) (x[floor h + 1] - x[floor h]).
-    Nulls are skipped.  Groups are split across tasks by ``running_index``,
-    so no task ever holds a whole group.
+    Nulls and NaNs are skipped.  Equal values are counted first (combined
+    before the shuffle), so a value in a third of all rows is one row of the
+    sorted table, and only group and value are moved.
     """
     group_cols = list(group_cols)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    vals = df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col)) \
-        .withColumn("_kc_x", F.col(value_col).cast("double"))
-    ranked = running_index(vals, group_cols, ["_kc_x"], "_kc_rank",
-                           num_partitions=num_partitions, group_count_col="_kc_cnt")
-    # Only the rows at positions floor(h) and floor(h)+1 (0-based) matter;
-    # the aggregate below is an ordinary partial + final aggregate.
+    x, n, total = F.col("_kc_x"), F.col("_kc_c"), F.col("_kc_cnt")
+    counts = df.where(F.col(value_col).isNotNull() & ~F.isnan(value_col)).select(
+        *group_cols, F.col(value_col).cast("double").alias("_kc_x")).groupBy(
+            *group_cols, "_kc_x").agg(F.count(F.lit(1)).alias("_kc_c"))
+    ranged = sliced(counts, [*_cols(group_cols), x], num_partitions)
+    offsets = _slice_offsets(ranged, group_cols, F.sum("_kc_c"), "_kc_cnt")
+    inside = Window.partitionBy(_PID, *group_cols).orderBy(_MID).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    # ranks (from 0) of a value: from ``last - n`` to ``last - 1``
+    ranked = _with_offsets(ranged.withColumn("_kc_run", F.sum("_kc_c").over(inside)), offsets,
+                           group_cols).withColumn("_kc_last", F.col("_kc_run") + F.col(_OFF))
     aggs = [F.max("_kc_cnt").alias("_kc_cnt")]
     for i, p in enumerate(probs):
-        h = (F.col("_kc_cnt") - 1) * F.lit(float(p))
-        r0 = F.col("_kc_rank") - 1
-        aggs.append(F.max(F.when(r0 == F.floor(h), F.col("_kc_x"))).alias(f"_kc_a{i}"))
-        aggs.append(F.max(F.when(r0 == F.floor(h) + 1, F.col("_kc_x"))).alias(f"_kc_b{i}"))
-    picked = ranked.groupBy(*group_cols).agg(*aggs, *extra_aggs)
+        h = F.floor((total - 1) * F.lit(float(p)))
+        for name, rank in ((f"_kc_a{i}", h), (f"_kc_b{i}", h + 1)):
+            holds = (rank < F.col("_kc_last")) & (rank >= F.col("_kc_last") - n)
+            aggs.append(F.max(F.when(holds, x)).alias(name))
+    picked = ranked.groupBy(*group_cols).agg(*aggs)
     outs = []
     for i, (p, name) in enumerate(zip(probs, names)):
-        h = (F.col("_kc_cnt") - 1) * F.lit(float(p))
-        frac = h - F.floor(h)
+        h = (total - 1) * F.lit(float(p))
         a, b = F.col(f"_kc_a{i}"), F.coalesce(F.col(f"_kc_b{i}"), F.col(f"_kc_a{i}"))
-        outs.append((a + frac * (b - a)).alias(name))
-    extra_names = [picked.columns[len(group_cols) + len(aggs) + i] for i in range(len(extra_aggs))]
-    return picked.select(*group_cols, *outs, *extra_names)
+        outs.append((a + (h - F.floor(h)) * (b - a)).alias(name))
+    return picked.select(*group_cols, *outs)

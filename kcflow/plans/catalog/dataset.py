@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...operators import steps as st
 from ...operators.rates import add_rate
-from ...operators.sequence import sliced_index
+from ...operators.sequence import running_index
 from ...sources.fixtures import ITEM_KEYS, step_log, transactions
 from ..oracle import ITEM_ORDER, with_steps, with_transactions
 from ..registry import register
@@ -59,7 +59,7 @@ def renumber_rows(spark, sf_dir):
     """Row numbers 1..n restarted per split, in key order, via the range-sliced
     numbering (no task holds a whole split)."""
     sl = step_log(spark, sf_dir, with_view=False, keep_keys=True)
-    numbered = sliced_index(sl, ["split"], list(ITEM_KEYS), "row")
+    numbered = running_index(sl, ["split"], list(ITEM_KEYS), "row")
     return ts_text(numbered.select("split", "row", "student", "problem", "step", "first_tx"),
                    ["first_tx"])
 

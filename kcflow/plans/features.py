@@ -88,10 +88,7 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str | dict[str, str] = "r
     counted = [k for k, s in stats.items() if s == "count"]
     value = F.when(F.col("feature").isin(*counted), F.col("n_correct").cast("double")) \
         .otherwise(F.try_divide(F.col("n_correct"), F.col("n")))
-    # A feature has at most as many distinct values as there are rows, so
-    # the row count bounds every dictionary (a scan without columns).
-    coded = running_index(counts, ["feature"], [F.col("value").asc_nulls_first()], "_kc_pos",
-                          size_bound=rows.count())
+    coded = running_index(counts, ["feature"], [F.col("value").asc_nulls_first()], "_kc_pos")
     dims = coded.select("feature", "value", (F.col("_kc_pos") - 1).cast("bigint").alias("code"),
                         F.when(has_rate, value).alias("rate"))
     means = dims.groupBy("feature").agg(F.avg("rate").alias("_kc_mean"))

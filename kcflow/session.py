@@ -73,6 +73,34 @@ def ensure_worker_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def file_versions(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, size, modification time) of a file or of the files in a folder,
+    in any file system that Spark reads."""
+    fs, p = _file_system(spark, path)
+    return sorted((str(f.getPath()), f.getLen(), f.getModificationTime())
+                  for f in fs.listStatus(p))
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove every table that the library has written to the shared folder in
+    this application.  To be called when results that read them have been
+    consumed; prepared inputs are built again when needed."""
+    fs, base = _file_system(spark, ensure_checkpoint_dir(spark))
+    for f in fs.listStatus(base):
+        if f.getPath().getName().startswith("kcflow-"):
+            fs.delete(f.getPath(), True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -14,13 +14,13 @@ which never puts one key's rows into one task.
 
 from __future__ import annotations
 
-import os
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequence import running_index
-from ..session import default_partitions, scratch_path
+from ..session import ensure_checkpoint_dir, file_exists, file_versions
 from .tables import spread, table
 
 # Fixed values of the fixture mapping (they must equal the documented view).
@@ -99,54 +99,50 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 # fewest rows worth a file of their own when spreading small data over cores.
 ROWS_PER_FILE = 1_000_000
 MIN_ROWS_PER_FILE = 10_000
+INPUTS = ("lineitem", "orders", "part")
 
 
 def build_step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = True,
-                   with_view: bool = True, row_count: list | None = None) -> DataFrame:
+                   with_view: bool = True) -> DataFrame:
     """The step-record table computed from the driver tables (FIXTURES.md s2).
 
     ``row`` is 1..n per split in line-item key order; ``problem_view`` the
-    running count per (student, problem) in time order.  Both come from the
-    size-checked ``running_index``.
+    running count per (student, problem) in time order.  Both are
+    range-sliced numberings.
     """
     df = _base(spark, sf_dir)
-    # The row count bounds every group of both numberings: one counting pass
-    # instead of measuring each grouping.
-    bound = df.count()
-    if row_count is not None:
-        row_count.append(bound)
+    # number of slices by the rows of lineitem, which the join cannot exceed
+    n = _files(spark, table(spark, sf_dir, "lineitem").count())
     if with_view:
         df = running_index(df, ["student", "problem"], ["first_tx", *ITEM_KEYS],
-                           "problem_view", size_bound=bound)
+                           "problem_view", num_partitions=n)
     if with_row:
-        df = running_index(df, ["split"], list(ITEM_KEYS), "row", size_bound=bound)
+        df = running_index(df, ["split"], list(ITEM_KEYS), "row", num_partitions=n)
     cols = [c for c in STEP_COLUMNS if c in df.columns]
     return df.select(*cols, *ITEM_KEYS)
 
 
-# One prepared step table per (application, input folder): the step log is
-# the library's input, as the step files are for the reference, so it is
-# built once, written as parquet partitioned by split under the shared
-# checkpoint folder, and read by every query.
-_PREPARED: dict[tuple[str, str], str] = {}
+def _files(spark: SparkSession, rows: int) -> int:
+    """Files by row count; small data gets one per core."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(cores, -(-rows // MIN_ROWS_PER_FILE)), -(-rows // ROWS_PER_FILE))
 
 
 def prepared_path(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _PREPARED.get(key)
-    if path is None:
-        path = scratch_path(spark, "step-log")
-        # Balanced files: hash the unique item key into as many partitions as
-        # the shuffle width, whatever partitioning the numbering left behind.
-        rows: list[int] = []
-        built = build_step_log(spark, sf_dir, row_count=rows)
-        cores = spark.sparkContext.defaultParallelism
-        n = rows[0]
-        n_files = max(1, min(cores, -(-n // MIN_ROWS_PER_FILE)),
-                      min(default_partitions(spark), -(-n // ROWS_PER_FILE)))
-        steps = built.repartition(n_files, "l_orderkey", "l_linenumber", "l_partkey")
-        steps.write.mode("error").partitionBy("split").parquet(path)
-        _PREPARED[key] = path
+    """The prepared step table of an input folder, built when it is not there.
+
+    The step log is the library's input, as the step files are for the
+    reference: it is written once as parquet, partitioned by split, in the
+    shared checkpoint folder, and read by every query.  Its name is a digest
+    of the names, sizes and times of the input files, so changed inputs are
+    prepared anew and nothing is remembered in the process.
+    """
+    version = hashlib.sha256(repr([
+        (t, file_versions(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")) for t in INPUTS]).encode())
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kcflow-step-log-{version.hexdigest()[:24]}"
+    if not file_exists(spark, f"{path}/_SUCCESS"):
+        steps = build_step_log(spark, sf_dir)
+        steps.write.mode("overwrite").partitionBy("split").parquet(path)
     return path
 
 
@@ -165,11 +161,6 @@ def step_log(spark: SparkSession, sf_dir: str, *, with_row: bool = False,
     return df.select(*cols)
 
 
-def train_test(spark: SparkSession, sf_dir: str, **kw) -> tuple[DataFrame, DataFrame]:
-    df = step_log(spark, sf_dir, **kw)
-    return df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
-
-
 # Event types of the transaction mapping (fixed values).
 OUTCOME_OF_EVENT = {"purchase": "correct", "error": "incorrect", "view": "hint",
                     "click": "other", "signup": "other"}

@@ -1,5 +1,6 @@
-"""Model sanity on the smallest scale: a fitted model beats the constant
-baseline, the same seed gives the same score, known labels survive export."""
+"""Models on the smallest scale: fits beat the constant baseline, the same seed
+gives the same score, incomplete rows neither stop a fit nor stay unpredicted,
+known labels survive the export."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,38 +14,103 @@ from tests.conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
-def frames(spark):
-    data = M.training_frame(feature_table(step_log(spark, SF_SMALL, with_row=True)))
-    return data.where("split = 'train'"), data.where("split = 'test'")
+def features(spark):
+    return feature_table(step_log(spark, SF_SMALL, with_row=True))
 
 
-def test_tree_beats_constant_and_is_repeatable(frames):
-    train, test = frames
-    lab = test.where(F.col("cfa").isNotNull())
-    mean = train.agg(F.avg("cfa")).first()[0]
-    base = score(lab.withColumn("prediction", F.lit(mean))).first()["rmse"]
-    a = score(M.fit("DecisionTree", train).predict(lab)).first()["rmse"]
-    b = score(M.fit("DecisionTree", train).predict(lab)).first()["rmse"]
-    assert a == b
-    logit = score(M.fit("BasicLogistic", train).predict(lab)).first()["rmse"]
-    assert logit < base
+@pytest.fixture(scope="module")
+def frames(features):
+    data = M.model_frames(features)
+    yield data
+    data.release()
+
+
+def rmse_of(model, frames):
+    lab = frames.test.where(F.col("cfa").isNotNull())
+    return score(model.predict(lab)).first()["rmse"]
+
+
+def baseline(frames):
+    mean = frames.fit.agg(F.avg("cfa")).first()[0]
+    lab = frames.test.where(F.col("cfa").isNotNull())
+    return score(lab.withColumn("prediction", F.lit(mean))).first()["rmse"]
+
+
+# rounds are cut here, in the test, to keep it short; the settings are parameters
+PROBABILITY = {
+    "RandomForest": lambda f: M.fit("RandomForest", f),
+    "XGBoost": lambda f: M.fit_booster(f, 12, **{k: v for k, v in M.XGB_LIKE.items() if k != "maxIter"}),
+    "Lightgbm": lambda f: M.fit_booster(f, 12),
+    "BasicLogistic": lambda f: M.fit("BasicLogistic", f),
+    "Vote": lambda f: M.fit_vote(f, rounds=8),
+}
+
+
+@pytest.mark.parametrize("method", PROBABILITY)
+def test_beats_constant(frames, method):
+    assert rmse_of(PROBABILITY[method](frames.fit), frames) < baseline(frames)
+
+
+def test_tree_and_adaboost_are_repeatable(frames):
+    for fit in (lambda f: M.fit("DecisionTree", f), lambda f: M.fit_adaboost(f, rounds=4)):
+        a, b = (rmse_of(fit(frames.fit), frames) for _ in range(2))
+        assert a == pytest.approx(b, abs=1e-12) and a < 0.75
+
+
+def test_settings_are_the_full_ones():
+    assert M.LGBM_LIKE["maxIter"] == 2150 and M.XGB_LIKE["maxIter"] == 150
+    assert M.GBDT["maxIter"] == 200 and M.ADABOOST_ROUNDS == 50 and M.CV_FOLDS == 5
+    assert len(M.XGB_GRID["maxIter"]) == 30 and tuple(M.LGBM_GRID["maxIter"])[-1] == 4000
+
+
+def test_null_label_and_null_input(features):
+    """A training row without label is not fitted on; a test row with a missing
+    input is predicted."""
+    first = features.where("split = 'train'").agg(F.min("row")).first()[0]
+    hole = features.where("split = 'test'").agg(F.min("row")).first()[0]
+    dirty = features.withColumns({
+        "cfa": F.when((F.col("split") == "train") & (F.col("row") == first), None)
+        .otherwise(F.col("cfa")),
+        "problem_view": F.when((F.col("split") == "test") & (F.col("row") == hole), None)
+        .otherwise(F.col("problem_view"))})
+    data = M.model_frames(dirty)
+    n = features.where("split = 'train' AND cfa IS NOT NULL").count()
+    assert data.fit.count() == n - 1
+    pred = M.fit("BasicLogistic", data.fit).predict(data.test)
+    assert pred.count() == features.where("split = 'test'").count()
+    assert pred.where("prediction IS NULL").count() == 0
+    data.release()
+
+
+def test_bounded_fit_rows(features):
+    data = M.model_frames(features, max_fit_rows=1000)
+    assert 700 < data.fit.count() < 1300
+    assert data.train.count() == features.where("split = 'train'").count()
+    data.release()
 
 
 def test_export_keeps_known_labels(spark):
-    path = scratch_path(spark, "export-test")
-    out = export(spark, SF_SMALL, path, method="BasicLogistic")
-    steps = step_log(spark, SF_SMALL, with_row=True).where("split = 'test'").select("row", "cfa")
-    j = out.select("row", F.col("cfa").alias("filled")).join(steps, "row")
+    steps = step_log(spark, SF_SMALL, with_row=True)
+    holes = steps.withColumn("problem_view", F.when(F.col("row") % 10 == 0, None)
+                             .otherwise(F.col("problem_view")))
+    out = export(holes, scratch_path(spark, "export-test"), method="BasicLogistic")
+    test = steps.where("split = 'test'").select("row", "cfa")
+    j = out.select("row", F.col("cfa").alias("filled")).join(test, "row")
     assert j.where(F.col("cfa").isNotNull() & (F.col("cfa") != F.col("filled"))).count() == 0
     assert j.where(F.col("filled").isNull()).count() == 0
-    assert out.count() == steps.count()
+    assert out.count() == test.count()
 
 
 def test_large_data_mode_split(frames):
-    train, _ = frames
-    fit_rows, held = M.split_holdout(train)
-    n, a, b = train.count(), fit_rows.count(), held.count()
+    fit_rows, held = M.split_holdout(frames.fit)
+    n, a, b = frames.fit.count(), fit_rows.count(), held.count()
     assert a + b == n and 0.6 < a / n < 0.8
     assert fit_rows.join(held, "row").count() == 0
-    lb = M.leaderboard(train, None, ["BasicLogistic"]).first()
-    assert lb["n"] == held.where("cfa IS NOT NULL").count() and lb["rmse"] > 0
+    lb = M.leaderboard(frames.fit, None, ["BasicLogistic"]).first()
+    assert lb["n"] == b and 0 < lb["rmse"] < lb["rmse_mean"]
+
+
+def test_grid_search_over_the_classifier(frames):
+    rows = M.cross_validate(frames.fit, {"maxIter": (2, 4), "maxDepth": (2,)}, folds=2).collect()
+    assert [(r["maxIter"], r["maxDepth"]) for r in rows] == [(2.0, 2.0), (4.0, 2.0)]
+    assert all(0 < r["mse"] < 0.3 for r in rows)

@@ -1,9 +1,11 @@
-"""Running numbers and exact quantiles: window path == sliced path == brute force."""
+"""Running numbers and exact quantiles against windows and brute force."""
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from kcflow.operators.sequence import exact_quantiles, running_index, sliced_index
+from kcflow.operators.sequence import exact_quantiles, running_index
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +19,8 @@ def skewed(spark):
 
 
 def test_sliced_equals_window(skewed):
-    a = running_index(skewed, ["g"], ["id"], "rn", max_group_rows=10 ** 9)
-    b = sliced_index(skewed, ["g"], ["id"], "rn", num_partitions=7)
+    a = skewed.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("id")))
+    b = running_index(skewed, ["g"], ["id"], "rn", num_partitions=7)
     ra = {r["id"]: r["rn"] for r in a.collect()}
     rb = {r["id"]: r["rn"] for r in b.collect()}
     assert ra == rb and len(ra) == skewed.count()
@@ -27,23 +29,19 @@ def test_sliced_equals_window(skewed):
 def test_running_index_brute_force(skewed):
     pdf = skewed.toPandas().sort_values(["g", "id"])
     pdf["rn"] = pdf.groupby("g").cumcount() + 1
-    got = {r["id"]: r["rn"] for r in running_index(skewed, ["g"], ["id"], "rn",
-                                                   max_group_rows=0).collect()}
+    got = {r["id"]: r["rn"] for r in running_index(skewed, ["g"], ["id"], "rn").collect()}
     assert got == dict(zip(pdf["id"], pdf["rn"]))
 
 
 def test_global_numbering_dense(skewed):
-    out = sliced_index(skewed, [], ["v", "id"], "pos", num_partitions=5)
+    out = running_index(skewed, [], ["v", "id"], "pos", num_partitions=5)
     assert sorted(r["pos"] for r in out.collect()) == list(range(1, skewed.count() + 1))
 
 
-@pytest.mark.parametrize("limit", [0, 10 ** 9])
-def test_quantiles_match_numpy(skewed, limit, spark):
-    spark.conf.set("kcflow.window.maxGroupRows", str(limit))
-    try:
-        q = exact_quantiles(skewed, "v", [0.25, 0.5, 0.75], group_cols=["g"]).collect()
-    finally:
-        spark.conf.unset("kcflow.window.maxGroupRows")
+@pytest.mark.parametrize("slices", [1, 9])
+def test_quantiles_match_numpy(skewed, slices):
+    q = exact_quantiles(skewed, "v", [0.25, 0.5, 0.75], group_cols=["g"],
+                        num_partitions=slices).collect()
     pdf = skewed.toPandas()
     for r in q:
         vals = pdf.loc[pdf.g == r["g"], "v"].to_numpy()

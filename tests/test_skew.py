@@ -1,9 +1,11 @@
 """A hot key holding a third of the rows: the sliced numbering must give the
 same numbers as the window and as a brute-force count."""
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kcflow.operators.sequence import running_index, sliced_index
+from kcflow.operators.sequence import exact_quantiles, running_index, sliced
 from kcflow.sources.fixtures import ITEM_KEYS, step_log
 from tests.conftest import SF_SMALL
 
@@ -18,11 +20,12 @@ def test_hot_student_problem_view(spark):
         "problem": F.when(F.col("l_linenumber") % 3 == 0, F.lit("P-HOT")).otherwise(F.col("problem"))})
     n_hot = hot.where("student = 'HOT'").count()
     assert n_hot > hot.count() / 4
-    win = running_index(hot, ["student", "problem"], ORDER, "pv", max_group_rows=10 ** 9)
-    sliced = sliced_index(hot, ["student", "problem"], ORDER, "pv", num_partitions=9)
+    win = hot.withColumn("pv", F.row_number().over(
+        Window.partitionBy("student", "problem").orderBy(*ORDER)))
+    numbered = running_index(hot, ["student", "problem"], ORDER, "pv", num_partitions=9)
     key = [*ITEM_KEYS]
     a = {tuple(r[k] for k in key): r["pv"] for r in win.collect()}
-    b = {tuple(r[k] for k in key): r["pv"] for r in sliced.collect()}
+    b = {tuple(r[k] for k in key): r["pv"] for r in numbered.collect()}
     assert a == b
     # brute force on the hot group
     pdf = hot.where("student = 'HOT'").toPandas().sort_values(ORDER)
@@ -30,21 +33,15 @@ def test_hot_student_problem_view(spark):
     assert hot_b == list(range(1, n_hot + 1))
 
 
-def test_sliced_step_log_matches_duckdb(spark):
-    """The at-scale path of the step-log preparation: with the group limit
-    at 0 every numbering is range-sliced; row and problem_view must equal
-    DuckDB's window functions."""
+def test_step_log_matches_duckdb(spark):
+    """row and problem_view equal DuckDB's window functions."""
     import duckdb
 
     from kcflow.plans.oracle import with_steps
     from kcflow.sources.fixtures import build_step_log
 
-    spark.conf.set("kcflow.window.maxGroupRows", "0")
-    try:
-        ours = build_step_log(spark, SF_SMALL).select(
-            "split", "row", "problem_view", *ITEM_KEYS).toPandas()
-    finally:
-        spark.conf.unset("kcflow.window.maxGroupRows")
+    ours = build_step_log(spark, SF_SMALL).select(
+        "split", "row", "problem_view", *ITEM_KEYS).toPandas()
     con = duckdb.connect()
     for t in ("lineitem", "orders", "part"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
@@ -58,19 +55,37 @@ def test_sliced_step_log_matches_duckdb(spark):
     assert (a["problem_view"].to_numpy() == b["problem_view"].to_numpy()).all()
 
 
-def test_opportunity_counts_paths_agree(spark):
-    """One shuffle by student (students fit a task) and the skew-safe
-    fallback (limit 0: every student counts as hot) give the same strings."""
-    from kcflow.operators.steps import opportunity_counts
+def test_hot_value_is_one_row(spark):
+    """A third of the rows at one value: quantiles are exact, and no slice of
+    the sorted table has more than twice the mean."""
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise(F.col("id") / 7.0).alias("x"))
+    got = exact_quantiles(df, "x", [0.25, 0.5, 0.9], names=["a", "b", "c"]).first()
+    want = df.toPandas()["x"].quantile([0.25, 0.5, 0.9]).tolist()
+    assert list(got) == pytest.approx(want)
+    counts = df.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    sizes = [r["count"] for r in sliced(counts, [F.col("x")], 8).groupBy("_kc_pid").count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
 
-    sl = step_log(spark, SF_SMALL, with_view=False, keep_keys=True)
-    ids = ["student", "problem", "step", "kc", "first_tx", *ITEM_KEYS]
-    fast = {tuple(r[c] for c in ids): r["opportunity_count"]
-            for r in opportunity_counts(sl, ids, ORDER).collect()}
-    spark.conf.set("kcflow.window.maxGroupRows", "0")
-    try:
-        slow = {tuple(r[c] for c in ids): r["opportunity_count"]
-                for r in opportunity_counts(sl, ids, ORDER).collect()}
-    finally:
-        spark.conf.unset("kcflow.window.maxGroupRows")
-    assert fast == slow and len(fast) > 0
+
+def test_changed_inputs_are_prepared_again(spark, tmp_path):
+    import shutil
+
+    for t in ("lineitem", "orders", "part"):
+        (tmp_path / f"{t}.parquet").mkdir()
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet" / "a.parquet")
+    folder = str(tmp_path)
+    assert step_log(spark, folder).count() == 6000
+    shutil.copy(f"{SF_SMALL}/lineitem.parquet", tmp_path / "lineitem.parquet" / "b.parquet")
+    assert step_log(spark, folder).count() == 12000
+
+
+def test_scratch_tables_can_be_released(spark):
+    from kcflow.session import ensure_checkpoint_dir, file_exists, release_scratch
+    from kcflow.operators.sequence import materialize
+
+    df = materialize(spark.range(5), "released")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert df.count() == 5 and file_exists(spark, path)
+    release_scratch(spark)
+    assert not file_exists(spark, path) and file_exists(spark, ensure_checkpoint_dir(spark))
