@@ -1,10 +1,10 @@
 """Two Bloom filters: hashes seen once, and hashes seen at least twice.
 
-Every task marks its own hashes and hands on the positions of the bits it
-set, so what is moved follows the number of distinct hashes, not the size
-of the filter.  The merge runs per segment of the bit range: a bit is set
-in the twice filter when any task set it there, or when two tasks set it
-in the once filter.  Nothing seen twice can be missed; a hash seen once may
+Every batch of rows hands on the positions of the bits that its hashes set,
+so what is moved follows the number of distinct hashes, not the size of the
+filter.  The merge runs per segment of the bit range: a bit is set in the
+twice filter when a batch set it there, or when two batches set it in the
+once filter.  Nothing seen twice can be missed; a hash seen once may
 be suspected.
 
 The twice filter has at most MAX_BITS bits (128 MiB), whatever the input:
@@ -27,17 +27,17 @@ MIN_BITS, MAX_BITS = 2**20, 2**30
 SEGMENTS = 64
 
 
-def filter_bits(keys: int) -> int:
+def filter_bits(keys: int, bits_per_key: int = BITS_PER_KEY) -> int:
     """Bits for so many keys: a power of two within the bounds."""
-    wanted = max(1, keys) * BITS_PER_KEY
+    wanted = max(1, keys) * bits_per_key
     return min(MAX_BITS, max(MIN_BITS, 1 << (wanted - 1).bit_length()))
 
 
-def positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two bit positions of each 64-bit hash."""
+def positions(hashes: np.ndarray, bits: int, probes: int = 2) -> list[np.ndarray]:
+    """The bit positions of each 64-bit hash, one array per probe (one or two)."""
     h = hashes.view(np.uint64) if hashes.dtype != np.uint64 else hashes
     mask = np.uint64(bits - 1)
-    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
+    return [((h >> np.uint64(shift)) & mask).astype(np.int64) for shift in (0, 32)[:probes]]
 
 
 def mark(bitmap: np.ndarray, at: np.ndarray) -> None:
@@ -48,76 +48,57 @@ def test(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def contains(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def contains(bitmap: np.ndarray, hashes: np.ndarray, probes: int = 2) -> np.ndarray:
     """Which hashes may be in the filter."""
-    a, b = positions(hashes, bitmap.size * 8)
-    return test(bitmap, a) & test(bitmap, b)
-
-
-class Pair:
-    """Once and twice filters of one task."""
-
-    def __init__(self, bits: int):
-        self.bits = bits
-        self.once = np.zeros(bits // 8, np.uint8)
-        self.twice = np.zeros(bits // 8, np.uint8)
-
-    def add(self, hashes: np.ndarray, docs: np.ndarray | None = None) -> None:
-        """Add hashes; one that is given twice (for different `docs`) counts as seen twice."""
-        if docs is not None:
-            by = np.lexsort((docs, hashes))
-            hashes, docs = hashes[by], docs[by]
-            new = (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])
-            hashes = hashes[np.concatenate((np.ones(min(1, hashes.size), bool), new))]
-        seen, counts = np.unique(hashes, return_counts=True)
-        a, b = positions(seen, self.bits)
-        again = (counts > 1) | (test(self.once, a) & test(self.once, b))
-        for bitmap, sel in ((self.twice, again), (self.once, slice(None))):
-            mark(bitmap, a[sel])
-            mark(bitmap, b[sel])
-
-    def segments(self) -> Iterator[pa.RecordBatch]:
-        size = self.bits // 8 // SEGMENTS
-        for s in range(SEGMENTS):
-            part = slice(s * size, (s + 1) * size)
-            once, twice = (_positions(x[part]) for x in (self.once, self.twice))
-            if once.size:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), pa.array([once.tobytes()], pa.binary()),
-                     pa.array([twice.tobytes()], pa.binary())], names=["seg", "once", "twice"])
-
-
-def _positions(part: np.ndarray) -> np.ndarray:
-    """Positions of the set bits, as 32-bit steps from one to the next."""
-    used = np.flatnonzero(part)
-    bits = np.unpackbits(part[used], bitorder="little").reshape(-1, 8)
-    row, bit = np.nonzero(bits)
-    at = used[row] * 8 + bit
-    return np.diff(at, prepend=0).astype(np.uint32)
-
-
-def twice_filter(batches_to_hashes, source: DataFrame, bits: int) -> np.ndarray:
+    found = [test(bitmap, at) for at in positions(hashes, bitmap.size * 8, probes)]
+    return found[0] & found[-1]
+
+
+def marked(hashes: np.ndarray, bits: int, probes: int = 2) -> Iterator[pa.RecordBatch]:
+    """The bits that a batch of hashes sets, by segment: those of all its hashes, and
+    those of hashes that it holds twice."""
+    ordered = np.sort(hashes)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    once = np.sort(np.concatenate(positions(ordered, bits, probes)).astype(np.uint32)).astype(np.int64)
+    twice = np.sort(np.concatenate(positions(again, bits, probes)))
+    size = bits // SEGMENTS
+    edges = np.arange(SEGMENTS + 1) * size
+    once_at, twice_at = np.searchsorted(once, edges), np.searchsorted(twice, edges)
+    used = np.flatnonzero(np.diff(once_at))
+
+    def steps(at: np.ndarray, bounds: np.ndarray, s: int) -> bytes:
+        """Positions inside the segment, as 32-bit steps from one to the next."""
+        own = at[bounds[s]:bounds[s + 1]] - edges[s]
+        return np.diff(own, prepend=0).astype(np.uint32).tobytes()
+
+    if used.size:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()),
+             pa.array([steps(once, once_at, s) for s in used], pa.binary()),
+             pa.array([steps(twice, twice_at, s) for s in used], pa.binary())],
+            names=["seg", "once", "twice"])
+
+
+def twice_filter(batches_to_hashes, source: DataFrame, bits: int, probes: int = 2) -> np.ndarray:
     """The merged twice filter of all rows of `source`.
 
     `batches_to_hashes` turns an Arrow batch into an array of 64-bit hashes
-    in which each document gives each of its hashes once, or into the hashes
-    and the document of each.
+    in which each document should give each of its hashes once (if it does
+    not, its own repeats are suspected too).
     """
-    return _filter(source, batches_to_hashes, bits, "twice")
+    return _filter(source, batches_to_hashes, bits, "twice", probes)
 
 
 def once_filter(source: DataFrame, batches_to_hashes, bits: int) -> np.ndarray:
     """The filter of all hashes of `source`, seen once or more."""
-    return _filter(source, batches_to_hashes, bits, "once")
+    return _filter(source, batches_to_hashes, bits, "once", 2)
 
 
-def _filter(source: DataFrame, batches_to_hashes, bits: int, wanted: str) -> np.ndarray:
+def _filter(source: DataFrame, batches_to_hashes, bits: int, wanted: str,
+            probes: int) -> np.ndarray:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(bits)
         for batch in batches:
-            hashes = batches_to_hashes(batch)
-            pair.add(*(hashes if isinstance(hashes, tuple) else (hashes,)))
-        yield from pair.segments()
+            yield from marked(batches_to_hashes(batch), bits, probes)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, now, once, twice = bits // 8 // SEGMENTS, None, None, None

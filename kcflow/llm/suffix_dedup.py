@@ -11,9 +11,11 @@ anchor form a segment, and:
 
 1. Documents with equal text are represented by the smallest id; the others
    go as a whole (an aggregate per text hash).
-2. Two Bloom filters find anchors that may occur in two documents.
-3. Segments of such anchors, each text once per batch with its smallest id,
-   are shuffled by anchor.  Anchors with very many segments are split by
+2. A window has at least REACH bytes to the left or to the right of its
+   anchor.  Two Bloom filters find the anchors that may occur in two
+   documents with these bytes on one side.
+3. Segments of such anchors (the windows on that side), each text once per
+   batch with its smallest id, are shuffled by anchor.  Anchors with very many segments are split by
    window content, so no anchor is too large for a task.
 4. Each task sorts the suffixes of its segments in two stages and reads
    equal windows off the adjacent common prefixes; the smallest id of a run
@@ -46,8 +48,12 @@ LENGTH = 50
 GRAM = 20
 #: Windows that can share an anchor.
 SPREAD = LENGTH - GRAM + 1
+#: Bytes on one side of an anchor that the filters tell apart.
+REACH = (LENGTH - GRAM) // 2
+#: Bits of the filters per side of an anchor (with one probe each).
+BITS_PER_SIDE = 4
 #: Bytes of text hashed at once; longer texts are taken in overlapping parts.
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 17
 #: Bytes of segments sorted at once.
 SORT_BYTES = 2 << 20
 #: Anchors with more occurrences are split by window content.
@@ -61,43 +67,70 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(_BASE, n, 1 << 64))
 
 
-def gram_hashes(text: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the GRAM (16 + 4) bytes from each position."""
+def gram_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the GRAM (16 + 4) bytes and of the 16 bytes from each position."""
     with np.errstate(over="ignore"):
         by_size, h, size = {}, text.astype(np.uint64) + np.uint64(1), 1
         while size < 16:
             by_size[size] = h
             h = h[:-size] * _power(size) + h[size:]
             size *= 2
-        h = h[:-4] * _power(4) + by_size[4][16:]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(29))
-
-
-def anchors(text: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """Segments of the documents text[starts:ends]: document, hash of the
-    anchor, first window, last window."""
-    none = np.zeros(0, np.int64)
-    if text.size < LENGTH:
-        return none, np.zeros(0, np.uint64), none, none
-    h = gram_hashes(text)
-    low = (h & ~_MASK24) | np.arange(h.size, dtype=np.uint64)
-    size = 1
-    while size < 16:  # smallest of 2, 4, 8, 16 neighbours, then of SPREAD
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    low = np.minimum(low[:low.size - (SPREAD - 16)], low[SPREAD - 16:])
-    n = np.maximum(ends - starts - LENGTH + 1, 0)
-    doc = np.repeat(np.arange(starts.size), n)
-    window = np.arange(doc.size) - np.repeat(np.cumsum(n) - n, n) + starts[doc]
-    anchor = (low[window] & _MASK24).astype(np.int64)
-    if not window.size:
-        return none, np.zeros(0, np.uint64), none, none
-    fresh = np.flatnonzero(np.concatenate(
-        ([True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))))
-    last = np.append(fresh[1:], window.size) - 1
-    return doc[fresh], h[anchor[fresh]], window[fresh], window[last]
+        return _mixed(h[:-4] * _power(4) + by_size[4][16:]), h
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(31))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+class Anchors:
+    """Segments of the documents text[starts:ends]: `doc`, `key` (hash of the anchor),
+    `at` (the anchor), `first` and `last` window; `left` and `right`: hashes of the
+    anchor with REACH bytes on that side, which count where a window has them."""
+
+    def __init__(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        n = np.maximum(ends - starts - LENGTH + 1, 0)
+        doc = np.repeat(np.arange(starts.size), n)
+        if not doc.size:
+            self.doc = self.at = self.first = self.last = np.zeros(0, np.int64)
+            self.key = self.left = self.right = np.zeros(0, np.uint64)
+            self.on_left = self.on_right = np.zeros(0, bool)
+            return
+        h, h16 = gram_hashes(text)
+        low = (h & ~_MASK24) | np.arange(h.size, dtype=np.uint64)
+        size = 1
+        while size < 16:  # smallest of 2, 4, 8, 16 neighbours, then of SPREAD
+            low = np.minimum(low[:-size], low[size:])
+            size *= 2
+        low = np.minimum(low[:low.size - (SPREAD - 16)], low[SPREAD - 16:])
+        window = np.arange(doc.size) - np.repeat(np.cumsum(n) - n, n) + starts[doc]
+        anchor = (low[window] & _MASK24).astype(np.int64)
+        fresh = np.flatnonzero(np.concatenate(
+            ([True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))))
+        self.doc, self.at = doc[fresh], anchor[fresh]
+        self.first, self.last = window[fresh], window[np.append(fresh[1:], window.size) - 1]
+        self.key = h[self.at]
+        self.on_left = self.first <= self.at - REACH
+        self.on_right = self.last >= self.at - REACH
+        with np.errstate(over="ignore"):
+            before = h16[np.maximum(self.at - REACH, 0)]
+            after = h16[np.minimum(self.at + GRAM + REACH - 16, h16.size - 1)]
+            self.left = _mixed(self.key ^ (before * _power(3)))
+            self.right = _mixed(self.key + after * _power(5))
+
+    def sides(self) -> np.ndarray:
+        return np.concatenate((self.left[self.on_left], self.right[self.on_right]))
+
+    def suspects(self, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Indexes of suspected segments, and their first and last window."""
+        left = self.on_left & contains(twice, self.left, 1)
+        right = self.on_right & contains(twice, self.right, 1)
+        middle = self.at - REACH
+        first = np.where(left, self.first, np.maximum(self.first, middle))
+        last = np.where(right, self.last, np.minimum(self.last, middle))
+        hit = np.flatnonzero(left | right)
+        return hit, first[hit], last[hit]
 
 
 def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes, np.ndarray, np.ndarray,
@@ -144,18 +177,20 @@ def _segments(batch: pa.RecordBatch, chosen: np.ndarray, suspects: np.ndarray,
     ids = batch.column(0).to_numpy(zero_copy_only=False)
     texts = _texts(batch.column(1), contains(chosen, mix(ids)))
     for row, body, starts, ends, offset in _pieces(texts):
-        doc, key, first, last = anchors(np.frombuffer(body, np.uint8), starts, ends)
-        hit = np.flatnonzero(contains(suspects, key))
-        fine = contains(split, key) if split is not None and key.size else np.zeros(key.size, bool)
+        found = Anchors(np.frombuffer(body, np.uint8), starts, ends)
+        hit, first, last = found.suspects(suspects)
+        doc, key = found.doc[hit], found.key[hit]
+        fine = contains(split, key) if split is not None else np.zeros(key.size, bool)
         shift = offset[doc] - starts[doc]
-        for j in hit.tolist():
-            i, k, a, b = int(row[doc[j]]), int(key[j]), int(first[j]), int(last[j])
-            if fine[j]:  # every window by itself
+        for i, k, a, b, s, by_window in zip(
+                row[doc].tolist(), key.tolist(), first.tolist(), last.tolist(), shift.tolist(),
+                fine.tolist(), strict=True):
+            if by_window:
                 for w in range(a, b + 1):
                     own = body[w:w + LENGTH]
-                    yield i, k ^ xxhash.xxh3_64_intdigest(own), own, w + int(shift[j]), 1
+                    yield i, k ^ xxhash.xxh3_64_intdigest(own), own, w + s, 1
             else:
-                yield i, k, body[a:b + LENGTH], a + int(shift[j]), b - a + 1
+                yield i, k, body[a:b + LENGTH], a + s, b - a + 1
 
 
 def _signed(h: int) -> int:
@@ -263,23 +298,24 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     chosen = sc.broadcast(once_filter(firsts.select("first"), lambda b: mix(
         b.column(0).to_numpy(zero_copy_only=False)), filter_bits(n)))
 
-    def keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def found_in(batch: pa.RecordBatch) -> Iterator[Anchors]:
         own = batch.column(0).to_numpy(zero_copy_only=False)
         texts = _texts(batch.column(1), contains(chosen.value, mix(own)))
-        found = [(own[row[doc]], key) for row, body, starts, ends, _ in _pieces(texts)
-                 for doc, key, _, _ in [anchors(np.frombuffer(body, np.uint8), starts, ends)]]
-        if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate([k for _, k in found]), np.concatenate([d for d, _ in found])
+        for _, body, starts, ends, _ in _pieces(texts):
+            yield Anchors(np.frombuffer(body, np.uint8), starts, ends)
+
+    def sides(batch: pa.RecordBatch) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint64), *(a.sides() for a in found_in(batch))])
 
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = filter_bits(2 * size // SPREAD)
-    suspects = sc.broadcast(twice_filter(keys, plain, bits))
+    bits = filter_bits(4 * size // SPREAD, BITS_PER_SIDE)
+    suspects = sc.broadcast(twice_filter(sides, plain, bits, probes=1))
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, _ = keys(batch)
-            found, n = np.unique(found[contains(suspects.value, found)], return_counts=True)
+            found = np.concatenate([np.zeros(0, np.uint64), *(
+                a.key[a.suspects(suspects.value)[0]] for a in found_in(batch))])
+            found, n = np.unique(found, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)],
                                              names=["key", "n"])
 
