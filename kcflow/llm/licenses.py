@@ -1,16 +1,18 @@
 """License scans: TF-IDF cosine to templates, then directory inheritance.
 
-Units are the lines of a file (headers, notices) and the file as a whole (a
-licence file).  A unit and a template are vectors of words weighted by
-count times inverse document frequency over the templates; a word that no
-template has gets the highest weight.  A unit matches when the cosine is at
-least MATCH; a file whose whole text matches, or that bears the name of a
-licence file and has a matching line, is a licence file.
-
-Only few lines can match.  A template's key words are its heaviest ones,
-taken until what remains is shorter than MATCH of its length: a unit
-without any of them stays below MATCH whatever else it shares.  Files and
-lines without a key word are left out on that ground, before any join.
+Units are the lines of a file, runs of neighbouring lines (notices that are
+wrapped), and a file as a whole (a licence file).  A unit and a template are
+vectors of words weighted by count times inverse document frequency over the
+templates; a word that no template has gets the highest weight.  A unit
+matches when the cosine is at least MATCH.
+
+Only few lines can match.  Of each template's words, those most common in
+the corpus may be disregarded as long as they make up less than MATCH of its
+length: a unit that shares no other word with it stays below MATCH.  The
+other words are its key words.  Lines without any key word are left out on
+that ground, and runs are of lines with one.  A file is taken as a whole
+when a line or run of it matches or it bears the name of a licence file.  It
+is a licence file when it matches as a whole, or has the name and a match.
 
 A file without a match of its own takes the licence of the nearest
 directory at or above its own that holds a licence file.  Directories are
@@ -79,8 +81,8 @@ def terms(text: Column) -> Column:
 
 
 def template_weights(given: DataFrame) -> DataFrame:
-    """(template, licence, term, weight, length, rest, n): one row per template and
-    term; rest: length of the terms lighter than this one; n: templates in all."""
+    """(template, licence, term, idf, weight, n, length): one row per template and
+    term; n: templates in all."""
     numbered = given.select(F.col("licence").cast("string").alias("licence"), "text").distinct() \
         .select(F.xxhash64("licence", "text").alias("template"), "licence",
                 F.explode(terms(F.col("text"))).alias("term"))
@@ -90,34 +92,47 @@ def template_weights(given: DataFrame) -> DataFrame:
     idf = F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1
     weighted = counts.join(df, "term").crossJoin(F.broadcast(n)).withColumn(  # n: one row
         "idf", idf).withColumn("weight", F.col("tf") * F.col("idf"))
-    whole = Window.partitionBy("template")
-    lighter = whole.orderBy(F.col("weight").asc(), F.col("term").asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
     square = F.col("weight") * F.col("weight")
-    return weighted.select(
-        "template", "licence", "term", "idf", "weight", "n",
-        F.sqrt(F.sum(square).over(whole)).alias("length"),
-        F.sqrt(F.sum(square).over(lighter)).alias("up_to"))
+    return weighted.select("template", "licence", "term", "idf", "weight", "n", F.sqrt(
+        F.sum(square).over(Window.partitionBy("template"))).alias("length"))
+
+
+def key_terms(weights: DataFrame, texts: DataFrame) -> DataFrame:
+    """The key words of all templates (see the module docstring), from the number
+    of texts that hold each word."""
+    known = weights.select("term").distinct()
+    if known.count() <= MAX_BROADCAST:
+        known = F.broadcast(known)
+    common = texts.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).join(
+        known, "term").groupBy("term").agg(F.count(F.lit(1)).alias("texts"))
+    square = F.col("weight") * F.col("weight")
+    commonest = Window.partitionBy("template").orderBy(F.col("texts").desc(), "term").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = weights.join(common, "term", "left").fillna(0, ["texts"]).withColumn(
+        "up_to", F.sqrt(F.sum(square).over(commonest)))
+    return ranked.where(F.col("up_to") >= MATCH * F.col("length")).select("term").distinct()
+
+
+UNIT = ["file", "line", "kind"]
 
 
 def matches(units: DataFrame, weights: DataFrame, unknown: float) -> DataFrame:
-    """Best (licence, cosine) per unit of rows (file, line, terms)."""
+    """Best (licence, cosine) per unit of rows (file, line, kind, terms)."""
     probe = F.broadcast(weights) if weights.count() <= MAX_BROADCAST else weights
     idf = weights.select("term", "idf").distinct()
     idf = F.broadcast(idf) if idf.count() <= MAX_BROADCAST else idf
-    counted = units.select("file", "line", F.explode("terms").alias("term")).groupBy(
-        "file", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
-    weighted = counted.join(idf, "term", "left").withColumn(
-        "w", F.col("tf") * F.coalesce("idf", F.lit(unknown))).drop("idf")
-    length = weighted.groupBy("file", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    dots = weighted.join(probe, "term").groupBy("file", "line", "template", "licence", "length") \
-        .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    weighted = units.select(*UNIT, F.explode("terms").alias("term")).groupBy(*UNIT, "term").agg(
+        F.count(F.lit(1)).alias("tf")).join(idf, "term", "left").withColumn(
+            "w", F.col("tf") * F.coalesce("idf", F.lit(unknown))).drop("idf")
+    length = weighted.groupBy(*UNIT).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
+    dots = weighted.join(probe, "term").groupBy(*UNIT, "template", "licence", "length").agg(
+        F.sum(F.col("w") * F.col("weight")).alias("dot"))
     cosine = F.round(F.col("dot") / (F.col("len") * F.col("length")), 9)
-    return (dots.join(length, ["file", "line"]).withColumn("cosine", cosine)
+    return (dots.join(length, UNIT).withColumn("cosine", cosine)
             .where(F.col("cosine") >= MATCH)
-            .groupBy("file", "line").agg(F.max_by(
+            .groupBy(*UNIT).agg(F.max_by(
                 F.struct("licence", "cosine"), F.struct("cosine", _reversed("licence"))).alias("m"))
-            .select("file", "line", "m.licence", "m.cosine"))
+            .select(*UNIT, "m.licence", "m.cosine"))
 
 
 def _reversed(column: str) -> Column:
@@ -135,41 +150,51 @@ def scan_licences(files: DataFrame, path: str = "path", text: str = "text",
     """`row` (the input row as a struct), licence, cosine, basis (`file`, `line`,
     `inherited` or null) and source (path of the file it comes from)."""
     spark = files.sparkSession
+    name = F.lower(F.regexp_extract("path", r"([^/.]*)[^/]*$", 1))
     weights = materialise(template_weights(templates(spark) if given is None else given),
                           "templates")
-    # Key terms: all but the lightest, as long as those alone are shorter than MATCH.
-    key = {r.term for r in weights.where(F.col("up_to") >= MATCH * F.col("length"))
-           .select("term").distinct().limit(MAX_BROADCAST + 1).collect()}
     n = weights.agg(F.max("n")).first()[0] or 0
     unknown = float(spark.range(1).select(F.log(F.lit(1.0 + n)) + 1).first()[0])
-
     rows = files.select(packed(files).alias("row"), F.col(f"`{path}`").alias("path"),
                         F.col(f"`{text}`").alias("text"))
     ident = F.xxhash64("path", "text")
+    texts = rows.select(ident.alias("file"), "path", "text")
+    key = sorted(r.term for r in key_terms(weights, texts.where("text IS NOT NULL"))
+                 .limit(MAX_BROADCAST + 1).collect())
+    named = F.coalesce(name.isin(*LICENCE_FILES), F.lit(False)) & F.col("text").isNotNull()
     if len(key) > MAX_BROADCAST:
-        may = F.lit(True)  # too many templates to tell beforehand
+        holding = may = F.col("text").isNotNull()  # too many templates to tell beforehand
     elif key:
-        # the cheap test of a text: one search for any key term as a part of it
-        may = F.col("text").rlike("(?iu)" + "|".join(re.escape(k) for k in sorted(key)))
+        # the cheap test of a text: one search for any key word
+        may = F.col("text").rlike(r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, key))
+                                  + r")(?![\p{L}\p{N}])")
+        holding = F.arrays_overlap("terms", F.array(*map(F.lit, key)))
     else:
-        may = F.lit(False)
-    words = F.array(*[F.lit(k) for k in sorted(key)]) if key and len(key) <= MAX_BROADCAST else None
-
-    def holding(units: DataFrame) -> DataFrame:
-        return units if words is None else units.where(F.arrays_overlap("terms", words))
+        may = holding = F.lit(False)
+
+    some = materialise(texts.where(may | named).dropDuplicates(["file"]), "candidates")
+    lines = materialise(
+        some.select("file", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+        .select("file", "line", terms(F.col("text")).alias("terms"), "text").where(holding)
+        .select("file", "line", "terms"), "lines")
+    # neighbouring lines have the same difference of line number and rank
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("line"))
+    runs = lines.withColumn("run", F.col("line") - rank).groupBy("file", "run").agg(
+        F.min("line").alias("line"), F.count(F.lit(1)).alias("n"),
+        F.flatten(F.array_sort(F.collect_list(F.struct("line", "terms")))["terms"]).alias("terms"))
+    parts = lines.select("file", "line", F.lit(0).alias("kind"), "terms").unionByName(
+        runs.where("n > 1").select("file", "line", F.lit(1).alias("kind"), "terms"))
+    in_parts = materialise(matches(parts, weights, unknown), "part-matches")
+    wholes = some.join(in_parts.select("file").distinct(), "file", "left_semi").unionByName(
+        some.where(named)).dropDuplicates(["file"])
+    found = in_parts.unionByName(matches(wholes.select(
+        "file", F.lit(0).alias("line"), F.lit(2).alias("kind"),
+        terms(F.col("text")).alias("terms")), weights, unknown))
 
-    some = materialise(rows.where(may).select(ident.alias("file"), "path", "text")
-                       .dropDuplicates(["file"]), "candidates")
-    lines = some.select("file", F.posexplode(F.split("text", "\n")).alias("line", "t")).select(
-        "file", "line", terms(F.col("t")).alias("terms"))
-    whole = some.select("file", F.lit(-1).alias("line"), terms(F.col("text")).alias("terms"))
-    found = materialise(matches(holding(lines.unionByName(whole)), weights, unknown), "matches")
-
-    name = F.lower(F.regexp_extract("path", r"([^/.]*)[^/]*$", 1))
     own = (found.groupBy("file").agg(
         F.max_by(F.struct("licence", "cosine"),
                  F.struct("cosine", _reversed("licence"), -F.col("line"))).alias("best"),
-        F.max(F.col("line") < 0).alias("whole"))
+        F.max(F.col("kind") == 2).alias("whole"))
         .join(some.select("file", "path"), "file")
         .select("file", "path", "best.licence", "best.cosine",
                 (F.col("whole") | F.coalesce(name.isin(*LICENCE_FILES), F.lit(False)))
