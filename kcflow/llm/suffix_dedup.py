@@ -12,10 +12,10 @@ anchor form a segment, and:
 1. Documents with equal text are represented by the smallest id; the others
    go as a whole (an aggregate per text hash).
 2. A window has at least REACH bytes to the left or to the right of its
-   anchor.  Two Bloom filters find the anchors that may occur in two
-   documents with these bytes on one side.
-3. Segments of such anchors (the windows on that side), each text once per
-   batch with its smallest id, are shuffled by anchor.  Anchors with very many segments are split by
+   anchor.  Two Bloom filters find the sides (an anchor with these bytes)
+   that may occur in two documents; an aggregate per side confirms them.
+3. Segments of confirmed sides (the windows on that side), each text once
+   per batch with its smallest id, are shuffled by anchor.  Anchors with very many segments are split by
    window content, so no anchor is too large for a task.
 4. Each task sorts the suffixes of its segments in two stages and reads
    equal windows off the adjacent common prefixes; the smallest id of a run
@@ -56,6 +56,8 @@ BITS_PER_SIDE = 4
 HASH_BYTES = 1 << 17
 #: Bytes of segments sorted at once.
 SORT_BYTES = 2 << 20
+#: Different segments that a worker gathers before it hands them on.
+MOST_SEGMENTS = 50_000
 #: Anchors with more occurrences are split by window content.
 SPLIT_ABOVE = 200_000
 
@@ -122,10 +124,17 @@ class Anchors:
     def sides(self) -> np.ndarray:
         return np.concatenate((self.left[self.on_left], self.right[self.on_right]))
 
-    def suspects(self, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Indexes of suspected segments, and their first and last window."""
-        left = self.on_left & contains(twice, self.left, 1)
-        right = self.on_right & contains(twice, self.right, 1)
+    def suspected_sides(self, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Side hashes that may be repeated, and the index of each one's anchor."""
+        left = np.flatnonzero(self.on_left & contains(twice, self.left, 1))
+        right = np.flatnonzero(self.on_right & contains(twice, self.right, 1))
+        return (np.concatenate((self.left[left], self.right[right])),
+                np.concatenate((left, right)))
+
+    def repeated(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Indexes of segments with a side in the filter, and their first and last window."""
+        left = self.on_left & contains(sides, self.left)
+        right = self.on_right & contains(sides, self.right)
         middle = self.at - REACH
         first = np.where(left, self.first, np.maximum(self.first, middle))
         last = np.where(right, self.last, np.minimum(self.last, middle))
@@ -171,14 +180,14 @@ def _texts(column: pa.Array, use: np.ndarray) -> list[bytes]:
             for v, ok in zip(column, use, strict=True)]
 
 
-def _segments(batch: pa.RecordBatch, chosen: np.ndarray, suspects: np.ndarray,
+def _segments(batch: pa.RecordBatch, chosen: np.ndarray, sides: np.ndarray,
               split: np.ndarray | None):
-    """Suspected segments of a batch (d, text): row, key, segment, offset, windows."""
+    """Segments with a repeated side of a batch (d, text): row, key, segment, offset, windows."""
     ids = batch.column(0).to_numpy(zero_copy_only=False)
     texts = _texts(batch.column(1), contains(chosen, mix(ids)))
     for row, body, starts, ends, offset in _pieces(texts):
         found = Anchors(np.frombuffer(body, np.uint8), starts, ends)
-        hit, first, last = found.suspects(suspects)
+        hit, first, last = found.repeated(sides)
         doc, key = found.doc[hit], found.key[hit]
         fine = contains(split, key) if split is not None else np.zeros(key.size, bool)
         shift = offset[doc] - starts[doc]
@@ -280,6 +289,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(alone)
 
 
+def _handed_on(least: dict[tuple[int, bytes], int],
+               more: set[tuple[int, bytes]]) -> pa.RecordBatch:
+    """Segments with their smallest id; a second row, with another id, tells that
+    a second document has the segment."""
+    keys = [*least, *more]
+    ids = [*least.values(), *(least[at] + 1 for at in more)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([_signed(k) for k, _ in keys], pa.int64()),
+         pa.array([s for _, s in keys], pa.binary()), pa.array(ids, pa.int64())],
+        names=["key", "segment", "d"])
+
+
 def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`row` (the input row as a struct), kept (bytes), n_bytes, n_removed, n_spans."""
     spark = docs.sparkSession
@@ -311,25 +332,50 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     bits = filter_bits(4 * size // SPREAD, BITS_PER_SIDE)
     suspects = sc.broadcast(twice_filter(sides, plain, bits, probes=1))
 
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def suspected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.concatenate([np.zeros(0, np.uint64), *(
-                a.key[a.suspects(suspects.value)[0]] for a in found_in(batch))])
-            found, n = np.unique(found, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)],
-                                             names=["key", "n"])
-
-    large = (plain.mapInArrow(frequent, "key long, n long").groupBy("key")
-             .agg(F.sum("n").alias("n")).where(F.col("n") > SPLIT_ABOVE).select("key"))
+            own = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = _texts(batch.column(1), contains(chosen.value, mix(own)))
+            side, key, d = [], [], []
+            for row, body, starts, ends, _ in _pieces(texts):
+                found = Anchors(np.frombuffer(body, np.uint8), starts, ends)
+                hashes, at = found.suspected_sides(suspects.value)
+                side.append(hashes)
+                key.append(found.key[at])
+                d.append(own[row[found.doc[at]]])
+            if not side:
+                continue
+            side, key, d = (np.concatenate(x) for x in (side, key, d))
+            by = np.argsort(side, kind="stable")
+            side, key, d = side[by], key[by], d[by]
+            first = np.flatnonzero(np.concatenate(
+                (np.ones(min(1, side.size), bool), side[1:] != side[:-1])))
+            if first.size:  # one row per side and batch
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(side[first].view(np.int64)), pa.array(key[first].view(np.int64)),
+                     pa.array(np.minimum.reduceat(d, first)),
+                     pa.array(np.maximum.reduceat(d, first)),
+                     pa.array(np.diff(np.append(first, side.size)))],
+                    names=["side", "key", "lo", "hi", "n"])
+
+    confirmed = materialise(
+        plain.mapInArrow(suspected, "side long, key long, lo long, hi long, n long")
+        .groupBy("side", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                    F.sum("n").alias("n"))
+        .where("lo < hi").select("side", "key", "n"), "sides")
+    repeated = sc.broadcast(once_filter(confirmed.select("side"), lambda b: b.column(0).to_numpy(
+        zero_copy_only=False).view(np.uint64), filter_bits(confirmed.count())))
+    large = confirmed.groupBy("key").agg(F.sum("n").alias("n")).where(
+        F.col("n") > SPLIT_ABOVE).select("key")
     split = sc.broadcast(once_filter(large, lambda b: b.column(0).to_numpy(
         zero_copy_only=False).view(np.uint64), filter_bits(0)))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            own = batch.column(0).to_pylist()
             least: dict[tuple[int, bytes], int] = {}
             more: set[tuple[int, bytes]] = set()
-            own = batch.column(0).to_pylist()
-            for i, key, segment, _, _ in _segments(batch, chosen.value, suspects.value,
+            for i, key, segment, _, _ in _segments(batch, chosen.value, repeated.value,
                                                    split.value):
                 d, at = own[i], (key, segment)
                 known = least.get(at)
@@ -338,14 +384,11 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 elif d != known:
                     more.add(at)
                     least[at] = min(d, known)
-            # a second row tells that another document of this batch has the segment
-            out = [(_signed(k), s, d) for (k, s), d in least.items()]
-            out += [(_signed(k), s, d + 1) for (k, s) in more for d in [least[k, s]]]
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (
-                        pa.int64(), pa.binary(), pa.int64()), strict=True)],
-                    names=["key", "segment", "d"])
+                if len(least) >= MOST_SEGMENTS:
+                    yield _handed_on(least, more)
+                    least, more = {}, set()
+            if least:
+                yield _handed_on(least, more)
 
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     compared = materialise(
@@ -359,7 +402,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             own, versions = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             out = [(_signed(k), _signed(xxhash.xxh3_64_intdigest(s)), own[i], versions[i], at,
                     (1 << n) - 1)
-                   for i, k, s, at, n in _segments(batch, chosen.value, suspects.value,
+                   for i, k, s, at, n in _segments(batch, chosen.value, repeated.value,
                                                    split.value)]
             if out:
                 yield pa.RecordBatch.from_arrays(
