@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -91,20 +92,36 @@ def file_versions(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
                   for f in fs.listStatus(p))
 
 
-def release_scratch(spark: SparkSession) -> None:
+def release_scratch(spark: SparkSession, group: str = "") -> None:
     """Remove every table that the library has written to the shared folder in
-    this application.  To be called when results that read them have been
-    consumed; prepared inputs are built again when needed."""
+    this application (under the ``scratch_group`` of that name, if one is
+    given).  To be called when results that read them have been consumed;
+    prepared inputs are built again when needed."""
     fs, base = _file_system(spark, ensure_checkpoint_dir(spark))
     for f in fs.listStatus(base):
-        if f.getPath().getName().startswith("kcflow-"):
+        if f.getPath().getName().startswith(f"kcflow-{group}"):
             fs.delete(f.getPath(), True)
 
 
+SCRATCH_GROUP = "kcflow.scratch.group"
+
+
+@contextmanager
+def scratch_group(spark: SparkSession, group: str):
+    """Tables written inside carry ``group`` in their name, so that they can be
+    released together."""
+    before = spark.conf.get(SCRATCH_GROUP, "")
+    spark.conf.set(SCRATCH_GROUP, group)
+    try:
+        yield
+    finally:
+        spark.conf.set(SCRATCH_GROUP, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/kcflow-{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/kcflow-{spark.conf.get(SCRATCH_GROUP, '')}{name}-{uuid.uuid4().hex[:12]}"
 
 
 def default_partitions(spark: SparkSession) -> int:
