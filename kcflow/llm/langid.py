@@ -46,9 +46,11 @@ REJECT_FACTOR = 1.5
 REJECT_LEAST = 6.0
 #: Characters after which the score takes the evidence as complete.
 SCORE_CHARS = 32
-#: Words whose scores a worker keeps, and bytes of text it takes at once.
-CACHE_WORDS = 300_000
-TAKE_CHARS = 4_000_000
+#: Words whose scores a worker keeps, and characters of text it takes at once.
+CACHE_WORDS = 200_000
+TAKE_CHARS = 1_000_000
+#: Words scored at once.
+SCORE_WORDS = 20_000
 
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -194,7 +196,8 @@ class Model:
         if new:
             for w in new:
                 self.known[w] = len(self.known)
-            self.scores = np.concatenate((self.scores, self.score(new)))
+            self.scores = np.concatenate((self.scores, *(
+                self.score(new[i:i + SCORE_WORDS]) for i in range(0, len(new), SCORE_WORDS))))
         return self.scores[[self.known[w] for w in different]]
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
