@@ -88,8 +88,10 @@ def test_odd_rows(odd):
 
 
 def test_empty(none):
-    docs = none
     for _, stage in corpus_pipeline.STAGES:
-        docs = stage(none.sparkSession, docs, SF_SMALL)
-        assert docs.collect() == []
-        docs = none
+        assert stage(none.sparkSession, none, SF_SMALL).collect() == []
+
+
+def test_run(worker_path):
+    rows = corpus_pipeline.run(worker_path, SF_SMALL)
+    assert rows.count() > 0 and {"doc_id", "sequence_id", "offset", "ids"} <= set(rows.columns)
