@@ -128,7 +128,9 @@ def _filter(source: DataFrame, batches_to_hashes, bits: int, wanted: str,
               .mapInArrow(merge, "seg int, bits binary"))
     bitmap = np.zeros(bits // 8, np.uint8)
     size = bits // 8 // SEGMENTS
-    for row in merged.collect():  # SEGMENTS rows, MAX_BITS / 8 bytes at most
+    rows = merged.collect()  # SEGMENTS rows, MAX_BITS / 8 bytes at most
+    while rows:
+        row = rows.pop()
         bitmap[row.seg * size:(row.seg + 1) * size] = np.frombuffer(row.bits, np.uint8)
     return bitmap
 

@@ -26,7 +26,6 @@ def components(edges: DataFrame) -> DataFrame:
             "u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(
             F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        large = materialise(large, "large-star")
         smallest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(smallest, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = materialise(_ordered(small.union(smallest.select("hi", F.col("m").alias("lo")))),

@@ -7,14 +7,17 @@ reachable over links.  No link between different texts is missed:
 1. Documents with equal sets form one class, represented by the smallest id.
 2. A set's shingles are ordered, frequent ones last (by a sketch of counts
    over all documents), and the first n - ceil(0.75 n) + 1 are its tokens:
-   similar sets share at least one.  Sets are dealt out by token.
-3. In a token's group, ordered by size, neighbours are compared first.
-   What they link forms preliminary components; a large group of near
-   copies collapses here at a cost proportional to its size.
-4. The groups that still hold sets of several components are cut into
-   tiles: sets of one size band with those of the same and the next band
-   (sizes beyond 0.75 cannot link), a band of more than TILE_ROWS sets
-   into blocks by hash.  Tiles give the pairs of different components.
+   similar sets share at least one.  Sets are dealt out by token, with the
+   token's place in the order.
+3. In a token's group, all sets are first compared with the one of the
+   smallest id.  What that links forms preliminary components; a large group
+   of near copies collapses here at a cost proportional to its size.
+4. Groups are compared in tiles.  A tile is a group, or, for a group of more
+   than TILE_ROWS sets, a part of it: sets of one size band with those of
+   the same and the next band (sizes beyond 0.75 cannot link), a large band
+   in blocks by hash.  A tile gives the pairs of different components whose
+   sizes fit and whose sets are long enough after the token: at the first
+   token that two sets share, all they share is still to come.
 5. Pairs are bounded by signatures before sets are touched: a set's hashes
    are thrown onto a bitmap of at least twice its size, and each bit that
    only one bitmap has stands for a shingle the other set lacks.  What can
@@ -29,6 +32,7 @@ is that of its own set); an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,10 +48,12 @@ from kcflow.llm.shingle_sets import by_part
 from kcflow.llm.suffix_dedup import mix
 
 PERCENT = 75
-#: Counters of the sketch that orders shingles by frequency (8 MiB).
-COUNTERS = 1 << 21
-SEGMENTS = 32
-#: Sets of one band and token compared in one block.
+#: Counters of the sketch that orders shingles by frequency: one for so many bytes of
+#: text, within bounds (a byte each when broadcast).
+BYTES_PER_COUNTER = 64
+MIN_COUNTERS, MAX_COUNTERS = 1 << 16, 1 << 24
+SEGMENTS = 64
+#: Sets of a token compared in one task as one tile.
 TILE_ROWS = 20_000
 
 
@@ -55,10 +61,19 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def set_table(texts: DataFrame) -> DataFrame:
-    """(d, n, hi, lo) of rows (d, text): set size and a 128-bit hash of the set."""
+SET_SCHEMA = "d long, n long, hi long, lo long, v long, seg int, counts binary"
+
+
+def set_table(texts: DataFrame, counters: int) -> DataFrame:
+    """Of rows (d, text, v): set size and a 128-bit hash of the set.
+
+    The same pass counts how many sets' shingles fall on each of the
+    counters; those rows have a segment number instead of a document (counts
+    of one task stop at 255, which orders shingles as well).
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(counters, np.uint8)
         for batch in batches:
             n, hi, lo = [], [], []
             for _, found in by_part(batch.column(1)):
@@ -67,30 +82,30 @@ def set_table(texts: DataFrame) -> DataFrame:
                     n.append(s.size)
                     hi.append(_signed(digest >> 64))
                     lo.append(_signed(digest & (1 << 64) - 1))
+                at, times = np.unique(np.concatenate(found) & np.uint64(counters - 1),
+                                      return_counts=True)
+                at = at.astype(np.int64)
+                total[at] = np.minimum(total[at] + times, 255)
+            none = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()),
-                 pa.array(lo, pa.int64()), batch.column(2)], names=["d", "n", "hi", "lo", "v"])
-
-    return texts.mapInArrow(sets, "d long, n long, hi long, lo long, v long")
+                 pa.array(lo, pa.int64()), batch.column(2), *none], names=names)
+        size = counters // SEGMENTS
+        for k in range(SEGMENTS):
+            part = total[k * size:(k + 1) * size]
+            if part.any():
+                none = [pa.nulls(1, pa.int64())] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [*none, pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                    names=names)
 
+    names = [c.split()[0] for c in SET_SCHEMA.split(", ")]
+    return texts.mapInArrow(sets, SET_SCHEMA)
 
-def count_sketch(texts: DataFrame, chosen) -> np.ndarray:
-    """How many sets have a shingle that falls on each counter."""
-    size = COUNTERS // SEGMENTS
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.uint32)
-        for batch in batches:
-            use = contains(chosen.value, mix(batch.column(0).to_numpy(zero_copy_only=False)))
-            for _, found in by_part(batch.column(1), use):
-                h = np.concatenate(found) & np.uint64(COUNTERS - 1)
-                total += np.bincount(h.astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-        for s in range(SEGMENTS):
-            part = total[s * size:(s + 1) * size]
-            if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), pa.array([part.tobytes()], pa.binary())],
-                    names=["seg", "counts"])
+def summed_counts(parts: DataFrame, counters: int) -> np.ndarray:
+    """All tasks' counters added up, from rows (seg, counts)."""
+    size = counters // SEGMENTS
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, None
@@ -98,41 +113,45 @@ def count_sketch(texts: DataFrame, chosen) -> np.ndarray:
             for seg, counts in zip(*batch.columns, strict=True):
                 if seg.as_py() != now:
                     if now is not None:
-                        yield _segment(now, total)
+                        yield segment(now, total)
                     now, total = seg.as_py(), np.zeros(size, np.uint64)
-                total += np.frombuffer(counts.as_buffer(), np.uint32)
+                total += np.frombuffer(counts.as_buffer(), np.uint8)
         if now is not None:
-            yield _segment(now, total)
+            yield segment(now, total)
 
-    def _segment(seg, total):
-        counts = np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()
+    def segment(seg, total):
+        counts = np.minimum(total, 65535).astype(np.uint16).tobytes()
         return pa.RecordBatch.from_arrays(
             [pa.array([seg], pa.int32()), pa.array([counts], pa.binary())],
             names=["seg", "counts"])
 
-    out = np.zeros(COUNTERS, np.uint32)
-    for row in (texts.mapInArrow(count, "seg int, counts binary").repartition(SEGMENTS, "seg")
-                .sortWithinPartitions("seg").mapInArrow(merge, "seg int, counts binary")
-                .collect()):  # SEGMENTS rows of 4 * COUNTERS bytes together
-        out[row.seg * size:(row.seg + 1) * size] = np.frombuffer(row.counts, np.uint32)
+    out = np.zeros(counters, np.uint16)
+    rows = parts.repartition(SEGMENTS, "seg").sortWithinPartitions("seg").mapInArrow(
+        merge, "seg int, counts binary").collect()  # SEGMENTS rows, 2 * MAX_COUNTERS bytes at most
+    while rows:
+        row = rows.pop()
+        out[row.seg * size:(row.seg + 1) * size] = np.frombuffer(row.counts, np.uint16)
     return out
 
 
 def frequency_classes(counts: np.ndarray) -> np.ndarray:
     """Per counter 0 for usual counts, more for each doubling above twice the median."""
-    usual = max(1.0, float(np.median(counts[counts > 0]))) if counts.any() else 1.0
-    return np.clip(np.ceil(np.log2(np.maximum(counts, 1) / (2 * usual))), 0, 31).astype(np.uint8)
+    sizes = np.bincount(counts, minlength=65536)
+    sizes[0] = 0
+    usual = max(1, int(np.searchsorted(np.cumsum(sizes), sizes.sum() / 2)))
+    of_count = np.ceil(np.log2(np.maximum(np.arange(65536), 1) / (2 * usual)))
+    return np.clip(of_count, 0, 31).astype(np.uint8)[counts]
 
 
 def tokens(s: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
     """The first shingles of a set in the order that puts frequent ones last."""
     least = -(-percent * s.size // 100)  # shared with any similar set
-    order = np.lexsort((s, classes[s & np.uint64(COUNTERS - 1)]))
+    order = np.lexsort((s, classes[s & np.uint64(classes.size - 1)]))
     return s[order[:s.size - least + 1]]
 
 
 def token_rows(texts: DataFrame, chosen, classes, percent: int) -> DataFrame:
-    """(token, n, d) of all sets."""
+    """(token, n, d, pos) of all sets; pos: the token's place in its set."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,44 +166,45 @@ def token_rows(texts: DataFrame, chosen, classes, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(own).view(np.int64)),
                      pa.array(np.repeat([s.size for _, s in some], k).astype(np.int64)),
-                     pa.array(np.repeat(ids[[i for i, _ in some]], k))], names=["token", "n", "d"])
+                     pa.array(np.repeat(ids[[i for i, _ in some]], k)),
+                     pa.array(np.concatenate([np.arange(t.size) for t in own]), pa.int32())],
+                    names=["token", "n", "d", "pos"])
+
+    return texts.mapInArrow(emit, "token long, n long, d long, pos int")
+
 
-    return texts.mapInArrow(emit, "token long, n long, d long")
+STAR_SCHEMA = "token long, d long, n long, pos int, first long, n_first long, pos_first int"
 
 
-def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, n, d) in order, without those alone with their token; `before` is
-    the previous row's document in the same group, and `n_before` its size."""
-    held = None  # the last row of the batch before: its group is not known yet
+def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (token, d, n, pos) in order, without those alone with their token; `first`,
+    `n_first` and `pos_first` are of the first row of the group (null on itself)."""
+    head, held = None, None  # the group's first row, as long as no second has come; its values
     for batch in batches:
-        token, n, d = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not token.size:
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not rows[0].size:
             continue
-        if held is not None:
-            token, n, d = (np.concatenate((h, x)) for h, x in zip(held[:3], (token, n, d),
-                                                                strict=True))
-        joined = token[1:] == token[:-1]
-        # the first row may continue a group whose end was handed out already
-        follows = np.concatenate(([held is not None and held[3] is not None], joined))
-        followed = np.concatenate((joined, [False]))
-        before, n_before = np.roll(d, 1), np.roll(n, 1)
-        if held is not None and held[3] is not None:
-            before[0], n_before[0] = held[3]
-        keep = follows | followed
-        keep[-1] = False  # held back until the next batch tells
-        tie = (int(before[-1]), int(n_before[-1])) if follows[-1] else None
+        if head is not None:  # decide on it together with this batch
+            rows = [np.concatenate((h, x)) for h, x in zip(head, rows, strict=True)]
+        token = rows[0]
+        fresh = np.concatenate(([True], token[1:] != token[:-1]))
+        start = np.maximum.accumulate(np.where(fresh, np.arange(token.size), 0))
+        first = [x[start] for x in rows[1:]]
+        own = fresh.copy()
+        if head is None and held is not None and held[0] == token[0]:
+            begun = start == 0  # these go on with the group of the batch before
+            for x, value in zip(first, held[1:], strict=True):
+                x[begun] = value
+            own[0] = False
+        # a first row is kept if a second follows
+        keep = ~own | np.concatenate((token[1:] == token[:-1], [False]))
+        held = token[-1], *(x[-1] for x in first)
+        head = [x[-1:] for x in rows] if own[-1] else None
         if keep.any():
-            yield _rows(token[keep], n[keep], d[keep], before[keep], n_before[keep],
-                        follows[keep])
-        held = (token[-1:], n[-1:], d[-1:], tie)
-    if held is not None and held[3] is not None:
-        yield _rows(*held[:3], np.array([held[3][0]]), np.array([held[3][1]]), np.array([True]))
-
-
-def _rows(token, n, d, before, n_before, follows) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(token), pa.array(n), pa.array(d), pa.array(before, mask=~follows),
-         pa.array(n_before, mask=~follows)], names=["token", "n", "d", "before", "n_before"])
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(x[keep]) for x in rows],
+                 *[pa.array(x[keep], mask=own[keep]) for x in first]],
+                names=[c.split()[0] for c in STAR_SCHEMA.split(", ")])
 
 
 def signature(s: np.ndarray) -> bytes:
@@ -260,71 +280,101 @@ def linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components, of fitting size, per tile.
+    """Pairs of different components that may link, per tile.
 
-    Rows are (token, band, i, j, own, block, n, d, label) ordered by tile; `own`
+    Rows are (token, band, i, j, own, block, n, d, pos, label) ordered by tile; `own`
     tells sets of the tile's band from those of the next one.
     """
 
-    def compare(rows):
-        if len(rows) <= 16:
-            i, j = rows_tile[2], rows_tile[3]
-            a, b = [], []
-            for own, block, n, d, label in rows:
-                if not own or block != i:
-                    continue
-                for own_2, block_2, n_2, d_2, label_2 in rows:
-                    if (label_2 != label and block_2 == j and (not own_2 or i != j or d_2 > d)
-                            and 100 * min(n, n_2) >= percent * max(n, n_2)):
-                        a.append(d)
-                        b.append(d_2)
-            if a:
-                yield np.array(a), np.array(b)
-            return
-        own, block, n, d, label = (np.array(c) for c in zip(*rows, strict=True))
-        i, j = rows_tile[2], rows_tile[3]
-        left = own.astype(bool) & (block == i)
-        for k in np.flatnonzero(left):
-            # base band with base band once, and base band with the next band
+    def compare_few(rows, i, j):
+        a, b = [], []
+        for own, block, n, d, pos, label in rows:
+            if not own or block != i:
+                continue
+            for own_2, block_2, n_2, d_2, pos_2, label_2 in rows:
+                if (label_2 != label and block_2 == j and (not own_2 or i != j or d_2 > d)
+                        and 100 * min(n, n_2) >= percent * max(n, n_2)
+                        and (100 + percent) * min(n - pos, n_2 - pos_2) >= percent * (n + n_2)):
+                    a.append(d)
+                    b.append(d_2)
+        if a:
+            yield np.array(a), np.array(b)
+
+    def compare(rows, i, j):
+        own, block, n, d, pos, label = (np.array(c) for c in zip(*rows, strict=True))
+        own = own.astype(bool)
+        for k in np.flatnonzero(own & (block == i)):
+            # its own band once, and the next band
             ok = (label != label[k]) & (block == j) & (
-                ~own.astype(bool) | ((d > d[k]) if i == j else np.ones(d.size, bool)))
+                ~own | ((d > d[k]) if i == j else np.ones(d.size, bool)))
             lo, hi = np.minimum(n, n[k]), np.maximum(n, n[k])
-            ok &= 100 * lo >= percent * hi
+            rest = np.minimum(n - pos, n[k] - pos[k])
+            ok &= (100 * lo >= percent * hi) & ((100 + percent) * rest >= percent * (n + n[k]))
             if ok.any():
                 yield np.full(int(ok.sum()), d[k]), d[ok]
 
-    rows, rows_tile = [], None
-    pending_a, pending_b, size = [], [], 0
+    pending, size = [], 0
 
     def flush():
-        a, b = np.concatenate(pending_a), np.concatenate(pending_b)
+        a, b = (np.concatenate(x) for x in zip(*pending, strict=True))
         pairs = np.unique(np.stack((np.maximum(a, b), np.minimum(a, b)), axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
                                           names=["a", "b"])
 
-    def run():
-        nonlocal size
-        for a, b in compare(rows):
-            pending_a.append(a)
-            pending_b.append(b)
+    for (_, _, i, j), rows in _tiles(batches):
+        if len({row[5] for row in rows}) < 2:
+            continue  # one component
+        for a, b in (compare_few if len(rows) <= 16 else compare)(rows, i, j):
+            pending.append((a, b))
             size += a.size
             if size >= 200_000:
                 yield flush()
-                pending_a.clear()
-                pending_b.clear()
-                size = 0
+                pending, size = [], 0
+    if pending:
+        yield flush()
+
 
+def _tiles(batches: Iterator[pa.RecordBatch]):
+    tile, rows = None, []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[:4] != rows_tile:
+            if row[:4] != tile:
                 if len(rows) > 1:
-                    yield from run()
-                rows, rows_tile = [], row[:4]
+                    yield tile, rows
+                tile, rows = row[:4], []
             rows.append(row[4:])
     if len(rows) > 1:
-        yield from run()
-    if pending_a:
-        yield flush()
+        yield tile, rows
+
+
+TILE_COLUMNS = ["token", "band", "i", "j", "own", "block", "n", "d", "pos", "label"]
+
+
+def tiles(labelled: DataFrame, percent: int) -> DataFrame:
+    """Rows (token, n, d, pos, label) dealt to tiles (see the module docstring)."""
+    large = materialise(labelled.groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
+                        .where(F.col("rows") > TILE_ROWS).select("token"), "large-groups")
+    zero = F.lit(0).cast("long")
+    whole = labelled.join(large, "token", "left_anti").withColumns({
+        "band": F.lit(-1).cast("long"), "i": zero, "j": zero, "own": F.lit(1), "block": zero})
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent)) + 1e-9)
+    banded = labelled.join(large, "token").withColumn("band", band)
+    width = banded.groupBy("token", "band").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).alias("blocks"))
+    above = width.select("token", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    # as many blocks as the larger of a tile's two bands needs
+    blocks = width.join(above, ["token", "band"], "left").select(
+        "token", "band", F.greatest("blocks", F.coalesce("above", F.lit(1))).alias("blocks"))
+    dealt = banded.withColumn("own", F.lit(1)).unionByName(
+        banded.withColumn("band", F.col("band") - 1).withColumn("own", F.lit(0))) \
+        .join(blocks, ["token", "band"]).withColumn(
+            "block", F.pmod(F.xxhash64("d"), F.col("blocks")))
+    every = F.sequence(zero, F.col("blocks") - 1)
+    # block i of the tile's own band meets block j of its own (i <= j) and of the next band
+    left = dealt.where("own = 1").select("*", F.col("block").alias("i"), F.explode(every).alias("j"))
+    right = dealt.select("*", F.explode(every).alias("i"), F.col("block").alias("j")).where(
+        "own = 0 OR i < j")
+    return reduce(DataFrame.unionByName, [x.select(TILE_COLUMNS) for x in (whole, left, right)])
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -337,56 +387,38 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("v"))
     texts = rows.select("d", "text", "v")
 
-    sets = materialise(set_table(texts), "set-hashes")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counters = min(MAX_COUNTERS, max(MIN_COUNTERS, 1 << (size // BYTES_PER_COUNTER).bit_length()))
+    hashed = materialise(set_table(texts, counters), "set-hashes")
+    sets = hashed.where("seg IS NULL")
     classes = materialise(sets.where("n > 0").groupBy("n", "hi", "lo").agg(
         F.min("d").alias("first")), "classes")
     member = materialise(sets.join(classes, ["n", "hi", "lo"], "left").select(
         "d", "v", "n", F.coalesce("first", "d").alias("first")), "members")
     chosen = sc.broadcast(once_filter(classes.select("first"), lambda b: mix(
         b.column(0).to_numpy(zero_copy_only=False)), filter_bits(classes.count())))
+    frequency = sc.broadcast(frequency_classes(summed_counts(
+        hashed.where("seg IS NOT NULL").select("seg", "counts"), counters)))
 
-    frequency = sc.broadcast(frequency_classes(count_sketch(texts, chosen)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = materialise(
         token_rows(texts, chosen, frequency, percent)
-        .repartition(parts, "token").sortWithinPartitions("token", "n", "d")
-        .mapInArrow(neighbours, "token long, n long, d long, before long, n_before long"),
-        "shared-tokens")
-    fits = F.col("n_before") * 100 >= F.col("n") * percent
-    first_pairs = materialise(_pairs(shared.where(F.col("before").isNotNull() & fits)
-                                     .select("d", F.col("before").alias("e"))), "pairs")
+        .select("token", "d", "n", "pos")
+        .repartition(parts, "token").sortWithinPartitions("token", "d")
+        .mapInArrow(stars, STAR_SCHEMA), "shared-tokens")
+    fits = (F.least("n", "n_first") * 100 >= F.greatest("n", "n_first") * percent) & (
+        (100 + percent) * F.least(F.col("n") - F.col("pos"), F.col("n_first") - F.col("pos_first"))
+        >= percent * (F.col("n") + F.col("n_first")))
+    first_pairs = materialise(_pairs(shared.where(F.col("first").isNotNull() & fits)
+                                     .select("d", F.col("first").alias("e"))), "pairs")
     first_links = materialise(linked(first_pairs, texts, percent), "links")
 
     label = materialise(components(first_links), "labels")
-    labelled = shared.select("token", "n", "d").distinct().join(
-        label.withColumnRenamed("node", "d"), "d", "left").select(
-            "token", "n", "d", F.coalesce("component", "d").alias("label"))
-    labelled = materialise(labelled, "labelled")
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")) \
-        .where("x < y").select("token")
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    banded = materialise(labelled.join(mixed, "token").withColumn("band", band), "banded")
-    width = banded.groupBy("token", "band").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS)).alias("blocks"))
-    upper = width.select("token", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
-    # blocks of a tile: as many as its larger band needs
-    tiles = width.join(upper, ["token", "band"], "left").select(
-        "token", "band", F.greatest("blocks", F.coalesce("above", F.lit(1))).alias("blocks"))
-    of_band = banded.withColumn("own", F.lit(1)).unionByName(
-        banded.withColumn("band", F.col("band") - 1).withColumn("own", F.lit(0)))
-    block = F.pmod(F.xxhash64("d"), F.col("blocks"))
-    dealt = of_band.join(tiles, ["token", "band"]).withColumn("block", block)
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    # block i of the tile's own band meets block j of its own (i <= j) and of the next band
-    as_left = dealt.where("own = 1").select("*", F.col("block").alias("i"),
-                                            F.explode(every).alias("j"))
-    # own rows are right partners for i < j only: each pair of own blocks is met once
-    as_right = dealt.select("*", F.explode(every).alias("i"), F.col("block").alias("j")).where(
-        "own = 0 OR i < j")
-    order = ["token", "band", "i", "j"]
-    columns = [*order, "own", "block", "n", "d", "label"]
-    second = (as_left.select(columns).unionByName(as_right.select(columns))
-              .repartition(parts, *order).sortWithinPartitions(*order)
+    labelled = shared.select("token", "n", "d", "pos").join(
+        label.withColumnRenamed("node", "d"), "d", "left").withColumn(
+            "label", F.coalesce("component", "d"))
+    order = TILE_COLUMNS[:4]
+    second = (tiles(labelled, percent).repartition(parts, *order).sortWithinPartitions(*order)
               .mapInArrow(lambda batches: tile_pairs(batches, percent), "a long, b long"))
     second_pairs = materialise(_pairs(second.select(F.col("a").alias("d"), F.col("b").alias("e")))
                                .join(first_pairs, ["a", "b"], "left_anti"), "tile-pairs")
