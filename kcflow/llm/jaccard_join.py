@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kcflow.llm.bloom import contains, filter_bits, once_filter
-from kcflow.llm.common import id_key, materialise, packed
+from kcflow.llm.common import arrow_batches, id_key, materialise, packed
 from kcflow.llm.graph import components
 from kcflow.llm.shingle_sets import by_part
 from kcflow.llm.suffix_dedup import mix
@@ -53,6 +53,8 @@ PERCENT = 75
 BYTES_PER_COUNTER = 64
 MIN_COUNTERS, MAX_COUNTERS = 1 << 16, 1 << 24
 SEGMENTS = 64
+#: Rows that go to Python at once.
+BATCH_ROWS = 2000
 #: Sets of a token compared in one task as one tile.
 TILE_ROWS = 20_000
 
@@ -381,10 +383,19 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    percent: int = PERCENT) -> DataFrame:
     """`row` (the input row as a struct), d (its id as a long, null as the last),
     v (a hash of its text), n_shingles and component (in terms of d)."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
     rows = docs.select(packed(docs).alias("row"), id_key(doc_id).alias("d"),
                        F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("v"))
+    # all work in Python is done in here; the join below is Spark's alone
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        groups = _groups(rows, percent)
+    return rows.select("row", "d", "v").join(groups, ["d", "v"]).select(
+        "row", "d", "v", "n_shingles", "component")
+
+
+def _groups(rows: DataFrame, percent: int) -> DataFrame:
+    """(d, v, n_shingles, component) of rows (d, text, v)."""
+    spark = rows.sparkSession
+    sc = spark.sparkContext
     texts = rows.select("d", "text", "v")
 
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -426,11 +437,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     merged = components(label.select(F.col("node").alias("a"), F.col("component").alias("b"))
                         .where("a != b").union(second_links))
-    groups = member.join(merged.withColumnRenamed("node", "first"), "first", "left").select(
+    return member.join(merged.withColumnRenamed("node", "first"), "first", "left").select(
         "d", "v", F.col("n").alias("n_shingles"),
         F.coalesce("component", "first").alias("component")).distinct()
-    return rows.select("row", "d", "v").join(groups, ["d", "v"]).select(
-        "row", "d", "v", "n_shingles", "component")
 
 
 def _pairs(edges: DataFrame) -> DataFrame:
