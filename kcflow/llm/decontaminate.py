@@ -5,9 +5,11 @@ words in a row (an item of fewer words is one shingle).  Similarity of a
 window and an item is the weighted Jaccard similarity of their shingles,
 weighted by how often each occurs: sum of minima over sum of maxima.
 
-1. A window of a document can only be similar to an item with which it
-   shares a shingle.  A join on shingle hashes finds the shared ones, and
-   each fixes where the window of the item's size would start.
+1. A join on shingle hashes finds the places of an item's shingles in a
+   document.  Running sums over them give the sum of minima for every window
+   of the item's size, wherever it starts and in whatever order it holds the
+   shingles; the best window of each document and item goes on if it can
+   reach the similarity.
 2. Every such window and every item gets a 64-bit SimHash: bit b is set when
    more than half of its shingles (with weights) have bit b in their hash.
 3. The 64 bits are cut into RADIUS + 1 blocks.  Two fingerprints within the
@@ -25,15 +27,16 @@ Defined results: null and empty texts and items match nothing; a window at
 the end of a document is moved back to fit, a document shorter than the
 item is one window; a null doc_id is one document after all others; a null
 item_id is one more item; rows that repeat a doc_id with another text are
-judged each, and the best window of the id is reported; empty tables give
-an empty result.
+judged each, and the best window of the id is reported; among equally
+similar windows one goes first that has a shared shingle at its place in the
+item, then the smallest start; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kcflow.llm.common import ASCII_SPACE, id_back, id_key, materialise
@@ -80,6 +83,54 @@ def blocks(mark: str, radius: int) -> Column:
         for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True))])
 
 
+def best_starts(found: DataFrame, weights: DataFrame, similarity: float) -> DataFrame:
+    """Per document text and item the start of the most similar of all windows, if it
+    reaches the similarity: rows (d, version, item, copy, size, k, start).
+
+    `found` has the places (pos) of the item's shingles in the document.  The j-th place
+    of a shingle that the item has w times adds to the sum of minima of the windows that
+    hold it but not the place w before it.  These are a range of starts, so running sums
+    over the ends of the ranges give that sum for every start.
+    """
+    key = ["d", "version", "item", "copy", "n", "size", "k"]
+    in_window = F.least("n", "size") - F.col("k") + 1  # shingles of a window
+    both = in_window + F.col("size") - F.col("k") + 1
+    # too few places in all: no window of them can reach the similarity
+    enough = found.groupBy(*key).agg(F.collect_set(F.struct("pos", "h")).alias("at")).where(
+        F.size("at") >= similarity * (both - F.size("at")))
+    same = (F.col("f.item").eqNullSafe(F.col("w.item")) & (F.col("f.copy") == F.col("w.copy"))
+            & (F.col("f.h") == F.col("w.h")))
+    placed = (enough.select(*key, F.inline("at")).groupBy(*key, "h")
+              .agg(F.array_sort(F.collect_list("pos")).alias("at")).alias("f")
+              .join(weights.alias("w"), same)
+              .select(*[f"f.{c}" for c in key], "at", "item_weight", "places")
+              .withColumn("last", F.greatest(F.lit(0), F.col("n") - F.col("size"))))
+    before = F.when(F.col("i") >= F.col("item_weight"),
+                    F.get("at", F.col("i") - F.col("item_weight")))
+    ranges = (placed.select("*", F.posexplode("at").alias("i", "pos"))
+              .withColumn("low", F.greatest(F.lit(0), before + 1, F.col("pos") - in_window + 1))
+              .withColumn("high", F.least("pos", "last")))
+    zero, one = F.lit(0), F.lit(1)
+    # the starts at which a shared shingle has its place in the item: first among equals
+    level = F.transform("places", lambda at: F.struct(
+        F.greatest(zero, F.least(F.col("pos") - at, F.col("last"))).alias("start"),
+        zero.alias("step"), one.alias("level")))
+    step = F.when(F.col("low") <= F.col("high"), F.array(
+        F.struct(F.col("low").alias("start"), one.alias("step"), zero.alias("level")),
+        F.struct((F.col("high") + 1).alias("start"), (-one).alias("step"), zero.alias("level")))) \
+        .otherwise(F.array())
+    steps = ranges.select(*key, "last", F.inline(F.concat(step, level))).groupBy(
+        *key, "last", "start").agg(F.sum("step").alias("step"), F.max("level").alias("level"))
+    least = F.sum("step").over(Window.partitionBy(*key).orderBy("start").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    scored = steps.withColumn("least", least).where(
+        (F.col("start") <= F.col("last"))
+        & (F.col("least") / (both - F.col("least")) >= similarity))
+    return scored.groupBy(*key).agg(F.max(F.struct(
+        "least", "level", (-F.col("start")).alias("back"))).alias("best")).select(
+            "d", "version", "item", "copy", "size", "k", (-F.col("best.back")).alias("start"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                  text: str = "text", item_id: str = "item_id", item_text: str = "text",
                  similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
@@ -105,9 +156,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
             "item", "copy", "size", "k", F.posexplode(shingles(F.col("w"), k)).alias("at", "h"))
         for k in kinds])
     item_shingles = materialise(parts, "item-shingles")
-    probe = item_shingles
+    weights = materialise(item_shingles.groupBy("item", "copy", "size", "k", "h").agg(
+        F.count(F.lit(1)).cast("int").alias("item_weight"),
+        F.collect_list("at").alias("places")), "item-weights")
+    probe, known = weights.select("item", "copy", "size", "k", "h"), weights
     if item_shingles.count() <= MAX_BROADCAST:
-        probe = F.broadcast(item_shingles)
+        probe, known = F.broadcast(probe), F.broadcast(known)
 
     texts = docs.select(id_key(doc_id).alias("d"), F.xxhash64(f"`{text}`").alias("version"),
                         F.col(f"`{text}`").alias("t"))
@@ -116,9 +170,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         split.select("d", "version", F.size("w").alias("n"),
                      F.posexplode(shingles(F.col("w"), k)).alias("pos", "h"))
         .withColumn("k", F.lit(k)) for k in kinds]).join(probe, ["h", "k"])
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("size")))
-    hits = materialise(found.select("d", "version", "item", "copy", "size", "k",
-                                    start.alias("start")).distinct(), "hits")
+    hits = materialise(best_starts(found, known, similarity), "hits")
 
     key = ["d", "version", "item", "copy", "start"]
     w = F.slice(words(F.col("t")), F.col("start") + 1, F.col("size"))
@@ -144,8 +196,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                     F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark"))).alias("distance"))
             .where(F.col("distance") <= radius).distinct())
 
-    weights = item_shingles.groupBy("item", "copy", "h").agg(
-        F.count(F.lit(1)).alias("item_weight"))
     same = (F.col("e.item").eqNullSafe(F.col("w.item")) & (F.col("e.copy") == F.col("w.copy"))
             & (F.col("e.h") == F.col("w.h")))
     shared = (exploded.alias("e").join(weights.alias("w"), same)

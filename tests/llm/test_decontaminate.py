@@ -1,3 +1,5 @@
+from collections import Counter
+
 import duckdb
 
 from kcflow.llm import decontaminate
@@ -64,3 +66,42 @@ def test_query_agrees_with_sql(worker_path):
     want = set(con.sql(f"SELECT {cols} FROM ({DECONTAMINATION_SQL})").fetchall())
     got = op2_decontamination(worker_path, SF_SMALL)
     assert {(r.doc_id, r.item_id, r.start, round(r.similarity, 5)) for r in got.collect()} == want
+
+
+def best_of_all_windows(text, item):
+    """(similarity, start) of the best window among all starts, counted plainly."""
+    w, v = text.lower().split(), item.lower().split()
+    k = min(len(v), decontaminate.SHINGLE)
+
+    def bag(x):
+        return Counter(tuple(x[i:i + k]) for i in range(len(x) - k + 1))
+
+    scores = {}
+    for s in range(max(0, len(w) - len(v)) + 1):
+        a, b = bag(w[s:s + len(v)]), bag(v)
+        scores[s] = (a & b).total() / (a | b).total()
+    return max(scores.values()), scores
+
+
+def test_all_windows(worker_path):
+    one, two = prose(600, 20, 20), prose(601, 20, 20)
+    again = " ".join(["a b c d e f"] * 6 + [prose(602, 10, 10)])
+    items = [(1, f"{one} {two}"), (2, again), (3, prose(603, 12, 12))]
+    moved = " ".join(items[2][1].split()[6:] + items[2][1].split()[:6])
+    texts = [f"{prose(610, 60, 60)} {two} {one} {prose(611, 60, 60)}",
+             f"{two} {one}", f"{prose(612, 30, 30)} {one} x y {two} {prose(613, 9, 9)}",
+             " ".join(["z a b c d e f a b c d"] * 3 + [again, "b c d e f a"] * 2),
+             " ".join(["a b c d e f"] * 40), f"u v {moved} w {items[2][1]}",
+             edited(items[0][1], 614, 3) + " " + edited(items[0][1], 615, 1)]
+    docs = worker_path.createDataFrame(
+        doc_rows([(i, t, "en") for i, t in enumerate(texts)]), DOC_SCHEMA)
+    rows, want = found(docs, items), set()
+    for i, t in enumerate(texts):
+        for j, item in items:
+            best, scores = best_of_all_windows(t, item)
+            if best >= 0.75:
+                want.add((i, j))
+                assert abs(rows[i, j].similarity - best) < 1e-9
+                assert abs(scores[rows[i, j].start] - best) < 1e-9
+    assert set(rows) == want and (0, 1) in want
+    assert rows[0, 1].start == 60  # no shared shingle has its place in the item here
