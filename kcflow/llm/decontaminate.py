@@ -139,6 +139,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     One row per document and item: doc_id, item_id, start (word of the best
     window, from 0), n_words (of the window), distance (bits) and similarity.
     """
+    best = _best(contaminated_texts(docs, benchmark, doc_id, text, item_id, item_text,
+                                    similarity, radius), ["d", "item"])
+    return best.select(id_back("d").alias(doc_id), F.col("item").alias(item_id),
+                       "start", "n_words", "distance", "similarity")
+
+
+def _best(windows: DataFrame, key: list[str]) -> DataFrame:
+    """The most similar window of each key, the first one of equals."""
+    return windows.groupBy(*key).agg(F.max(F.struct(
+        "similarity", (-F.col("start")).alias("back"), "n_words",
+        (-F.col("distance")).alias("near"))).alias("b")).select(
+            *key, (-F.col("b.back")).alias("start"), "b.n_words",
+            (-F.col("b.near")).alias("distance"), "b.similarity")
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
+                       text: str = "text", item_id: str = "item_id", item_text: str = "text",
+                       similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """As `contaminated`, one row per text of a document and item: d (the id as a long,
+    null as the last), version (a hash of the text), item, start, n_words, distance and
+    similarity."""
     items = materialise(
         benchmark.select(F.col(f"`{item_id}`").alias("item"),
                          words(F.col(f"`{item_text}`")).alias("w"))
@@ -148,9 +169,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     kinds = sorted(r.k for r in items.select("k").distinct().collect())  # 1 to SHINGLE
     spark = docs.sparkSession
     if not kinds:
-        return spark.createDataFrame([], "doc_id long, item_id long, start int, n_words int, "
-                                         "distance int, similarity double") \
-            .withColumnsRenamed({"doc_id": doc_id, "item_id": item_id})
+        return spark.createDataFrame([], "d long, version long, item long, start int, "
+                                         "n_words int, distance int, similarity double")
     parts = reduce(DataFrame.unionByName, [
         items.where(F.col("k") == k).select(
             "item", "copy", "size", "k", F.posexplode(shingles(F.col("w"), k)).alias("at", "h"))
@@ -207,9 +227,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     judged = (near.alias("a").join(shared.alias("s"), same_window)
               .select(*[f"a.{c}" for c in key], "size", "distance", score.alias("similarity"))
               .where(F.col("similarity") >= similarity))
-    best = judged.groupBy("d", "item").agg(F.max(F.struct(
-        "similarity", (-F.col("start")).alias("back"), F.col("size").alias("n_words"),
-        (-F.col("distance")).alias("near"))).alias("b"))
-    return best.select(id_back("d").alias(doc_id), F.col("item").alias(item_id),
-                       (-F.col("b.back")).alias("start"), "b.n_words",
-                       (-F.col("b.near")).alias("distance"), "b.similarity")
+    return _best(judged.withColumnRenamed("size", "n_words"), ["d", "version", "item"])

@@ -24,9 +24,10 @@ reachable over links.  No link between different texts is missed:
    still reach the limit is counted exactly on the sorted arrays.
 
 Defined results: texts without words have an empty set and no link; a null
-doc_id is one document after all others; rows that repeat a doc_id are one
-node each, joined by that id only if their sets link (the row's component
-is that of its own set); an empty table gives an empty result.
+doc_id comes after all others; rows that share a doc_id, or have none, and
+differ in text are one node each, joined only if their sets link (`nodes`):
+the row's component is that of its own set; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kcflow.llm.bloom import contains, filter_bits, once_filter
-from kcflow.llm.common import arrow_batches, id_key, materialise, packed
+from kcflow.llm.common import LAST_ID, arrow_batches, id_key, materialise, packed
 from kcflow.llm.graph import components
+from kcflow.llm.numbering import gapless
 from kcflow.llm.shingle_sets import by_part
 from kcflow.llm.suffix_dedup import mix
 
@@ -379,21 +381,43 @@ def tiles(labelled: DataFrame, percent: int) -> DataFrame:
     return reduce(DataFrame.unionByName, [x.select(TILE_COLUMNS) for x in (whole, left, right)])
 
 
+def nodes(pairs: DataFrame) -> DataFrame:
+    """(d, v, node): numbers of their own for texts whose id has other texts as well.
+
+    A text alone with its id has the id as its node, and no row here.  The numbers lie
+    beyond all ids; if there is no room for them, all texts are numbered from 0.
+    """
+    pairs = pairs.distinct()
+    ids = materialise(pairs.groupBy("d").agg(F.count(F.lit(1)).alias("texts")), "ids")
+    usual = F.col("d") != LAST_ID
+    lo, hi, n = ids.agg(F.min(F.when(usual, F.col("d"))), F.max(F.when(usual, F.col("d"))),
+                        F.sum(F.when(F.col("texts") > 1, F.col("texts")))).first()
+    n, base = n or 0, 0 if hi is None else hi + 1
+    several = pairs.join(ids.where("texts > 1"), "d", "left_semi")
+    if base + n >= LAST_ID:
+        base = lo - n
+        if base < -2**63:
+            several, base, n = pairs, 0, None
+    return materialise(gapless(several, [], ["d", "v"], "node", n).select(
+        "d", "v", (F.col("node") + F.lit(base)).alias("node")), "nodes")
+
+
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    percent: int = PERCENT) -> DataFrame:
     """`row` (the input row as a struct), d (its id as a long, null as the last),
-    v (a hash of its text), n_shingles and component (in terms of d)."""
+    v (a hash of its text), n_shingles, component (the smallest d of its group) and
+    component_v (v of the text that stands for the group; its d is the component)."""
     rows = docs.select(packed(docs).alias("row"), id_key(doc_id).alias("d"),
                        F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("v"))
     # all work in Python is done in here; the join below is Spark's alone
     with arrow_batches(docs.sparkSession, BATCH_ROWS):
         groups = _groups(rows, percent)
     return rows.select("row", "d", "v").join(groups, ["d", "v"]).select(
-        "row", "d", "v", "n_shingles", "component")
+        "row", "d", "v", "n_shingles", "component", "component_v")
 
 
 def _groups(rows: DataFrame, percent: int) -> DataFrame:
-    """(d, v, n_shingles, component) of rows (d, text, v)."""
+    """(d, v, n_shingles, component, component_v) of rows (d, text, v)."""
     spark = rows.sparkSession
     sc = spark.sparkContext
     texts = rows.select("d", "text", "v")
@@ -401,11 +425,20 @@ def _groups(rows: DataFrame, percent: int) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     counters = min(MAX_COUNTERS, max(MIN_COUNTERS, 1 << (size // BYTES_PER_COUNTER).bit_length()))
     hashed = materialise(set_table(texts, counters), "set-hashes")
-    sets = hashed.where("seg IS NULL")
+    own = nodes(hashed.where("seg IS NULL").select("d", "v"))
+    several = own.count() > 0
+
+    def with_nodes(table: DataFrame) -> DataFrame:
+        if not several:
+            return table.withColumn("node", F.col("d"))
+        return table.join(own, ["d", "v"], "left").withColumn("node", F.coalesce("node", "d"))
+
+    sets = with_nodes(hashed.where("seg IS NULL"))
     classes = materialise(sets.where("n > 0").groupBy("n", "hi", "lo").agg(
-        F.min("d").alias("first")), "classes")
+        F.min("node").alias("first")), "classes")
     member = materialise(sets.join(classes, ["n", "hi", "lo"], "left").select(
-        "d", "v", "n", F.coalesce("first", "d").alias("first")), "members")
+        "d", "v", "n", F.coalesce("first", "node").alias("first")).distinct(), "members")
+    texts = with_nodes(texts).select(F.col("node").alias("d"), "text")  # from here on d: the node
     chosen = sc.broadcast(once_filter(classes.select("first"), lambda b: mix(
         b.column(0).to_numpy(zero_copy_only=False)), filter_bits(classes.count())))
     frequency = sc.broadcast(frequency_classes(summed_counts(
@@ -437,9 +470,15 @@ def _groups(rows: DataFrame, percent: int) -> DataFrame:
 
     merged = components(label.select(F.col("node").alias("a"), F.col("component").alias("b"))
                         .where("a != b").union(second_links))
-    return member.join(merged.withColumnRenamed("node", "first"), "first", "left").select(
-        "d", "v", F.col("n").alias("n_shingles"),
-        F.coalesce("component", "first").alias("component")).distinct()
+    grouped = materialise(
+        member.join(merged.withColumnRenamed("node", "first"), "first", "left").select(
+            "d", "v", F.col("n").alias("n_shingles"),
+            F.coalesce("component", "first").alias("group")), "grouped")
+    least = materialise(grouped.groupBy("group").agg(
+        F.min(F.struct("d", "v")).alias("least")), "least")
+    return grouped.join(least, "group").select(
+        "d", "v", "n_shingles", F.col("least.d").alias("component"),
+        F.col("least.v").alias("component_v"))
 
 
 def _pairs(edges: DataFrame) -> DataFrame:

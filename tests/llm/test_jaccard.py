@@ -122,3 +122,22 @@ def test_query_agrees_with_sql(worker_path):
     con.sql(f"CREATE VIEW documents AS FROM read_parquet('{SF_SMALL}/documents.parquet')")
     want = con.sql(f"SELECT doc_id, n_shingles, component_id FROM ({JACCARD_SQL})").fetchall()
     assert {tuple(r) for r in op4_jaccard_join(worker_path, SF_SMALL).collect()} == set(want)
+
+
+@pytest.mark.parametrize("last", [60, 2**63 - 2, None])
+def test_rows_without_an_id_of_their_own(worker_path, last):
+    """Null and repeated ids: each text is a node; `last` leaves no room above or at all."""
+    one, two, three, four = (prose(700 + k, 80, 80) for k in range(4))
+    docs = [(1, one), (None, edited(one, 1, 1)), (None, two), (None, three), (None, three),
+            (5, edited(four, 2, 1)), (5, edited(two, 3, 1)), (7, four),
+            (2**63 - 2 if last is None else last, prose(710, 80, 80))]
+    docs += [(-2**63, prose(711, 80, 80))] if last is None else []
+    df = worker_path.createDataFrame(
+        doc_rows([(i, t, "en") for i, t in docs]), DOC_SCHEMA).repartition(3)
+    rows = similar_groups(df).collect()
+    assert len(rows) == len(docs)
+    got = {(r.row.doc_id, r.row.text): r.component for r in rows}
+    want = [1, 1, 5, 2**63 - 1, 2**63 - 1, 5, 5, 5, *(i for i, _ in docs[8:])]
+    assert got == {k: c for k, c in zip(docs, want, strict=True)}
+    assert {r.row.text for r in rows if (r.d, r.v) == (r.component, r.component_v)} == {
+        one, three, docs[5][1], docs[6][1], *(t for _, t in docs[8:])}

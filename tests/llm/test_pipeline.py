@@ -4,7 +4,7 @@ import pytest
 import corpus_pipeline
 from kcflow.llm.queries import DECONTAMINATION_SQL, JACCARD_SQL, LINE_DEDUP_SQL
 from tests.conftest import SF_SMALL
-from tests.llm.conftest import after_all
+from tests.llm.conftest import DOC_SCHEMA, after_all, doc_rows, edited, prose
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +95,19 @@ def test_empty(none):
 def test_run(worker_path):
     rows = corpus_pipeline.run(worker_path, SF_SMALL)
     assert rows.count() > 0 and {"doc_id", "sequence_id", "offset", "ids"} <= set(rows.columns)
+
+
+def test_rows_that_share_an_id(worker_path):
+    """One row near another document, or contaminated, takes no other row without an id along."""
+    one, clean, repeated = prose(800, 90, 90), prose(801, 90, 90), prose(802, 90, 90)
+    item = next(r.text for r in worker_path.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()
+                if r.text and len(r.text.split()) >= 10)
+    leak = f"{prose(803, 30, 30)} {item} {prose(804, 30, 30)}"
+    docs = worker_path.createDataFrame(doc_rows([
+        (1, one, "en"), (None, edited(one, 1, 1), "en"), (None, clean, "en"), (None, leak, "en"),
+        (3, repeated, "en"), (3, leak + " x y", "en")]), DOC_SCHEMA).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = {r.text for r in stages["jaccard_join"](worker_path, docs, SF_SMALL).collect()}
+    assert {one, clean, repeated} <= kept and edited(one, 1, 1) not in kept
+    left = stages["decontamination"](worker_path, docs, SF_SMALL).collect()
+    assert {r.text for r in left} == {one, edited(one, 1, 1), clean, repeated}
