@@ -44,19 +44,24 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
-def sliced(df: DataFrame, keys: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
+def sliced(df: DataFrame, keys: Sequence[Column], num_partitions: int | None = None,
+           keep: Sequence[str] | None = None, deal: Sequence[Column] | None = None) -> DataFrame:
     """The rows range-partitioned and sorted by ``keys``, with the slice and
     the position in the whole table (ascending inside a slice).
 
+    ``keep`` names the columns that are written (all by default): what only
+    the order needs can go.  ``deal`` replaces the keys that the rows are dealt
+    by, for keys too long to be sampled: short forms in the same order.
+
     Range bounds come from sampling, and Catalyst would plan the exchange
     once per branch that reads it, so the slices are written once in the
     shared checkpoint folder: every branch reads the same cut, and a lost
     executor re-reads files instead of sampling again.
     """
     n = num_partitions or default_partitions(df.sparkSession)
-    return materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                       .withColumn(_PID, F.spark_partition_id())
-                       .withColumn(_MID, F.monotonically_increasing_id()), "ranged")
+    ordered = df.repartitionByRange(n, *(deal or keys)).sortWithinPartitions(*keys)
+    return materialize(ordered.select(*(keep or df.columns), F.spark_partition_id().alias(_PID),
+                                      F.monotonically_increasing_id().alias(_MID)), "ranged")
 
 
 def _slice_offsets(ranged: DataFrame, group_cols: Sequence[str], size: Column,
@@ -85,19 +90,22 @@ def _with_offsets(ranged: DataFrame, offsets: DataFrame, group_cols: Sequence[st
 def running_index(df: DataFrame, group_cols: Sequence[str],
                   order_cols: Sequence[str | Column], out_col: str,
                   num_partitions: int | None = None,
-                  group_count_col: str | None = None) -> DataFrame:
+                  group_count_col: str | None = None, keep: Sequence[str] | None = None,
+                  deal: Sequence[Column] | None = None) -> DataFrame:
     """Add ``out_col``: 1-based position of each row inside its group.
 
     Same result as ``row_number().over(Window.partitionBy(group_cols)
     .orderBy(order_cols))``, but no task ever holds a whole group.
-    ``group_count_col`` optionally adds the size of the group.
+    ``group_count_col`` optionally adds the size of the group; ``keep`` and
+    ``deal`` are those of ``sliced`` (the groups are always kept).
     """
     group_cols = list(group_cols)
-    ranged = sliced(df, [*_cols(group_cols), *_cols(order_cols)], num_partitions)
+    kept = df.columns if keep is None else list(dict.fromkeys([*group_cols, *keep]))
+    ranged = sliced(df, [*_cols(group_cols), *_cols(order_cols)], num_partitions, kept, deal)
     offsets = _slice_offsets(ranged, group_cols, F.count(F.lit(1)), group_count_col)
     joined = _with_offsets(ranged, offsets, group_cols)
     pos = (F.col(_OFF) + F.col(_MID) - F.col(_LO) + F.lit(1)).cast("bigint")
-    return joined.select(*[F.col(c) for c in df.columns],
+    return joined.select(*[F.col(c) for c in kept],
                          *([group_count_col] if group_count_col else []), pos.alias(out_col))
 
 
