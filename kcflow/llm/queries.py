@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kcflow.llm.chat import format_chats
-from kcflow.llm.common import documents, id_back
+from kcflow.llm.common import documents, id_back, id_key
+from kcflow.llm.conversation_repair import damaged, repair_turns, summaries
 from kcflow.llm.decontaminate import contaminated
 from kcflow.llm.jaccard_join import similar_groups
 from kcflow.llm.langid import identify
 from kcflow.llm.licenses import scan_licences
 from kcflow.llm.line_dedup import dedup_lines
+from kcflow.llm.mixing import plan_mix, taken
 from kcflow.llm.packing import pack
+from kcflow.llm.prefix_trie import build_trie, rebuilt, turn_symbols
 from kcflow.llm.quality import judge_quality
 from kcflow.llm.registry import register
 from kcflow.llm.sharding import assign_shards
@@ -220,3 +223,94 @@ def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.concat_ws("/", "source", "lang", "doc_id").alias("path"))
     return scan_licences(docs).select(
         "row.doc_id", "licence", "cosine", "basis", F.col("source").alias("licence_path"))
+
+
+@register("op11_source_mixing")
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150 % takes of every document, sources weighing 3, 1, 2 by turns."""
+    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
+    return taken(plan_mix(docs))
+
+
+@register("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage by a checksum."""
+    ensure_checkpoint_dir(spark)
+    turns = table(spark, sf_dir, "conversations")
+    repaired = summaries(repair_turns(damaged(turns))).withColumnRenamed("conv_id", "_conv")
+    longs = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    convs = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    found = convs.join(repaired, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    return found.select(  # all turns may have been dropped
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in longs],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.encode(F.lit(""), "UTF-8"), 256))
+        .alias("repaired_sha256"))
+
+
+# DuckDB has no crc32(): bytes and shifts of the decimal id, one after the other.
+TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            coalesce(text, '')) AS d
+  FROM conversations),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+           string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384)
+                             ELSE c >> 1 END), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+unnumbered AS (
+  SELECT c.conv_id, 0 AS part, t.d AS p, role, text FROM convs c JOIN turns t
+    ON t.conv_id = c.base AND t.d <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.d, role, text FROM convs c JOIN turns t
+    ON t.conv_id = c.conv_id AND t.d > c.h
+  UNION ALL SELECT conv_id, 1, d, role, text FROM turns WHERE conv_id IS NULL),
+numbered AS (
+  SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d,
+         role || chr(2) || text AS body
+  FROM unnumbered),
+rows AS (
+  SELECT conv_id, d, length(text) AS chars,
+         string_agg(body, chr(3)) OVER (PARTITION BY conv_id ORDER BY d) AS node,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM numbered
+  UNION ALL
+  SELECT DISTINCT conv_id, 0, 0, '', (SELECT count(*) FROM numbered m
+                                      WHERE m.conv_id IS NOT DISTINCT FROM c.conv_id)
+  FROM conversations c),
+nodes AS (
+  SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = n) AS ends
+  FROM rows GROUP BY d, node),
+lines AS (
+  SELECT DISTINCT u.d, u.node, l.d AS below_d, l.node AS below
+  FROM rows u JOIN rows l ON u.conv_id IS NOT DISTINCT FROM l.conv_id AND u.d <= l.d),
+children AS (
+  SELECT d, node, count(*) AS n FROM lines WHERE below_d = d + 1 GROUP BY d, node)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, any_value(p.conv_id) AS parent_conv_id,
+       any_value(v.n_convs) AS n_convs, coalesce(any_value(own.n), 0) AS n_children,
+       count(*) FILTER (WHERE c.n IS NULL) AS n_leaves,
+       CAST(sum((w.n_convs - 1) * w.chars) AS BIGINT) AS saved_tokens,
+       sha256(coalesce(any_value(v.ends), '')) AS ends_sha256
+FROM nodes v JOIN lines l ON l.d = v.d AND l.node = v.node
+JOIN nodes w ON w.d = l.below_d AND w.node = l.below
+LEFT JOIN children c ON c.d = w.d AND c.node = w.node
+LEFT JOIN children own ON own.d = v.d AND own.node = v.node
+LEFT JOIN lines up ON up.below_d = v.d AND up.below = v.node AND up.d = v.d - 1
+LEFT JOIN nodes p ON p.d = up.d AND p.node = up.node
+GROUP BY v.conv_id, v.d, v.node
+"""
+
+
+@register("op13_prefix_trie", TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations that begin like others."""
+    ensure_checkpoint_dir(spark)
+    turns = table(spark, sf_dir, "conversations")
+    convs = turns.select(id_key("conv_id").alias("conv")).distinct()
+    return build_trie(rebuilt(turn_symbols(turns), convs), convs)
