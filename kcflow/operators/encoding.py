@@ -20,7 +20,8 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import running_index
+from .lookup import attach, key_counts
+from .sequence import materialize, running_index
 
 
 def key_dictionary(frames: Sequence[DataFrame], col: str) -> DataFrame:
@@ -40,16 +41,15 @@ def code_dictionary(frames: Sequence[DataFrame], col: str, code_col: str = "code
 
 
 def code_dictionaries(frame: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, value, code)`` for several string columns in one pass.
+    """``(feature, value, n_rows, code)`` for several string columns in one pass.
 
-    One distinct over the stacked columns and one numbering grouped by
+    One aggregate over the stacked columns and one numbering grouped by
     feature; a huge dictionary (say students) is still cut across tasks.
     """
-    stacked = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
-                        for c in cols])
-    d = frame.select(F.inline(stacked)).distinct()
+    d = key_counts(frame, cols)
     ranked = running_index(d, ["feature"], [F.col("value").asc_nulls_first()], "_kc_pos")
-    return ranked.select("feature", "value", (F.col("_kc_pos") - 1).cast("bigint").alias("code"))
+    return ranked.select("feature", "value", "n_rows",
+                         (F.col("_kc_pos") - 1).cast("bigint").alias("code"))
 
 
 def encode(df: DataFrame, dictionary: DataFrame, col: str, code_col: str = "code",
@@ -64,12 +64,14 @@ def encode(df: DataFrame, dictionary: DataFrame, col: str, code_col: str = "code
     return joined.select(*cols)
 
 
-def encode_all(df: DataFrame, dictionaries: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace several columns by their codes from ``code_dictionaries``."""
-    for c in cols:
-        own = dictionaries.where(F.col("feature") == c).select(F.col("value").alias(c), "code")
-        df = encode(df.withColumn(c, F.col(c).cast("string")), own, c)
-    return df
+def encode_all(df: DataFrame, dictionaries: DataFrame, cols: Sequence[str],
+               row_key: Sequence[str] = ()) -> DataFrame:
+    """Replace several columns by their codes from ``code_dictionaries``, all
+    large dictionaries in one lookup (``lookup.attach``)."""
+    dims = materialize(dictionaries, "dictionaries", ["feature"])
+    found = attach(df, dims, cols, ["code"], row_key)
+    return found.select(*[F.col(f"_kc_{c}_code").alias(c) if c in cols else F.col(c)
+                          for c in df.columns])
 
 
 def one_hot_long(df: DataFrame, id_cols: Sequence[str], coded_cols: Sequence[str]) -> DataFrame:

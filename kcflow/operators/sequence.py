@@ -41,7 +41,7 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def sliced(df: DataFrame, keys: Sequence[Column], num_partitions: int | None = None,

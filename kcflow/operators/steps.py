@@ -79,17 +79,23 @@ def opportunity_counts(steps: DataFrame, id_cols: Sequence[str],
                        order_cols: Sequence[str | Column], kc_col: str = "kc",
                        out: str = "opportunity_count") -> DataFrame:
     """Opportunity string per step: for each KC, the how-many-th step of the
-    student with that KC this is (several attempts at a step count once).
+    student with that KC this is.  Several attempts at a step count once, and so
+    does a KC that a step lists more than once: every place of it gets the
+    same number.
 
     Rows without KC are left out.  ``id_cols`` must identify a step row.
     """
     keep = list(dict.fromkeys([*id_cols, "student",
                                *[c for c in order_cols if isinstance(c, str)]]))
-    ex = steps.where(F.col(kc_col).isNotNull()).select(
-        *keep, F.posexplode(skills.kc_list(kc_col)).alias("_kc_pos", "_kc_one"))
-    numbered = running_index(ex, ["student", "_kc_one"], order_cols, "_kc_n")
-    per_row = numbered.groupBy(*id_cols).agg(
-        F.array_sort(F.collect_list(F.struct("_kc_pos", "_kc_n"))).alias("_kc_ns"))
+    kcs = F.col("_kc_list")
+    places = F.sequence(F.lit(0), F.size(kcs) - 1)
+    each = F.transform(F.array_distinct(kcs), lambda k: F.struct(
+        k.alias("_kc_one"), F.filter(places, lambda i: F.get(kcs, i) == k).alias("_kc_at")))
+    once = steps.where(F.size(skills.kc_list(kc_col)) > 0).select(
+        *keep, skills.kc_list(kc_col).alias("_kc_list")).select(*keep, F.inline(each))
+    numbered = running_index(once, ["student", "_kc_one"], order_cols, "_kc_n")
+    per_row = numbered.select(*id_cols, "_kc_n", F.explode("_kc_at").alias("_kc_pos")).groupBy(
+        *id_cols).agg(F.array_sort(F.collect_list(F.struct("_kc_pos", "_kc_n"))).alias("_kc_ns"))
     return per_row.select(*id_cols, F.array_join(
         F.transform("_kc_ns", lambda s: s["_kc_n"].cast("string")), "~~").alias(out))
 

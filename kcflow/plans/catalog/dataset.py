@@ -68,7 +68,7 @@ def renumber_rows(spark, sf_dir):
 SELECT student, problem, step, kc, {ts_sql("first_tx")},
        string_agg(CAST(n AS VARCHAR), '~~' ORDER BY pos) AS opportunity_count
 FROM (
-  SELECT *, row_number() OVER (PARTITION BY student, k ORDER BY first_tx, {ITEM_ORDER}) AS n
+  SELECT *, dense_rank() OVER (PARTITION BY student, k ORDER BY first_tx, {ITEM_ORDER}) AS n
   FROM (SELECT *, unnest(string_split(kc, '~~')) AS k,
                generate_subscripts(string_split(kc, '~~'), 1) AS pos
         FROM step_log WHERE kc IS NOT NULL AND kc <> ''))

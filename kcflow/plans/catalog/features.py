@@ -95,7 +95,7 @@ def _feature_select() -> str:
 
 def features_df(spark, sf_dir, with_row: bool = True, **kw):
     ids = ("split", "row") if with_row else ("split",)
-    return feature_table(key_rows(spark, sf_dir, with_view=True, with_row=with_row),
+    return feature_table(key_rows(spark, sf_dir, with_view=True, with_row=True),
                          id_cols=ids, **kw)
 
 
@@ -167,7 +167,7 @@ def encoded_steps(spark, sf_dir):
     """The 21-column step table with six columns replaced by codes that training
     and test rows share."""
     rows = key_rows(spark, sf_dir, with_view=True, with_row=True)
-    out = encode_all(rows, code_dictionaries(rows, SPLIT_CODED), SPLIT_CODED)
+    out = encode_all(rows, code_dictionaries(rows, SPLIT_CODED), SPLIT_CODED, ("split", "row"))
     times = [c for c in tsv.SPLIT_ORDER if tsv.TYPES[c] == "timestamp_ntz"]
     return ts_text(out.select("split", *tsv.SPLIT_ORDER), times)
 

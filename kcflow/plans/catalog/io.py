@@ -108,3 +108,41 @@ def feature_table_kc_model(spark, sf_dir):
     read = tsv.read_steps(spark, path)
     ft = feature_table(read, id_cols=("split",), kc_model=tsv.kc_models(read)[1])
     return rounded(ft, RATE_FEATURES)
+
+
+# Faults planted in the lines of the test rows, by row number (period, then the
+# remainder of each fault).
+FAULT_EVERY = 97
+FAULTS = (tsv.FEW, tsv.MANY, tsv.OPEN_QUOTE, tsv.HEADER_AGAIN)
+N_FIELDS = len(tsv.FILE_ORDER)
+
+
+@register("tsv_quarantine", with_steps(f"""
+SELECT row, student, NULL AS reason, CAST(NULL AS INTEGER) AS n_fields FROM test
+WHERE row % {FAULT_EVERY} > 2
+UNION ALL
+SELECT row, NULL, CASE row % {FAULT_EVERY} WHEN 0 THEN '{tsv.FEW}' WHEN 1 THEN '{tsv.MANY}'
+                                           ELSE '{tsv.OPEN_QUOTE}' END,
+       CAST(CASE row % {FAULT_EVERY} WHEN 0 THEN {N_FIELDS} - 1 WHEN 1 THEN {N_FIELDS} + 1
+                                     ELSE {N_FIELDS} END AS INTEGER)
+FROM test WHERE row % {FAULT_EVERY} <= 2
+UNION ALL
+SELECT NULL, NULL, '{tsv.HEADER_AGAIN}', {N_FIELDS} FROM test WHERE row % {FAULT_EVERY} = 3"""))
+def tsv_quarantine(spark, sf_dir):
+    """The test rows as a file with broken lines: the rows of the good lines, and
+    the row number (where there is one), reason and field count of the others."""
+    rows = test_of(step_log(spark, sf_dir, with_row=True)).select(*tsv.FILE_ORDER)
+    header, lines = tsv.to_lines(rows)
+    fault, line = F.col("order") % FAULT_EVERY, F.col("value")
+    hurt = (F.when(fault == 0, F.regexp_replace(line, "\t[^\t]*$", ""))
+            .when(fault == 1, F.concat(line, F.lit("\tmore")))
+            .when(fault == 2, F.regexp_replace(line, "^([^\t]*)\t", "$1\t\"")).otherwise(line))
+    both = F.when(fault == 3, F.array(hurt, F.lit(header))).otherwise(F.array(hurt))
+    path = scratch_path(spark, "broken-tsv")
+    tsv.write_lines(header, lines.select("order", F.explode(both).alias("value")), path)
+    good, broken = tsv.read_checked(spark, path)
+    first = F.regexp_extract("value", "^([0-9]*)\t", 1)
+    return good.select("row", "student", F.lit(None).cast("string").alias("reason"),
+                       F.lit(None).cast("int").alias("n_fields")).unionByName(
+        broken.select(first.try_cast("bigint").alias("row"),
+                      F.lit(None).cast("string").alias("student"), "reason", "n_fields"))

@@ -12,10 +12,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.metrics import clamp01, rmse, soft_vote, weighted_median
+from ...operators.sequence import running_index
+from ...session import scratch_path
+from ...sources import tsv
 from ...sources.fixtures import step_log
 from ..oracle import with_steps
 from ..registry import register
-from ..submission import mean_score
+from ..submission import fill_labels, mean_score
 from .common import rounded
 from .features import features_df, features_sql
 
@@ -96,3 +99,24 @@ def mean_rmse(spark, sf_dir):
     ft = _with_vote(_features(spark, sf_dir)).where(F.col("split") == "test")
     out = mean_score(ft.select("unit", "cfa", clamp01("vote").alias("prediction")), "unit")
     return rounded(out, ["mean_rmse"])
+
+
+@register("submission_order", with_steps(f"""
+SELECT row AS place, row, student, coalesce(CAST(cfa AS DOUBLE), CAST({(0.25 + 0.5) / 2} AS DOUBLE)) AS label
+FROM test"""))
+def submission_order(spark, sf_dir):
+    """The test file with its labels filled, written in its own order: the place
+    of every line when the parts are read in order of their names."""
+    rows = step_log(spark, sf_dir, with_row=True).where(F.col("split") == "test")
+    vote = soft_vote(("a", "b"), (1.0, 1.0))
+    stand_in = rows.select("row", F.lit(0.25).alias("a"), F.lit(0.5).alias("b")).select(
+        "row", vote.alias("prediction"))
+    filled = fill_labels(rows, stand_in)
+    path = scratch_path(spark, "submission-order")
+    tsv.write_ordered(filled.select(*tsv.FILE_ORDER), path)
+    lines = running_index(tsv.numbered_lines(spark, path), [], ["file", "line"], "place")
+    cell = F.split("value", "\t")
+    label = cell[tsv.FILE_ORDER.index("cfa")].cast("double")
+    return lines.where("place > 1").select(  # the header is the first line of all
+        (F.col("place") - 1).alias("place"), cell[0].cast("bigint").alias("row"),
+        cell[1].alias("student"), F.round(label, 9).alias("label"))

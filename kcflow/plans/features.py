@@ -1,21 +1,19 @@
 """The 14-column feature table shared by training and prediction.
 
-One dimension table per key carries both the key's code and its rate, so
-each key costs one join against the step rows instead of two (rate join +
-code join).  Dimension tables are aggregates of the keys (one row per
-distinct key); AQE broadcasts them when their measured size is small and
-keeps a shuffle join otherwise.
+One dictionary of all keys carries each key's code and its rate (one row per
+distinct key).  The rows meet it by ``operators.lookup``: small keys by
+broadcast, all large ones together in one narrow shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import skills
-from ..operators.sequence import running_index
+from ..operators.lookup import HOT_SHARE, attach, key_counts
+from ..operators.sequence import materialize, running_index
 
 FEATURES = ("personal_cfar", "problem_cfar", "student", "unit", "section", "step", "problem",
             "problem_view", "cfa", "kc_num", "step_cfar", "kc_cfar", "opportunity_mean",
@@ -59,7 +57,7 @@ def step_features(steps: DataFrame, id_cols=("split", "row"),
 
 def key_dimensions(rows: DataFrame, is_train, *, stat: str | dict[str, str] = "rate",
                    fallback: str = "mean") -> DataFrame:
-    """``(feature, value, code, rate)`` for every key column in one pass.
+    """``(feature, value, n_rows, code, rate)`` for every key column in one pass.
 
     The key columns are stacked into (feature, value) pairs and aggregated
     once over all rows: the distinct values are the dictionary (codes come
@@ -70,13 +68,10 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str | dict[str, str] = "r
     only values with a correct training row carry one.
     """
     keys = [k for k, _, _ in KEY_FEATURES]
-    stacked = rows.select(
-        is_train.alias("_kc_train"), (F.col("cfa") == 1).alias("_kc_ok"),
-        F.inline(F.array(*[F.struct(F.lit(k).alias("feature"),
-                                    F.col(k).cast("string").alias("value")) for k in keys])))
-    counts = stacked.groupBy("feature", "value").agg(
-        F.count_if(F.col("_kc_train")).cast("bigint").alias("n"),
-        F.count_if(F.col("_kc_train") & F.col("_kc_ok")).cast("bigint").alias("n_correct"))
+    counts = key_counts(
+        rows, keys, F.count_if(F.col("_kc_train")).cast("bigint").alias("n"),
+        F.count_if(F.col("_kc_train") & F.col("_kc_ok")).cast("bigint").alias("n_correct"),
+        extra=[is_train.alias("_kc_train"), (F.col("cfa") == 1).alias("_kc_ok")])
     has_rate = F.col("value").isNotNull() & (F.col("n") > 0)
     if fallback == "drop":
         has_rate = has_rate & (F.col("n_correct") > 0)
@@ -89,50 +84,47 @@ def key_dimensions(rows: DataFrame, is_train, *, stat: str | dict[str, str] = "r
     value = F.when(F.col("feature").isin(*counted), F.col("n_correct").cast("double")) \
         .otherwise(F.try_divide(F.col("n_correct"), F.col("n")))
     coded = running_index(counts, ["feature"], [F.col("value").asc_nulls_first()], "_kc_pos")
-    dims = coded.select("feature", "value", (F.col("_kc_pos") - 1).cast("bigint").alias("code"),
+    dims = coded.select("feature", "value", "n_rows",
+                        (F.col("_kc_pos") - 1).cast("bigint").alias("code"),
                         F.when(has_rate, value).alias("rate"))
     means = dims.groupBy("feature").agg(F.avg("rate").alias("_kc_mean"))
     dims = dims.join(F.broadcast(means), "feature")
-    dims = dims.select("feature", "value", "code",
+    dims = dims.select("feature", "value", "n_rows", "code",
                        (F.col("rate") if fallback == "drop"
                         else F.coalesce("rate", "_kc_mean")).alias("rate"))
-    # One row per distinct key: small next to the rows, read once per key
-    # column below.  Persisting it keeps the six lookups from re-aggregating
-    # and gives AQE measured sizes for its broadcast choice.  Every value is
-    # unique within its feature, so a lost block is rebuilt with the same
-    # codes.
-    return dims.persist(StorageLevel.MEMORY_AND_DISK)
+    # One row per distinct key: small next to the rows, and read once per lookup
+    # below, so it is written, a folder per feature.
+    return materialize(dims, "dims", ["feature"])
 
 
 def feature_table(steps: DataFrame, *, stat: str | dict[str, str] = "rate",
                   fallback: str = "mean",
                   id_cols=("split", "row"), train_filter=None,
-                  kc_model: tuple[str, str] = ("kc", "opportunity")) -> DataFrame:
+                  kc_model: tuple[str, str] = ("kc", "opportunity"),
+                  hot_share: int = HOT_SHARE) -> DataFrame:
     """Features for every row of ``steps`` (train and test together).
 
     Rates are learnt on the training rows (``split = 'train'`` unless
     ``train_filter`` says otherwise); codes come from all rows.  ``stat`` is
     'rate' or 'count' for all keys, or a dict of key column to either
     (keys left out use the rate).  ``kc_model`` picks one of the table's KC
-    models (``tsv.kc_models``).
+    models (``tsv.kc_models``).  Steps with ``split`` and ``row`` are told apart by
+    them; others are numbered when a key is too large to broadcast.
     """
-    rows = step_features(steps, id_cols, kc_model)
+    row_key = [c for c in ("split", "row") if c in steps.columns]
+    row_key = row_key if len(row_key) == 2 else []
+    rows = step_features(steps, list(dict.fromkeys([*id_cols, *row_key])), kc_model)
     is_train = train_filter if train_filter is not None else F.col("split") == "train"
     dims = key_dimensions(rows, is_train, stat=stat, fallback=fallback)
+    keys = [k for k, _, _ in KEY_FEATURES]
+    rows = attach(rows, dims, keys, ["code", "rate"], row_key, hot_share)
     for key, rate_name, coded in KEY_FEATURES:
-        dim = dims.where(F.col("feature") == key)
-        if rate_name and fallback == "drop":
-            dim = dim.where(F.col("rate").isNotNull())
-        dim = dim.select(F.col("value").alias("_kc_dkey"), F.col("code").alias("_kc_code"),
-                         F.col("rate").alias("_kc_rate"))
-        how = "inner" if (rate_name and fallback == "drop") else "left"
-        rows = rows.join(dim, F.col(key).cast("string").eqNullSafe(F.col("_kc_dkey")), how)
-        new = {}
         if rate_name:
-            new[rate_name] = F.col("_kc_rate")
+            rows = rows.withColumn(rate_name, F.col(f"_kc_{key}_rate"))
+            if fallback == "drop":
+                rows = rows.where(F.col(rate_name).isNotNull())
         if coded:
-            new[key] = F.col("_kc_code")
-        rows = rows.withColumns(new).drop("_kc_dkey", "_kc_code", "_kc_rate")
+            rows = rows.withColumn(key, F.col(f"_kc_{key}_code"))
     return rows.select(*id_cols, *FEATURES)
 
 

@@ -66,11 +66,14 @@ def test_step_rollup_small(spark):
 
 
 def test_opportunity_counts_brute_force(spark):
-    rows = [("A", 1, "x~~y"), ("A", 2, "y"), ("A", 3, "x~~z"), ("B", 1, "x"), ("A", 4, None)]
+    rows = [("A", 1, "x~~y"), ("A", 2, "y"), ("A", 3, "x~~z"), ("B", 1, "x"), ("A", 4, None),
+            ("C", 1, "a~~a"), ("C", 2, "b~~a~~b"), ("C", 3, ""), ("C", 4, "a~~b")]
     df = spark.createDataFrame(rows, "student string, t long, kc string")
     got = {(r["student"], r["t"]): r["o"] for r in
            st.opportunity_counts(df, ["student", "t"], ["t"], out="o").collect()}
-    assert got == {("A", 1): "1~~1", ("A", 2): "2", ("A", 3): "2~~1", ("B", 1): "1"}
+    assert got == {("A", 1): "1~~1", ("A", 2): "2", ("A", 3): "2~~1", ("B", 1): "1",
+                   # a KC that a step lists twice counts once
+                   ("C", 1): "1~~1", ("C", 2): "1~~2~~1", ("C", 4): "3~~2"}
 
 
 def test_holdout_split_parts(spark):
