@@ -43,9 +43,10 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.metrics import rmse, squared_error, weighted_median
+from ..functions.metrics import rmse, weighted_median
 from ..operators.sequence import materialize
 from .features import FEATURES
+from .search import search
 
 LABEL = "cfa"
 INPUTS = tuple(c for c in FEATURES if c != LABEL)
@@ -295,19 +296,24 @@ def split_holdout(train: DataFrame, id_col: str = "row") -> tuple[DataFrame, Dat
 
 
 def leaderboard(train: DataFrame, test: DataFrame | None, methods: Sequence[str],
-                max_fit_rows: int = MAX_FIT_ROWS, concurrent: int = CONCURRENT_FITS) -> DataFrame:
+                max_fit_rows: int = MAX_FIT_ROWS, concurrent: int = CONCURRENT_FITS,
+                baseline: DataFrame | None = None) -> DataFrame:
     """RMSE of each method on labelled held-out rows: (model, n, rmse, rmse_mean).
 
-    ``rmse_mean`` is the score of predicting the mean label.  With ``test``
-    None the training rows are split 70 / 30 by hash first.  The fits share
+    ``rmse_mean`` is the score of predicting the mean label of all labelled
+    ``baseline`` rows (``train`` if not given: when that is a bounded sample, pass
+    all training rows).  With ``test`` None the training rows are split
+    70 / 30 by hash first, the baseline's with them.  The fits share
     one persisted table and run ``concurrent`` at a time; the vote reuses the
     forest and the booster.
     """
     if test is None:
         train, test = split_holdout(train)
+        baseline = None if baseline is None else split_holdout(baseline)[0]
     rows = fit_rows(train, max_fit_rows)
     labelled = test.where(F.col(LABEL).isNotNull() & ~F.isnan(LABEL))
-    mean = rows.agg(F.avg(LABEL)).first()[0]
+    known = train if baseline is None else baseline
+    mean = known.where(F.col(LABEL).isNotNull() & ~F.isnan(LABEL)).agg(F.avg(LABEL)).first()[0]
     try:
         alone = [m for m in methods if m != "Vote"]
         with ThreadPoolExecutor(max_workers=concurrent) as pool:
@@ -339,37 +345,15 @@ CV_FOLDS = 5
 
 
 def cross_validate(train: DataFrame, grid: dict[str, Iterable], base: dict | None = None,
-                   folds: int = CV_FOLDS, parallelism: int = CONCURRENT_FITS) -> DataFrame:
-    """Cross-validated grid search over the boosted classifier.
+                   folds: int = CV_FOLDS, parallelism: int = CONCURRENT_FITS,
+                   scored: DataFrame | None = None, eta: float | None = None) -> DataFrame:
+    """Cross-validated grid search over the boosted classifier (``search.search``).
 
     ``grid`` maps parameters of the booster to their values (``XGB_GRID`` and
-    ``LGBM_GRID`` are the reference's ranges, many thousands of cells);
-    ``base`` holds the settings that stay fixed.  One row per cell: the
-    parameters and ``mse``, the mean over the folds of the squared error of
-    the predicted probability (lower is better).  Folds come from a hash of
-    the row id; cells of a fold run ``parallelism`` at a time.
+    ``LGBM_GRID`` are the reference's ranges, many thousands of cells); ``base``
+    holds the settings that stay fixed.  ``train`` holds the rows to fit on,
+    ``scored`` those whose errors count (all labelled training rows; ``train`` if
+    not given).  ``eta`` turns the full product into successive halving.
     """
-    names = list(grid)
-    cells = [{}]
-    for name in names:
-        cells = [{**c, name: v} for c in cells for v in grid[name]]
-    fold = F.pmod(F.xxhash64("row"), F.lit(folds))
-    sums = [0.0] * len(cells)
-    for k in range(folds):
-        inside = train.where(fold != k).persist(StorageLevel.MEMORY_AND_DISK)
-        outside = train.where(fold == k).persist(StorageLevel.MEMORY_AND_DISK)
-
-        def error(cell: dict) -> float:
-            model = _classifier(lambda: GBTClassifier(seed=SEED, **{**(base or {}), **cell}))(inside)
-            return model.predict(outside).agg(
-                F.avg(squared_error("prediction", LABEL))).first()[0]  # noqa: B023
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            for i, e in enumerate(pool.map(error, cells)):
-                sums[i] += e
-        inside.unpersist()
-        outside.unpersist()
-    return train.sparkSession.createDataFrame(
-        [(*[float(c[n]) for n in names], total / folds) for c, total in zip(cells, sums,
-                                                                           strict=True)],
-        ", ".join(f"{n} double" for n in names) + ", mse double")
+    return search(train, scored if scored is not None else train, grid, base, folds, eta,
+                  parallelism, SEED, LABEL)

@@ -112,5 +112,57 @@ def test_large_data_mode_split(frames):
 
 def test_grid_search_over_the_classifier(frames):
     rows = M.cross_validate(frames.fit, {"maxIter": (2, 4), "maxDepth": (2,)}, folds=2).collect()
-    assert [(r["maxIter"], r["maxDepth"]) for r in rows] == [(2.0, 2.0), (4.0, 2.0)]
-    assert all(0 < r["mse"] < 0.3 for r in rows)
+    assert sorted((r["maxIter"], r["maxDepth"]) for r in rows) == [(2, 2.0), (4, 2.0)]
+    assert all(0 < r["mse"] < 0.3 and r["rmse"] == pytest.approx(r["mse"] ** 0.5) for r in rows)
+
+
+def test_staged_scores_equal_single_fits(frames):
+    """One fit of the largest round count scores like a fit of each smaller one."""
+    from pyspark.ml.classification import GBTClassifier
+
+    from kcflow.functions.metrics import squared_error
+    from kcflow.plans.search import staged_errors
+
+    def fitted(rounds):
+        return GBTClassifier(labelCol="cfa", maxIter=rounds, maxDepth=3, stepSize=0.3,
+                             subsamplingRate=0.8, seed=33).fit(frames.fit)
+
+    rows = frames.train.where("cfa IS NOT NULL")
+    staged = staged_errors(fitted(5), rows, [1, 3, 5])
+    for (n, e), rounds in zip(staged, (1, 3, 5)):
+        own = fitted(rounds).transform(rows).select(
+            "cfa", M.prob_one().alias("p")).agg(
+                F.count("*"), F.sum(squared_error("p", "cfa"))).first()
+        assert n == own[0] and e == pytest.approx(own[1])
+
+
+def test_halving_ends_with_the_best_of_the_full_search(frames):
+    from kcflow.plans.search import budgets
+
+    assert budgets((80, 100, 120, 160), 4, 2) == [80, 160]
+    assert budgets((2, 4, 8), 8, 2) == [2, 4, 8] and budgets((2, 4), 9, None) == [4]
+    grid = {"maxIter": (2, 4, 8), "maxDepth": (1, 4), "stepSize": (0.01, 0.4)}
+    full = M.cross_validate(frames.fit, grid, folds=2, scored=frames.train).collect()
+    halved = M.cross_validate(frames.fit, grid, folds=2, scored=frames.train, eta=2).collect()
+    assert len(full) == 12 and all(r.survived and r.budget == 8 for r in full)
+    labelled = frames.train.where("cfa IS NOT NULL").count()
+    assert {r.n for r in full} == {labelled}
+    score = {(r.maxDepth, r.stepSize, r.maxIter): r.mse for r in full}
+    assert all(r.mse == pytest.approx(score[r.maxDepth, r.stepSize, r.maxIter]) for r in halved)
+    last = [r for r in halved if r.survived]
+    assert len({(r.maxDepth, r.stepSize) for r in last}) == 1 and {r.maxIter for r in last} == {2, 4, 8}
+    best = min(score, key=score.get)
+    assert (last[0].maxDepth, last[0].stepSize) == best[:2]
+
+
+def test_scores_cover_rows_outside_the_fit_sample(features):
+    data = M.model_frames(features, max_fit_rows=500)
+    rows = M.cross_validate(data.fit, {"maxIter": (2,)}, folds=2, scored=data.train).collect()
+    assert data.fit.count() < 700
+    assert rows[0]["n"] == data.train.where("cfa IS NOT NULL").count() > 2000
+    board = M.leaderboard(data.fit, data.test, ["BasicLogistic"], baseline=data.train).first()
+    mean = data.train.agg(F.avg("cfa")).first()[0]
+    want = data.test.where("cfa IS NOT NULL").agg(
+        F.sqrt(F.avg(F.pow(F.col("cfa") - mean, 2)))).first()[0]
+    assert board["rmse_mean"] == pytest.approx(want)
+    data.release()
