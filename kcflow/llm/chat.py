@@ -59,8 +59,9 @@ def maximal_conversations(numbered: DataFrame) -> DataFrame:
     """conv and n_turns of the conversations that no other begins with or equals."""
     hashed = numbered.select(
         "conv", "at", F.floor(F.col("at") / BLOCK_TURNS).alias("block"),
-        F.xxhash64("at", "role", "text").alias("h1"),
-        F.xxhash64("text", "role", "at").alias("h2"))
+        # a hash skips nulls, so they are named
+        F.xxhash64("at", F.col("role").isNull(), "role", F.col("text").isNull(), "text").alias("h1"),
+        F.xxhash64("text", F.col("text").isNull(), "role", F.col("role").isNull(), "at").alias("h2"))
     in_block = Window.partitionBy("conv", "block").orderBy("at")
 
     def running(h: str, over) -> list[Column]:

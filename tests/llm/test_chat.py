@@ -34,6 +34,7 @@ def test_snapshots(worker_path, monkeypatch, block):
     rows = turns((1, talk(2)), (2, talk(4)), (3, talk(9)), (4, talk(9)), (5, talk(9, "u")),
                  (6, [(0, "user", None), (0, None, "x"), (None, "user", "first")]),
                  (7, [(10 + t, r, x) for t, r, x in talk(3)]), (None, talk(1, "v")),
+                 (10, [(0, "user", None), (1, "a", "b")]), (11, [(0, None, "user"), (1, "a", "b")]),
                  (8, talk(1, "v") + talk(1, "v")), (9, [(0, "user", "")]))
     df = worker_path.createDataFrame(rows, SCHEMA).repartition(3)
     got = {}
