@@ -2,8 +2,9 @@
 
 The file is the JSON of the `tokenizers` library.  Its vocabulary is read
 into `tiktoken`, which gives the same ids at several times the speed: in a
-byte-level BPE of this kind a token's id is also the rank of its merge.
-Both are compared in the tests.
+byte-level BPE of this kind a token's id is also the rank of its merge.  As
+there, the string of an added token of the file is that token wherever it
+stands in a text.  Both are compared in the tests.
 """
 
 from __future__ import annotations
@@ -38,11 +39,14 @@ class Encoder:
         if model["type"] != "BPE":
             raise ValueError(f"{path} holds no byte-level BPE")
         byte = _byte_of_char()
-        added = {t["content"] for t in content.get("added_tokens", [])}
+        added = {t["content"]: t["id"] for t in content.get("added_tokens", [])}
+        if any(t[k] for t in content.get("added_tokens", [])
+               for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path} has added tokens that take more than their own string")
         ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()
                  if token not in added}
         self.encoding = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks,
-                                          special_tokens={})
+                                          special_tokens=added)
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -51,5 +55,5 @@ class Encoder:
         return cls._by_path[path]
 
     def encode(self, text: str) -> np.ndarray:
-        """The ids as uint32; strings of special tokens are ordinary text."""
-        return self.encoding.encode_to_numpy(text, disallowed_special=())
+        """The ids as uint32."""
+        return self.encoding.encode_to_numpy(text, allowed_special="all")

@@ -16,21 +16,24 @@ PATH = P.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def reference():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.text(max_size=80), st.text(" \n\tab'é1.<|>", max_size=60),
-                 st.text("the end <|endoftext|> 's　\u0085 ", max_size=60)))
+                 st.text("the end <|endoftext|> 's　\u0085 ", max_size=60),
+                 st.lists(st.sampled_from(["<|endoftext|>", " ", "a", "<|endoftext", "|>", "é\n"]),
+                          max_size=9).map("".join)))
 def test_same_ids(text):
     t = Tokenizer.from_file(PATH) if not hasattr(test_same_ids, "t") else test_same_ids.t
-    t.encode_special_tokens = True
     test_same_ids.t = t
     assert Encoder.at(PATH).encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_added_token_in_a_text():
+    assert Encoder.at(PATH).encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 50), max_size=40))
 def test_plan(counts):
