@@ -47,7 +47,7 @@ RADIUS = 24
 #: Item shingles that are broadcast at most (24 bytes each).
 MAX_BROADCAST = 1_000_000
 
-_LANES = 0x0001000100010001  # bits b, b + 16, b + 32, b + 48
+_LANES = 0x0000000100000001  # bits b and b + 32, with room for 2^31 shingles
 
 
 def words(text: Column) -> Column:
@@ -67,10 +67,10 @@ def shingles(word: Column, k: int) -> Column:
 def fingerprints(exploded: DataFrame, key: list[str]) -> DataFrame:
     """`key`, n and the 64-bit SimHash of rows (key, h)."""
     lanes = exploded.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *[
-        F.sum(F.shiftrightunsigned("h", b).bitwiseAND(_LANES)).alias(f"s{b}") for b in range(16)])
-    bits = [F.when(2 * F.shiftright(f"s{b}", 16 * j).bitwiseAND(0xFFFF) > F.col("n"),
-                   F.shiftleft(F.lit(1).cast("long"), b + 16 * j)).otherwise(F.lit(0).cast("long"))
-            for b in range(16) for j in range(4)]
+        F.sum(F.shiftrightunsigned("h", b).bitwiseAND(_LANES)).alias(f"s{b}") for b in range(32)])
+    bits = [F.when(2 * F.shiftright(f"s{b}", 32 * j).bitwiseAND(0xFFFFFFFF) > F.col("n"),
+                   F.shiftleft(F.lit(1).cast("long"), b + 32 * j)).otherwise(F.lit(0).cast("long"))
+            for b in range(32) for j in range(2)]
     return lanes.select(*key, "n", reduce(lambda x, y: x.bitwiseOR(y), bits).alias("mark"))
 
 
@@ -79,7 +79,8 @@ def blocks(mark: str, radius: int) -> Column:
     edges = [64 * i // (radius + 1) for i in range(radius + 2)]
     return F.array(*[F.struct(
         F.lit(i).alias("block"),
-        F.shiftrightunsigned(mark, lo).bitwiseAND((1 << (hi - lo)) - 1).alias("bits"))
+        (F.shiftrightunsigned(mark, lo).bitwiseAND((1 << (hi - lo)) - 1) if hi - lo < 63
+         else F.col(mark)).alias("bits"))
         for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True))])
 
 

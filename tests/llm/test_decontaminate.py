@@ -105,3 +105,12 @@ def test_all_windows(worker_path):
                 assert abs(scores[rows[i, j].start] - best) < 1e-9
     assert set(rows) == want and (0, 1) in want
     assert rows[0, 1].start == 60  # no shared shingle has its place in the item here
+
+
+def test_very_long_item(worker_path):
+    """More than 2^16 words: the counters of a fingerprint hold them."""
+    item = prose(77, 70000, 70000)
+    docs = worker_path.createDataFrame(
+        doc_rows([(1, "before " + item + " after", "en"), (2, prose(78, 300), "en")]), DOC_SCHEMA)
+    rows = found(docs, [(1, item)])
+    assert set(rows) == {(1, 1)} and rows[1, 1].similarity == 1.0 and rows[1, 1].start == 1
