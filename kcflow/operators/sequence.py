@@ -146,3 +146,36 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         a, b = F.col(f"_kc_a{i}"), F.coalesce(F.col(f"_kc_b{i}"), F.col(f"_kc_a{i}"))
         outs.append((a + (h - F.floor(h)) * (b - a)).alias(name))
     return picked.select(*group_cols, *outs)
+
+
+def systematic_counts(ranged: DataFrame, weight: str, draws: int, out: str,
+                      start: float = 0.5) -> DataFrame:
+    """How often each row is drawn by systematic sampling with its weight.
+
+    ``ranged`` is a table of ``sliced`` (its order is the order of the draws).  The
+    weights are laid end to end on a line of length ``draws``; a row is drawn for
+    each of the points start, start + 1, ... in its piece, so its count is its
+    expected number rounded up or down.  Running sums are taken inside the
+    slices; there is one row per slice above them (a bound, so broadcast).
+    """
+    w = F.coalesce(F.col(weight).cast("double"), F.lit(0.0))
+    inside = Window.partitionBy(_PID).orderBy(_MID).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    slices = ranged.groupBy(_PID).agg(F.sum(w).alias(_N))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    offsets = slices.select(F.col(_PID).alias("_kc_pid2"),
+                            F.coalesce(F.sum(_N).over(before), F.lit(0.0)).alias(_OFF),
+                            F.sum(_N).over(everything).alias("_kc_all"))
+    placed = ranged.join(F.broadcast(offsets), F.col(_PID) == F.col("_kc_pid2")).withColumn(
+        "_kc_end", F.sum(w).over(inside) + F.col(_OFF))
+
+    def points(end: Column) -> Column:
+        """Points before a place on the line of weights."""
+        return F.ceil(F.try_divide(end * draws, F.col("_kc_all")) - start)
+
+    # the end of a row is the start of the next one, to the last bit
+    begin = F.coalesce(F.lag("_kc_end").over(Window.partitionBy(_PID).orderBy(_MID)), F.col(_OFF))
+    return placed.withColumn(out, F.coalesce(
+        points(F.col("_kc_end")) - points(begin), F.lit(0)).cast("bigint")).drop(
+            "_kc_pid2", _OFF, "_kc_all", "_kc_end")

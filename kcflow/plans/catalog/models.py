@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...functions.metrics import soft_vote
+from ...operators.sequence import sliced, systematic_counts
 from ...session import scratch_path
 from ...sources.fixtures import step_log
 from .. import models as M
@@ -148,6 +149,26 @@ def complete_rows(spark, sf_dir):
     return kept.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+# Weights of the resampled rows, from the row number: whole numbers, so that their sums are exact.
+RESAMPLE_WEIGHT, RESAMPLE_START = "1 + row % 7 * (row % 3)", 0.25
+
+
+@register("weighted_resample", with_steps(f"""
+SELECT row, w, CAST(ceil(upto * n / total - {RESAMPLE_START})
+                    - ceil((upto - w) * n / total - {RESAMPLE_START}) AS BIGINT) AS drawn
+FROM (SELECT row, CAST({RESAMPLE_WEIGHT} AS DOUBLE) AS w,
+             sum(CAST({RESAMPLE_WEIGHT} AS DOUBLE)) OVER (ORDER BY row) AS upto,
+             sum(CAST({RESAMPLE_WEIGHT} AS DOUBLE)) OVER () AS total, count(*) OVER () AS n
+      FROM train)"""))
+def weighted_resample(spark, sf_dir):
+    """How often every training row is drawn by its weight, as many draws as rows."""
+    rows = step_log(spark, sf_dir, with_row=True).where(F.col("split") == "train").select(
+        "row", F.expr(RESAMPLE_WEIGHT).cast("double").alias("w"))
+    ranged = sliced(rows, [F.col("row")])
+    drawn = systematic_counts(ranged, "w", ranged.count(), "drawn", RESAMPLE_START)
+    return drawn.select("row", "w", "drawn")
+
+
 # One boosting round on a stand-in tree: the mean of two rates is its prediction.
 ROUND_ROWS = "split = 'train' AND cfa IS NOT NULL"
 

@@ -166,3 +166,18 @@ def test_scores_cover_rows_outside_the_fit_sample(features):
         F.sqrt(F.avg(F.pow(F.col("cfa") - mean, 2)))).first()[0]
     assert board["rmse_mean"] == pytest.approx(want)
     data.release()
+
+
+def test_resampled_and_weighted_boosting(frames):
+    """Both forms beat the constant, are the same on every run, and come close."""
+    rows = frames.test.where("cfa IS NOT NULL")
+
+    def error(**how):
+        pred = M.fit_adaboost(frames.fit, rounds=6, **how).predict(rows)
+        return pred.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("cfa"), 2)))).first()[0]
+
+    drawn, weighted = error(resample=True), error()
+    p = rows.agg(F.avg("cfa")).first()[0]
+    constant = (p * (1 - p)) ** 0.5
+    assert drawn == pytest.approx(error(resample=True)) and drawn < constant and weighted < constant
+    assert abs(drawn - weighted) < 0.05

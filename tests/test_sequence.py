@@ -54,3 +54,29 @@ def test_quantiles_skip_nulls(spark):
     df = spark.createDataFrame([(1, 1.0), (1, None), (1, 3.0), (2, None)], "k int, x double")
     got = {r["k"]: r["m"] for r in exact_quantiles(df, "x", [0.5], ["k"], names=["m"]).collect()}
     assert got == {1: 2.0}
+
+
+def test_systematic_counts_equal_plain_draws(spark):
+    """Hot weights, zero and null weights, against draws one by one."""
+    import bisect
+    import itertools
+
+    from kcflow.operators.sequence import sliced, systematic_counts
+
+    n = 3000
+    weights = [0.0 if i % 11 == 0 else None if i % 13 == 0 else 500.0 if i == 77 else 1 + i % 5
+               for i in range(n)]
+    df = spark.createDataFrame([(i, w and float(w)) for i, w in enumerate(weights)],
+                               "id long, w double").repartition(5)
+    ranged = sliced(df, [F.col("id")], 6)
+    got = {r.id: r.drawn for r in systematic_counts(ranged, "w", n, "drawn", 0.3).collect()}
+    ends = list(itertools.accumulate(w or 0.0 for w in weights))
+    want = dict.fromkeys(range(n), 0)
+    for k in range(n):
+        want[bisect.bisect_right(ends, (0.3 + k) * ends[-1] / n)] += 1
+    assert got == want and sum(got.values()) == n
+    total = ends[-1]
+    for i, w in enumerate(weights):
+        assert abs(got[i] - n * (w or 0.0) / total) < 1
+    none = systematic_counts(sliced(df.where("false"), [F.col("id")], 2), "w", 0, "drawn")
+    assert none.collect() == []
