@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ...functions import skills
 from ...operators.rates import add_rate, correct_counts, stacked_counts
 from ...operators.sequence import materialize
+from ...session import scratch_path
+from ...sources import rate_store
 from ...sources.fixtures import step_log
 from ..oracle import with_steps
 from ..registry import register
@@ -164,3 +166,30 @@ def opportunity_stats(spark, sf_dir):
 def kc_length(spark, sf_dir):
     sl = step_log(spark, sf_dir, with_view=False)
     return sl.select("kc", skills.kc_length("kc").alias("kc_length"))
+
+
+# The query's training files: the rows by row number, in batches.
+BATCHES = 3
+_stacked_sql = " UNION ALL ".join(
+    f"SELECT '{k}' AS feature, {k} AS value, row % {BATCHES} AS batch, cfa FROM key_rows "
+    "WHERE split = 'train'" for k in RATE_KEYS)
+
+
+@register("rates_merged", with_steps("""
+SELECT feature, value, n, n_correct, round(n_correct / n, 9) AS rate,
+       row_number() OVER (PARTITION BY feature ORDER BY first_batch, value NULLS FIRST) - 1 AS code
+FROM (SELECT feature, value, count(*) AS n, count(*) FILTER (WHERE cfa = 1) AS n_correct,
+             min(batch) AS first_batch FROM stacked GROUP BY feature, value)""",
+                                     KEY_ROWS_SQL, f"\nstacked AS ({_stacked_sql})"))
+def rates_merged(spark, sf_dir):
+    """Counts, rates and codes of all keys after three batches of training files were
+    merged into the store one after the other."""
+    files, path = scratch_path(spark, "training-files"), scratch_path(spark, "rate-store")
+    train_of(key_rows(spark, sf_dir, with_row=True)).select(
+        "cfa", *RATE_KEYS, (F.col("row") % BATCHES).alias("batch")).write.partitionBy(
+            "batch").parquet(files)
+    for b in range(BATCHES):
+        rate_store.update(path, spark.read.parquet(f"{files}/batch={b}"), f"batch={b}",
+                          list(RATE_KEYS))
+    table = rate_store.load(spark, path).withColumn("rate", F.col("n_correct") / F.col("n"))
+    return rounded(table, ["rate"])
