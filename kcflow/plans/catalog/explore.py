@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import explore
+from ...session import scratch_path
+from ...sources import sketch_store
 from ...sources.fixtures import step_log
 from ..oracle import with_steps
 from ..registry import register
@@ -36,6 +38,39 @@ def distinct_entities(spark, sf_dir):
     return explore.distinct_counts(_train(spark, sf_dir), ["student", "problem", "step", "kc"])
 
 
+SKETCH_COLUMNS = ("student", "problem", "step", "kc")
+SKETCH_PARTS = 4
+
+_exact_sql = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", part, CAST(count(DISTINCT {c}) AS BIGINT) AS n_exact, "
+    f"CAST(count({c}) AS BIGINT) AS n FROM parted GROUP BY GROUPING SETS ((part), ())"
+    for c in SKETCH_COLUMNS)
+
+
+@register("distinct_sketches", with_steps(
+    'SELECT coalesce(part, \'all\') AS part, "column", n, n_exact, TRUE AS within_error '
+    f"FROM ({_exact_sql})", f"""
+parted AS (SELECT *, CAST("row" % {SKETCH_PARTS} AS VARCHAR) AS part FROM train)"""))
+def distinct_sketches(spark, sf_dir):
+    """Distinct counts per file and over all files from stored sketches, each held
+    against the exact count and the stated error."""
+    path = scratch_path(spark, "sketches")
+    rows = train_of(step_log(spark, sf_dir, with_row=True, with_view=False)).select(
+        *SKETCH_COLUMNS, (F.col("row") % SKETCH_PARTS).cast("string").alias("part"))
+    for k in range(SKETCH_PARTS):  # files that arrive one after the other
+        sketch_store.add(path, rows.where(F.col("part") == str(k)), SKETCH_COLUMNS, "part")
+    stored = sketch_store.load(spark, path)
+    all_parts = stored.withColumn("part", F.lit("all"))
+    estimated = sketch_store.counts(stored.unionByName(all_parts), ["part"])
+    totals = stored.unionByName(all_parts).groupBy("part", "column").agg(F.sum("n").alias("n"))
+    exact = rows.unionByName(rows.withColumn("part", F.lit("all"))).groupBy("part").agg(
+        *[F.count_distinct(c).alias(c) for c in SKETCH_COLUMNS]).unpivot(
+            ["part"], list(SKETCH_COLUMNS), "column", "n_exact")
+    return estimated.join(totals, ["part", "column"]).join(exact, ["part", "column"]).select(
+        "part", "column", "n", "n_exact",
+        sketch_store.within(F.col("n_distinct"), F.col("n_exact")).alias("within_error"))
+
+
 @register("describe_duration", with_steps("""
 SELECT CAST(count(correct_dur) AS BIGINT) AS count, round(avg(correct_dur), 6) AS mean,
        round(stddev_samp(correct_dur), 6) AS std, min(correct_dur) AS min,
