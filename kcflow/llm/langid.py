@@ -7,15 +7,19 @@ aggregates, so what is gathered follows the corpus.  Counts of lower orders
 are the numbers of different preceding characters; each order takes one
 absolute discount from its own counts of counts.
 
-The model keeps at most MAX_GRAMS n-grams (the most frequent; the bound is
-a parameter): one sorted array of n-gram hashes and, per language, the
-discounted share of the n-gram and the weight of the order below it.
-Whatever is not kept falls to the order below.
+The model keeps at most MAX_GRAMS n-grams (the bound is a parameter), shared
+fairly among the languages: one with few n-grams keeps them all, the others
+their most frequent ones.  It is one sorted array of n-gram hashes and, per
+language, the discounted share of the n-gram and the weight of the order
+below it.  Whatever is not kept falls to the order below.  Shares, weights
+and hashes are computed in Spark; the driver gets numbers only.
 
 A text gets the language with the lowest cross-entropy per character.  It
 is rejected when that is far above what the learned texts of the language
 show at the same length: the variance is modelled as a + b / n over the
-learned texts, and the limit is a multiple of their REJECT_QUANTILE.
+learned texts, and the limit is a multiple of their REJECT_QUANTILE.  Learned
+texts that are far from the median of their language do not count there:
+labels on junk must not teach the limit to accept it.
 
 Defined results: a null text, or one without a letter, is `und` with score
 0 and rejected; equal cross-entropies go to the first language in order;
@@ -44,6 +48,9 @@ REJECT_QUANTILE = 0.999
 REJECT_FACTOR = 1.5
 #: Least distance of a rejected text, in standard deviations.
 REJECT_LEAST = 6.0
+#: Learned texts beyond so many robust standard deviations (each counted as this much at
+#: least) are noise.
+NOISE, LEAST_SCALE = 8.0, 0.05
 #: Characters after which the score takes the evidence as complete.
 SCORE_CHARS = 32
 #: Words whose scores a worker keeps, and characters of text it takes at once.
@@ -86,7 +93,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
                     by[lang].update(words(text))
                 for lang, c in by.items():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(c)), pa.array(list(c)),
+                        [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()),
                          pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
 
     return (labelled.mapInArrow(count, "lang string, word string, n long")
@@ -106,7 +113,7 @@ def gram_counts(counted: DataFrame, order: int) -> DataFrame:
                         c[marked[end - k:end]] += n
             for lang, c in by.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(c)), pa.array(list(c)),
+                    [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()),
                      pa.array(list(c.values()), pa.int64())], names=["lang", "gram", "n"])
 
     return (counted.mapInArrow(grams, "lang string, gram string, n long")
@@ -134,18 +141,15 @@ class Model:
     """
 
     def __init__(self, langs: list[str], grams: pd.DataFrame, order: int, alphabet: int):
-        """grams: lang, gram, share (0 for contexts only), below (1 if never one)."""
+        """grams: lang, key (hash as a signed long), share (0 for contexts only), below (1 if
+        never one)."""
         self.langs, self.order, self.floor = langs, order, 1.0 / max(1, alphabet)
-        names = sorted(set(grams["gram"]))
-        h = hash_grams(names)
-        by_hash = np.argsort(h, kind="stable")
-        self.keys = h[by_hash]
-        at = {g: i for i, g in enumerate(names[j] for j in by_hash)}
-        self.share = np.zeros((len(names) + 1, len(langs)))
-        self.below = np.ones((len(names) + 1, len(langs)))  # the last row: unknown
+        self.keys, i = np.unique(grams["key"].to_numpy(np.int64).view(np.uint64),
+                                 return_inverse=True)
+        self.share = np.zeros((self.keys.size + 1, len(langs)))
+        self.below = np.ones((self.keys.size + 1, len(langs)))  # the last row: unknown
         lang_at = {x: i for i, x in enumerate(langs)}
-        i = np.array([at[g] for g in grams["gram"]], np.int64)
-        j = np.array([lang_at[x] for x in grams["lang"]], np.int64)
+        j = grams["lang"].map(lang_at).to_numpy(np.int64)
         self.share[i, j] = grams["share"].to_numpy()
         self.below[i, j] = grams["below"].to_numpy()
         #: the empty context, per language
@@ -220,6 +224,7 @@ class Model:
 
 def fit(labelled: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> Model | None:
     """The model of rows (lang, text); None without any word."""
+    spark = labelled.sparkSession
     raw = materialise(gram_counts(word_counts(labelled), order), "grams")
     size = F.length("gram")
     preceded = (raw.where(size > 1).groupBy("lang", F.substring("gram", 2, order).alias("gram"))
@@ -233,40 +238,68 @@ def fit(labelled: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) ->
     # aggregates with one row per language and order, or a fixed number of columns
     discounts = adjusted.groupBy("lang", "k").agg(
         F.count_if(F.col("a") == 1).alias("n1"), F.count_if(F.col("a") == 2).alias("n2"))
-    least = adjusted.agg(*[F.count_if(F.col("n") >= 2**j).alias(f"c{j}") for j in range(40)])
-    sizes = least.first()
-    if not sizes[0]:
+    # one row per language
+    sizes = {r["lang"]: r[1:] for r in adjusted.groupBy("lang").agg(
+        *[F.count_if(F.col("n") >= 2**j).alias(f"c{j}") for j in range(40)]).collect()}
+    if not sizes:
         return None
-    cut = next((2**j for j in range(40) if sizes[j] <= max_grams), 2**40)
+    langs = sorted(sizes)
+    cuts = spark.createDataFrame(list(cut_offs(sizes, max_grams).items()), "lang string, cut long")
     of_context = adjusted.groupBy("lang", F.expr("substring(gram, 1, k - 1)").alias("context")).agg(
         F.sum("a").alias("total"))
     share = F.greatest(F.col("a") - F.col("d"), F.lit(0.0)) / F.col("total")
-    kept = (adjusted.where(F.col("n") >= cut)
-            .withColumn("context", F.expr("substring(gram, 1, k - 1)"))
-            .join(of_context, ["lang", "context"])
-            .join(F.broadcast(discounts.select(  # one row per language and order
-                "lang", "k", F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2")))
-                .otherwise(F.lit(0.5)).alias("d"))), ["lang", "k"])
-            .select("lang", "gram", "context", share.alias("share")).toPandas())
+    kept = materialise(
+        adjusted.join(F.broadcast(cuts), "lang").where(F.col("n") >= F.col("cut"))
+        .withColumn("context", F.expr("substring(gram, 1, k - 1)"))
+        .join(of_context, ["lang", "context"])
+        .join(F.broadcast(discounts.select(  # one row per language and order
+            "lang", "k", F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2")))
+            .otherwise(F.lit(0.5)).alias("d"))), ["lang", "k"])
+        .select("lang", "gram", "context", share.alias("share")), "shares")
     # what a context's kept n-grams leave goes to the order below
-    left = 1.0 - kept.groupby(["lang", "context"])["share"].sum()
-    rows = {(x, g): [s, 1.0] for x, g, s in zip(kept["lang"], kept["gram"], kept["share"],
-                                                strict=True)}
-    root = {}
-    for (x, context), weight in left.items():
-        weight = max(weight, 1e-9)
-        if context == "":
-            root[x] = weight
-        else:
-            rows.setdefault((x, context), [0.0, 1.0])[1] = weight
-    langs = sorted(set(kept["lang"]))
-    frame = pd.DataFrame([(x, g, s, b) for (x, g), (s, b) in sorted(rows.items())],
-                         columns=["lang", "gram", "share", "below"])
-    model = Model(langs, frame, order, len({g[-1] for g in kept["gram"]}))
+    left = kept.groupBy("lang", F.col("context").alias("gram")).agg(
+        F.greatest(1.0 - F.sum("share"), F.lit(1e-9)).alias("below"))
+    nothing = F.lit(None).cast("double")
+    rows = materialise(
+        kept.select("lang", "gram", "share", nothing.alias("below"))
+        .unionByName(left.select("lang", "gram", nothing.alias("share"), "below"))
+        .groupBy("lang", "gram").agg(F.max("share").alias("share"), F.max("below").alias("below"))
+        .select("lang", "gram", F.coalesce("share", F.lit(0.0)).alias("share"),
+                F.coalesce("below", F.lit(1.0)).alias("below")), "model")
+    root = {r["lang"]: r["below"] for r in rows.where("gram = ''").collect()}  # one a language
+    numbers = rows.where("gram != ''").mapInArrow(
+        _keys, "lang string, key long, share double, below double").toPandas()
+    last = kept.agg(F.count_distinct(F.substring("gram", -1, 1))).first()[0]
+    model = Model(langs, numbers, order, last)
     model.root = np.array([root.get(x, 1.0) for x in langs])
     return model
 
 
+def cut_offs(sizes: dict[str, tuple[int, ...]], max_grams: int) -> dict[str, int]:
+    """The count from which a language's n-grams are kept; sizes[lang][j] of them have a
+    count of 2^j or more.
+
+    The smallest languages choose first, each from an equal part of what is left.
+    """
+    cuts, room = {}, max_grams
+    by_size = sorted(sizes, key=lambda x: (sizes[x][0], x))
+    for i, lang in enumerate(by_size):
+        part = room // (len(by_size) - i)
+        j = next((j for j, c in enumerate(sizes[lang]) if c <= part), len(sizes[lang]))
+        cuts[lang] = 2**j
+        room -= sizes[lang][j] if j < len(sizes[lang]) else 0
+    return cuts
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, gram, share, below) with the hash of the n-gram in its place."""
+    for batch in batches:
+        keys = hash_grams(batch.column(1).to_pylist()).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(keys, pa.int64()), batch.column(2), batch.column(3)],
+            names=["lang", "key", "share", "below"])
+
+
 def identify(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text",
              order: int = ORDER, max_grams: int = MAX_GRAMS) -> DataFrame:
     """`row` (the input row as a struct), lang_pred, score (0 to 1), entropy
@@ -304,6 +337,7 @@ def identify(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "te
     scored = materialise(docs.select(packed(docs).alias("row"), learned.alias("learned"),
                                      judged(F.col(f"`{text}`")).alias("j"))
                          .select("row", "learned", "j.*"), "languages")
+    shared.destroy()  # the judgements are written
     shape = limits(scored.where("learned and n_letters > 0"))
     distance = _distance(F.col("entropy"), F.col("n_letters"))
     far = F.coalesce(distance > F.col("most"), F.lit(False))
@@ -317,8 +351,28 @@ def _distance(entropy: Column, n: Column) -> Column:
     return (entropy - F.col("mean")) / F.sqrt(F.col("a") + F.col("b") / n)
 
 
+def without_noise(learned: DataFrame) -> DataFrame:
+    """The learned rows that are near the median of their language.
+
+    The scale at a length n is robust as well: the median deviation, and the median of
+    deviation times sqrt(n) divided by sqrt(n), added as variances.  All of it holds
+    while less than half of a language's learned texts are noise.
+    """
+    middle = learned.groupBy("lang_pred").agg(F.percentile_approx("entropy", 0.5).alias("middle"))
+    off = learned.join(F.broadcast(middle), "lang_pred").withColumn(  # a row per language
+        "off", F.abs(F.col("entropy") - F.col("middle")))
+    usual = off.groupBy("lang_pred").agg(
+        F.greatest(1.4826 * F.percentile_approx("off", 0.5), F.lit(LEAST_SCALE)).alias("long"),
+        (1.4826 * F.percentile_approx(F.col("off") * F.sqrt("n_letters"), 0.5)).alias("short"))
+    scale = F.sqrt(F.col("long") * F.col("long") + F.col("short") * F.col("short")
+                   / F.col("n_letters"))
+    return off.join(F.broadcast(usual), "lang_pred").where(
+        F.col("off") <= NOISE * scale).drop("middle", "off", "long", "short")
+
+
 def limits(learned: DataFrame) -> DataFrame:
     """Per language: mean, a, b and the distance from which texts are rejected."""
+    learned = without_noise(learned)
     mean = learned.groupBy("lang_pred").agg(F.avg("entropy").alias("mean"))
     square = learned.join(F.broadcast(mean), "lang_pred").withColumn(
         "sq", F.pow(F.col("entropy") - F.col("mean"), 2)).withColumn("x", 1 / F.col("n_letters"))
