@@ -257,6 +257,7 @@ def linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     table = materialise(texts.mapInArrow(
         sets, "d long, n long, bits binary, hashes binary"), "sets")
+    wanted.destroy()  # the table is written
 
     @F.pandas_udf("boolean")
     def may(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
@@ -450,6 +451,8 @@ def _groups(rows: DataFrame, percent: int) -> DataFrame:
         .select("token", "d", "n", "pos")
         .repartition(parts, "token").sortWithinPartitions("token", "d")
         .mapInArrow(stars, STAR_SCHEMA), "shared-tokens")
+    chosen.destroy()
+    frequency.destroy()
     fits = (F.least("n", "n_first") * 100 >= F.greatest("n", "n_first") * percent) & (
         (100 + percent) * F.least(F.col("n") - F.col("pos"), F.col("n_first") - F.col("pos_first"))
         >= percent * (F.col("n") + F.col("n_first")))
