@@ -17,7 +17,9 @@ reachable over links.  No link between different texts is missed:
    the same and the next band (sizes beyond 0.75 cannot link), a large band
    in blocks by hash.  A tile gives the pairs of different components whose
    sizes fit and whose sets are long enough after the token: at the first
-   token that two sets share, all they share is still to come.
+   token that two sets share, all they share is still to come.  A pair with
+   an equal token among the EARLIER shared ones before this token is left to
+   that token's group.
 5. Pairs are bounded by signatures before sets are touched: a set's hashes
    are thrown onto a bitmap of at least twice its size, and each bit that
    only one bitmap has stands for a shingle the other set lacks.  What can
@@ -39,7 +41,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kcflow.llm.bloom import contains, filter_bits, once_filter
@@ -59,6 +61,8 @@ SEGMENTS = 64
 BATCH_ROWS = 2000
 #: Sets of a token compared in one task as one tile.
 TILE_ROWS = 20_000
+#: Earlier shared tokens of its set that a tile's row carries.
+EARLIER = 4
 
 
 def _signed(h: int) -> int:
@@ -287,26 +291,30 @@ def linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of different components that may link, per tile.
 
-    Rows are (token, band, i, j, own, block, n, d, pos, label) ordered by tile; `own`
-    tells sets of the tile's band from those of the next one.
+    Rows are (token, band, i, j, own, block, n, d, pos, label, earlier tokens) ordered by
+    tile; `own` tells sets of the tile's band from those of the next one.  Two sets that
+    share an earlier token meet in its tile, where they have more to come than here.
     """
 
-    def compare_few(rows, i, j):
+    def compare_few(rows, token, i, j):
         a, b = [], []
-        for own, block, n, d, pos, label in rows:
+        for own, block, n, d, pos, label, *before in rows:
             if not own or block != i:
                 continue
-            for own_2, block_2, n_2, d_2, pos_2, label_2 in rows:
+            met = {x for x in before if x != token}
+            for own_2, block_2, n_2, d_2, pos_2, label_2, *before_2 in rows:
                 if (label_2 != label and block_2 == j and (not own_2 or i != j or d_2 > d)
                         and 100 * min(n, n_2) >= percent * max(n, n_2)
-                        and (100 + percent) * min(n - pos, n_2 - pos_2) >= percent * (n + n_2)):
+                        and (100 + percent) * min(n - pos, n_2 - pos_2) >= percent * (n + n_2)
+                        and met.isdisjoint(before_2)):
                     a.append(d)
                     b.append(d_2)
         if a:
             yield np.array(a), np.array(b)
 
-    def compare(rows, i, j):
-        own, block, n, d, pos, label = (np.array(c) for c in zip(*rows, strict=True))
+    def compare(rows, token, i, j):
+        own, block, n, d, pos, label, *before = (np.array(c) for c in zip(*rows, strict=True))
+        before = np.stack(before)
         own = own.astype(bool)
         for k in np.flatnonzero(own & (block == i)):
             # its own band once, and the next band
@@ -315,6 +323,8 @@ def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
             lo, hi = np.minimum(n, n[k]), np.maximum(n, n[k])
             rest = np.minimum(n - pos, n[k] - pos[k])
             ok &= (100 * lo >= percent * hi) & ((100 + percent) * rest >= percent * (n + n[k]))
+            for x in before[:, k][before[:, k] != token]:
+                ok &= (before != x).all(axis=0)
             if ok.any():
                 yield np.full(int(ok.sum()), d[k]), d[ok]
 
@@ -326,10 +336,10 @@ def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
                                           names=["a", "b"])
 
-    for (_, _, i, j), rows in _tiles(batches):
+    for (token, _, i, j), rows in _tiles(batches):
         if len({row[5] for row in rows}) < 2:
             continue  # one component
-        for a, b in (compare_few if len(rows) <= 16 else compare)(rows, i, j):
+        for a, b in (compare_few if len(rows) <= 16 else compare)(rows, token, i, j):
             pending.append((a, b))
             size += a.size
             if size >= 200_000:
@@ -352,11 +362,13 @@ def _tiles(batches: Iterator[pa.RecordBatch]):
         yield tile, rows
 
 
-TILE_COLUMNS = ["token", "band", "i", "j", "own", "block", "n", "d", "pos", "label"]
+EARLIER_COLUMNS = [f"before_{k}" for k in range(1, EARLIER + 1)]
+TILE_COLUMNS = ["token", "band", "i", "j", "own", "block", "n", "d", "pos", "label",
+                *EARLIER_COLUMNS]
 
 
 def tiles(labelled: DataFrame, percent: int) -> DataFrame:
-    """Rows (token, n, d, pos, label) dealt to tiles (see the module docstring)."""
+    """Rows (token, n, d, pos, label, earlier tokens) dealt to tiles (see the module docstring)."""
     large = materialise(labelled.groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
                         .where(F.col("rows") > TILE_ROWS).select("token"), "large-groups")
     zero = F.lit(0).cast("long")
@@ -461,7 +473,11 @@ def _groups(rows: DataFrame, percent: int) -> DataFrame:
     first_links = materialise(linked(first_pairs, texts, percent), "links")
 
     label = materialise(components(first_links), "labels")
-    labelled = shared.select("token", "n", "d", "pos").join(
+    # where a set has fewer earlier tokens, the row's own stands for none
+    in_order = Window.partitionBy("d").orderBy("pos")
+    followed = shared.select("token", "n", "d", "pos", *[
+        F.lag("token", k).over(in_order).alias(c) for k, c in enumerate(EARLIER_COLUMNS, 1)])
+    labelled = followed.withColumns({c: F.coalesce(c, "token") for c in EARLIER_COLUMNS}).join(
         label.withColumnRenamed("node", "d"), "d", "left").withColumn(
             "label", F.coalesce("component", "d"))
     order = TILE_COLUMNS[:4]
