@@ -80,3 +80,34 @@ def test_systematic_counts_equal_plain_draws(spark):
         assert abs(got[i] - n * (w or 0.0) / total) < 1
     none = systematic_counts(sliced(df.where("false"), [F.col("id")], 2), "w", 0, "drawn")
     assert none.collect() == []
+
+
+def test_nulls_nans_and_zeros_are_groups_over_many_slices(spark):
+    rows = [(None if i % 5 == 0 else f"g{i % 3}", [None, float("nan"), 0.0, -0.0][i % 4], i)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, x double, id long")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g", "x").orderBy("id")))
+    want = {r["id"]: r["rn"] for r in want.collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for n in (1, 4, 60):
+            got = running_index(df, ["g", "x"], ["id"], "rn", num_partitions=n,
+                                group_count_col="n").collect()
+            assert {r["id"]: r["rn"] for r in got} == want
+            assert all(r["rn"] <= r["n"] for r in got) and sum(r["rn"] == r["n"] for r in got) == 12
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert running_index(df.where("false"), ["g"], ["id"], "rn").count() == 0
+
+
+def test_numbered_rows_are_shuffled_once(skewed):
+    """The offsets are a row per slice, however many groups: no join shuffles the rows again."""
+    conf = skewed.sparkSession.conf
+    before = conf.get("spark.sql.autoBroadcastJoinThreshold")
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = running_index(skewed, ["g"], ["id"], "rn", num_partitions=5)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
