@@ -104,7 +104,7 @@ def feature_table_kc_model(spark, sf_dir):
         "kc_rules": skills.unit_of("hierarchy"),
         "opportunity_rules": F.substring_index("opportunity", "~~", 1)})
     path = scratch_path(spark, "steps-two-models")
-    tsv.write_steps(steps, path)
+    tsv.write_steps(steps, path, compression="gzip")
     read = tsv.read_steps(spark, path)
     ft = feature_table(read, id_cols=("split",), kc_model=tsv.kc_models(read)[1])
     return rounded(ft, RATE_FEATURES)
