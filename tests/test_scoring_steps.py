@@ -86,3 +86,14 @@ def test_holdout_split_parts(spark):
     for (p, t), v in parts.items():
         if p not in test_p:
             assert v == ("train" if t < start else "discard")
+
+
+def test_weighted_median_takes_the_half_once(spark):
+    """The total is no part of the step over the array, or it is summed at every element."""
+    from kcflow.functions.metrics import weighted_median
+
+    df = spark.createDataFrame([(0.1, 0.5, 0.9), (0.7, None, 0.2)], "a double, b double, c double")
+    out = df.select(weighted_median(["a", "b", "c"], [1.0, 2.0, 1.5]).alias("m"))
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.rindex("array_sort") < plan.index("CASE WHEN")
+    assert [r.m for r in out.collect()] == [0.5, 0.2]
