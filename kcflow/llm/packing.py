@@ -13,7 +13,9 @@ whatever the corpus:
 The plan is a list of sequence layouts with the number of sequences of
 each.  A piece finds its place by its rank among the pieces of its length
 (numbered without gathering a length in one task), so no task holds more
-than a block of pieces and the plan covers every piece exactly once.
+than a block of pieces and the plan covers every piece exactly once.  Token
+ids are not numbered with their pieces: a block of full pieces would sort all
+of theirs at once.  They meet the places at the end, dealt evenly by piece.
 
 Defined results: a null or empty text is the end id alone; a null doc_id is
 one document after all others; repeated rows are packed each; an empty
@@ -147,11 +149,14 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str
     """One row per piece: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset and, if asked for, the ids."""
     spark = docs.sparkSession
-    pieces = materialise(tokenised_pieces(docs, tokenizer, capacity, doc_id, text, ids), "pieces")
+    tokenised = tokenised_pieces(docs, tokenizer, capacity, doc_id, text, ids)
+    if ids:  # names a piece in the written table, where whole pieces may be equal
+        tokenised = tokenised.withColumn("at", F.monotonically_increasing_id())
+    pieces = materialise(tokenised, "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(
         F.count(F.lit(1)).alias("n")).collect()}  # `capacity` rows at most
     table = spark.sparkContext.broadcast(places(plan(histogram, capacity)))
-    ranked = gapless(pieces, ["length"], ["d", "piece", "start", "ids_crc32"], "rank",
+    ranked = gapless(pieces.drop("ids"), ["length"], ["d", "piece", "start", "ids_crc32"], "rank",
                      rows=sum(histogram.values()))
 
     @F.pandas_udf("sequence_id long, offset long")
@@ -165,6 +170,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str
             out[of, 1] = rows[at, 2]
         return pd.DataFrame(out, columns=["sequence_id", "offset"])
 
-    return ranked.withColumn("p", placed("length", "rank")).select(
+    found = ranked.withColumn("p", placed("length", "rank"))
+    if ids:
+        found = found.join(pieces.select("at", "ids"), "at")
+    return found.select(
         id_back("d").alias(doc_id), "piece", "start", "length", "ids_crc32",
         "p.sequence_id", "p.offset", *(["ids"] if ids else []))

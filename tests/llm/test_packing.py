@@ -91,5 +91,22 @@ def test_pieces(odd, reference, monkeypatch):
         assert end <= 1024
 
 
+def test_token_ids_are_not_numbered_with_their_pieces(odd, monkeypatch):
+    """A block of full pieces would otherwise sort all of their ids in one task."""
+    seen = []
+
+    def numbered(df, *args, **kw):
+        seen.extend(df.columns)
+        return numbering.gapless(df, *args, **kw)
+
+    monkeypatch.setattr(packing, "gapless", numbered)
+    plain = {tuple(r) for r in pack(odd, PATH).collect()}
+    rows = pack(odd, PATH, ids=True).collect()
+    assert "length" in seen and "ids" not in seen
+    # whole documents repeat, so each piece must meet its own ids once
+    assert len(rows) == pack(odd, PATH).count() and {tuple(r)[:-1] for r in rows} == plain
+
+
 def test_empty_table(none):
     assert pack(none, PATH).collect() == []
+    assert pack(none, PATH, ids=True).collect() == []
