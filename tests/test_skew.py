@@ -89,3 +89,50 @@ def test_scratch_tables_can_be_released(spark):
     assert df.count() == 5 and file_exists(spark, path)
     release_scratch(spark)
     assert not file_exists(spark, path) and file_exists(spark, ensure_checkpoint_dir(spark))
+
+
+def test_step_log_numbers_narrow_rows(spark, monkeypatch):
+    """Columns that a record only asks about, and texts it joins, are not moved by a numbering."""
+    from kcflow.sources import fixtures
+
+    seen = []
+
+    def numbered(df, groups, *args, **kw):
+        seen.append(df.columns)
+        assert groups[0] != "o_custkey"  # rows of a part, with its texts, lie together
+        return running_index(df, groups, *args, **kw)
+
+    monkeypatch.setattr(fixtures, "running_index", numbered)
+    log = fixtures.build_step_log(spark, SF_SMALL)
+    assert len(seen) == 2 and log.count() > 0
+    wide = {"p_name", "p_brand", "p_type", "l_tax", "l_discount", "l_linestatus", "o_orderstatus"}
+    assert not any(wide & set(columns) for columns in seen)
+
+
+def test_flags_of_the_step_log_keep_nulls(spark, tmp_path):
+    """A null tax, discount or status is neither: no start, two KCs, a known label."""
+    from kcflow.sources.fixtures import build_step_log
+
+    day = "timestamp_ntz'2020-01-02 00:00:00'"
+    spark.sql(f"""SELECT 1L AS l_orderkey, 7L AS l_partkey, 3L AS l_suppkey, n AS l_linenumber,
+        5D AS l_quantity, 2000D AS l_extendedprice, discount AS l_discount, tax AS l_tax,
+        status AS l_linestatus, {day} AS l_shipdate
+        FROM VALUES (1, 0.01D, 0.1D, 'F'), (2, null, 0.1D, null), (3, 0.01D, null, 'O'),
+                    (4, 0.01D, 0D, 'O') AS t(n, discount, tax, status)""").write.parquet(
+                        f"{tmp_path}/lineitem.parquet")
+    spark.sql(f"SELECT 1L AS o_orderkey, 2L AS o_custkey, 'P' AS o_orderstatus, {day} AS "
+              "o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 7L AS p_partkey, 'red old' AS p_name, null AS p_brand, 'tin' AS p_type, "
+              "4 AS p_size").selectExpr("* except (p_brand)", "cast(p_brand as string) p_brand") \
+        .write.parquet(f"{tmp_path}/part.parquet")
+    rows = build_step_log(spark, str(tmp_path)).orderBy("l_linenumber").collect()
+    got = [(r.row, r.problem_view, r.hierarchy, r.kc, r.opportunity, r.cfa, r.dur) for r in rows]
+    assert got == [(1, 1, "tin", "red", "5", None, 2.0), (2, 2, "tin", "red~~old", "5~~2", 1, 2.0),
+                   (3, 3, "tin", "red", "5", 1, None), (4, 4, "tin", None, None, 1, None)]
+
+
+def test_written_tables_are_compressed(spark):
+    from kcflow.operators.sequence import materialize
+
+    files = materialize(spark.range(9), "compressed").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
