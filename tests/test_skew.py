@@ -131,6 +131,26 @@ def test_flags_of_the_step_log_keep_nulls(spark, tmp_path):
                    (3, 3, "tin", "red", "5", 1, None), (4, 4, "tin", None, None, 1, None)]
 
 
+def test_renumbering_queries_write_what_they_return(spark, monkeypatch):
+    """The keys of the order, and other columns of the log, are not in the written slices."""
+    from kcflow.operators import sequence
+    from kcflow.plans.catalog import dataset
+
+    seen = []
+
+    def written(df, *args, **kw):
+        seen.append(set(df.columns))
+        return materialize(df, *args, **kw)
+
+    materialize = sequence.materialize
+    dataset.step_log(spark, SF_SMALL)  # prepared before
+    monkeypatch.setattr(sequence, "materialize", written)
+    kept = {"student", "problem", "step", "first_tx", "_kc_pid", "_kc_mid", "_kc_in"}
+    dataset.problem_view(spark, SF_SMALL)
+    dataset.renumber_rows(spark, SF_SMALL)
+    assert seen == [kept, kept | {"split"}]
+
+
 def test_written_tables_are_compressed(spark):
     from kcflow.operators.sequence import materialize
 
