@@ -111,3 +111,20 @@ def test_numbered_rows_are_shuffled_once(skewed):
     finally:
         conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_running_sums_and_whole_groups(spark):
+    from kcflow.operators.sequence import running_sum
+
+    rows = [(None if i % 7 == 0 else i % 3 == 0, i, 1 + i % 5) for i in range(300)]
+    df = spark.createDataFrame(rows, "g boolean, id long, n long").repartition(4)
+    upto = Window.partitionBy("g").orderBy("id")
+    want = {r.id: (r.s, r.p) for r in df.withColumns({
+        "s": F.sum("n").over(upto), "p": F.row_number().over(upto)}).collect()}
+    for parts in (1, 5, 40):
+        got = running_sum(df, ["g"], ["id"], "n", "s", parts).collect()
+        assert {r.id: r.s for r in got} == {i: s for i, (s, _) in want.items()}
+    whole = running_index(df, ["g"], ["id"], "p", keep=["id"], largest=300)
+    assert whole.columns == ["g", "id", "p"]
+    assert {r.id: r.p for r in whole.collect()} == {i: p for i, (_, p) in want.items()}
+    assert "rangepartitioning" not in whole._jdf.queryExecution().executedPlan().toString()

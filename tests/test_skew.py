@@ -156,3 +156,58 @@ def test_written_tables_are_compressed(spark):
 
     files = materialize(spark.range(9), "compressed").inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_step_log_is_numbered_where_it_is_joined(spark, monkeypatch):
+    """No line item is written before the log, and the numbers are those of the slices,
+    which orders or parts beyond a slice still get."""
+    from kcflow.operators import sequence
+    from kcflow.sources import fixtures
+
+    seen = []
+
+    def written(df, *args, **kw):
+        seen.append(set(df.columns))
+        return materialize(df, *args, **kw)
+
+    materialize = sequence.materialize
+    monkeypatch.setattr(sequence, "materialize", written)
+    joined = fixtures.build_step_log(spark, SF_SMALL)
+    assert len(seen) == 1 and not {"l_linenumber", "l_extendedprice"} & seen[0]
+    for most in (0, 6):  # no group is whole; the orders are, the parts are not
+        monkeypatch.setattr(fixtures, "WHOLE_GROUP_ROWS", most)
+        sliced_log = fixtures.build_step_log(spark, SF_SMALL)
+        assert sorted(map(str, sliced_log.collect())) == sorted(map(str, joined.collect()))
+    assert any("l_extendedprice" in columns for columns in seen)
+
+
+def test_step_log_of_repeated_and_missing_keys(spark, tmp_path):
+    """An order or a part that is there twice doubles its rows, and one that is missing
+    takes no number."""
+    from kcflow.sources.fixtures import build_step_log
+
+    day = "timestamp_ntz'2020-01-02 00:00:00'"
+
+    def numbers(name, orders, parts):
+        spark.sql(f"""SELECT o AS l_orderkey, p AS l_partkey, 3L AS l_suppkey, n AS l_linenumber,
+            5D AS l_quantity, 2000D AS l_extendedprice, 0.1D AS l_discount, 0.1D AS l_tax,
+            'O' AS l_linestatus, {day} AS l_shipdate FROM VALUES (1L, 7L, 1), (1L, 8L, 2), (2L, 7L, 1),
+            (null, 7L, 1), (2L, null, 2), (3L, 9L, 1) AS t(o, p, n)""").write.parquet(
+                f"{tmp_path}/{name}/lineitem.parquet")
+        spark.createDataFrame(orders, "o_orderkey long").selectExpr(
+            "o_orderkey", "2L AS o_custkey", "'O' AS o_orderstatus", f"{day} AS o_orderdate") \
+            .write.parquet(f"{tmp_path}/{name}/orders.parquet")
+        spark.createDataFrame(parts, "p_partkey long").selectExpr(
+            "p_partkey", "'red' AS p_name", "'b' AS p_brand", "'tin' AS p_type", "4 AS p_size") \
+            .write.parquet(f"{tmp_path}/{name}/part.parquet")
+        rows = build_step_log(spark, f"{tmp_path}/{name}").collect()
+        return sorted((r.row, r.l_orderkey, r.l_partkey, r.problem_view) for r in rows)
+
+    keys = [(1,), (2,), (3,), (None,)]
+    whole = [(1, 1, 7, 1), (2, 1, 8, 1), (3, 2, 7, 2), (4, 3, 9, 1)]
+    assert numbers("whole", keys, [(7,), (8,), (9,), (None,)]) == whole
+    assert numbers("no_part", keys, [(7,), (9,)]) == [(1, 1, 7, 1), (2, 2, 7, 2), (3, 3, 9, 1)]
+    assert numbers("no_order", keys[:1], [(7,), (8,), (9,)]) == whole[:2]
+    twice = numbers("order_twice", [*keys, (3,)], [(7,), (8,), (9,)])
+    assert twice == [*whole, (5, 3, 9, 2)]
+    assert numbers("part_twice", keys, [(7,), (8,), (9,), (9,)]) == twice
