@@ -98,3 +98,17 @@ def test_codes_agree(no_broadcast):
 def test_empty(no_broadcast):
     steps = hot_steps(no_broadcast).where("false")
     assert feature_table(steps).collect() == []
+
+
+def test_small_keys_are_found_before_rows_are_shuffled(spark):
+    """Rows meet the pieces of the large keys last, with the numbers of the small ones."""
+    rows = spark.range(60).selectExpr("id AS row", "'x' AS split", "concat('a', id) AS a",
+                                      "concat('b', id % 2) AS b")
+    dims = spark.sql("""SELECT 'a' AS feature, concat('a', id) AS value, 1L AS n_rows, id AS code
+        FROM range(60) UNION ALL SELECT 'b', concat('b', id), 30L, id FROM range(2)""")
+    out = attach(rows, dims, ["a", "b"], ["code"], ["split", "row"], limit=200)
+    got = out.where("_kc_a_code = row AND _kc_b_code = row % 2")
+    assert got.count() == 60
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+             if "Join " in x]
+    assert "Inner" in joins[0] and len(joins) > 2
