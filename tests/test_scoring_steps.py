@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from kcflow.functions.metrics import soft_vote, weighted_median
 from kcflow.operators import steps as st
 from kcflow.plans.submission import fill_labels, score
+from tests.conftest import SF_SMALL
 
 
 def _sk_weighted_median(preds, weights):
@@ -97,3 +98,12 @@ def test_weighted_median_takes_the_half_once(spark):
     plan = out._jdf.queryExecution().analyzed().toString()
     assert plan.rindex("array_sort") < plan.index("CASE WHEN")
     assert [r.m for r in out.collect()] == [0.5, 0.2]
+
+
+def test_feature_rows_that_are_read_again_are_written_once(spark):
+    from kcflow.plans.catalog import features, models
+
+    for query, name in ((features.one_hot_sparse, "one-hot-input"),
+                        (models.adaboost_round, "round-errors")):
+        files = query(spark, SF_SMALL).inputFiles()
+        assert files and all(name in f for f in files)
