@@ -114,9 +114,11 @@ def submission_order(spark, sf_dir):
     filled = fill_labels(rows, stand_in)
     path = scratch_path(spark, "submission-order")
     tsv.write_ordered(filled.select(*tsv.FILE_ORDER), path)
-    lines = running_index(tsv.numbered_lines(spark, path), [], ["file", "line"], "place")
     cell = F.split("value", "\t")
-    label = cell[tsv.FILE_ORDER.index("cfa")].cast("double")
+    cells = tsv.numbered_lines(spark, path).select(
+        "file", "line", cell[0].alias("row"), cell[1].alias("student"),
+        cell[tsv.FILE_ORDER.index("cfa")].alias("label"))  # what is returned of a line
+    lines = running_index(cells, [], ["file", "line"], "place", keep=["row", "student", "label"])
     return lines.where("place > 1").select(  # the header is the first line of all
-        (F.col("place") - 1).alias("place"), cell[0].cast("bigint").alias("row"),
-        cell[1].alias("student"), F.round(label, 9).alias("label"))
+        (F.col("place") - 1).alias("place"), F.col("row").cast("bigint").alias("row"), "student",
+        F.round(F.col("label").cast("double"), 9).alias("label"))

@@ -107,3 +107,21 @@ def test_feature_rows_that_are_read_again_are_written_once(spark):
                         (models.adaboost_round, "round-errors")):
         files = query(spark, SF_SMALL).inputFiles()
         assert files and all(name in f for f in files)
+
+
+def test_submission_order_numbers_cells(spark, monkeypatch):
+    """The written slices hold what is returned of a line, not the line."""
+    from kcflow.operators import sequence
+    from kcflow.plans.catalog import scoring
+
+    seen = []
+
+    def written(df, *args, **kw):
+        seen.append(set(df.columns))
+        return materialize(df, *args, **kw)
+
+    materialize = sequence.materialize
+    scoring.step_log(spark, SF_SMALL)  # prepared before
+    monkeypatch.setattr(sequence, "materialize", written)
+    scoring.submission_order(spark, SF_SMALL)
+    assert seen == [{"row", "student", "label", "_kc_pid", "_kc_mid"}]
