@@ -13,6 +13,9 @@ from kcflow.sources.tables import table
 #: The white space of the contracts: space and \t \n \v \f \r.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
+#: Rows of whole texts that go to Python at once.
+BATCH_ROWS = 2000
+
 #: Internal id of a document whose doc_id is null: it ranks after all others.
 LAST_ID = 2**63 - 1
 
@@ -52,7 +55,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int):
+def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS):
     """At most so many rows at once go to Python in the jobs that run inside:
     whole texts make batches large, on both sides."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kcflow.llm.bloom import contains, filter_bits, once_filter
-from kcflow.llm.common import LAST_ID, arrow_batches, id_key, materialise, packed
+from kcflow.llm.common import BATCH_ROWS, LAST_ID, arrow_batches, id_key, materialise, packed
 from kcflow.llm.graph import components
 from kcflow.llm.numbering import gapless
 from kcflow.llm.shingle_sets import by_part
@@ -57,8 +57,6 @@ PERCENT = 75
 BYTES_PER_COUNTER = 64
 MIN_COUNTERS, MAX_COUNTERS = 1 << 16, 1 << 24
 SEGMENTS = 64
-#: Rows that go to Python at once.
-BATCH_ROWS = 2000
 #: Sets of a token compared in one task as one tile.
 TILE_ROWS = 20_000
 #: Earlier shared tokens of its set that a tile's row carries.

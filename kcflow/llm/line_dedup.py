@@ -10,7 +10,10 @@ id only; there all of them stay, and shorter lines always stay.
    these suspects shuffle, with their text.
 3. Per key text, min and max of the ids (combined before the shuffle)
    confirm or clear it exactly and give its first document.
-4. The positions to drop are gathered per document and its lines rebuilt.
+4. The positions to drop are gathered per document and its lines rebuilt, by
+   Spark's own functions.
+
+Python gets a bounded number of whole texts at once.
 
 A key in a third of all documents is one row after map-side combining; the
 join back to its suspects is an inner join that adaptive execution splits.
@@ -25,14 +28,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kcflow.llm.bloom import contains, count_lines, filter_bits, twice_filter
-from kcflow.llm.common import id_key, materialise, packed
+from kcflow.llm.common import arrow_batches, id_key, materialise, packed
 
 MIN_CHARS = 10
 
@@ -71,7 +73,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return np.array(out, np.uint64)
 
     bits = filter_bits(count_lines(rows, "text"))
-    twice = spark.sparkContext.broadcast(twice_filter(hashes, rows.select("text"), bits))
+    with arrow_batches(spark):
+        twice = spark.sparkContext.broadcast(twice_filter(hashes, rows.select("text"), bits))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,8 +97,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  pa.array([keys[j] for j in hit], pa.binary())],
                 names=["d", "version", "at", "key"])
 
-    suspected = materialise(
-        keyed.mapInArrow(suspects, "d long, version long, at int, key binary"), "line-suspects")
+    with arrow_batches(spark):
+        suspected = materialise(
+            keyed.mapInArrow(suspects, "d long, version long, at int, key binary"), "line-suspects")
+    twice.destroy()  # the suspects are written
     # written, so that the join below has an exchange on both sides and can be split
     first = materialise(
         suspected.groupBy("key").agg(F.min("d").alias("first"), F.max("d").alias("last"))
@@ -103,21 +108,16 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     drops = (suspected.join(first, "key").where(F.col("d") > F.col("first"))
              .groupBy("d", "version").agg(F.collect_list("at").alias("drops")))
 
-    @F.pandas_udf("text string, n_lines long, n_dropped long")
-    def cleaned(body: pd.Series, drop: pd.Series) -> pd.DataFrame:
-        out = []
-        for t, gone in zip(body, drop, strict=True):
-            lines = ("" if t is None else t).split("\n")
-            n = len(lines)
-            if gone is None or len(gone) == 0:
-                out.append((t, n, 0))
-                continue
-            away = set(gone.tolist())
-            kept = [x for p, x in enumerate(lines) if p not in away]
-            out.append(("\n".join(kept), n, n - len(kept)))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
-
-    return (rows.withColumn("version", F.xxhash64("text"))
-            .join(drops, ["d", "version"], "left")
-            .select("row", cleaned("text", "drops").alias("c"))
-            .select("row", "c.text", "c.n_lines", "c.n_dropped"))
+    # whole texts stay in Spark here: only positions are looked up
+    lines = rows.select("row", "d", "text", F.xxhash64("text").alias("version"), F.split(
+        F.coalesce("text", F.lit("")), "\n", -1).alias("lines")).join(drops, ["d", "version"], "left")
+    kept = lines.select("row", "text", "lines", "drops", F.array_except(
+        F.sequence(F.lit(0), F.size("lines") - 1), "drops").alias("kept"))
+    whole = F.col("drops").isNull()
+    return kept.select(
+        "row",
+        F.when(whole, F.col("text")).otherwise(F.array_join(F.transform(
+            "kept", lambda at: F.get("lines", at)), "\n")).alias("text"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.when(whole, F.lit(0)).otherwise(F.size("lines") - F.size("kept"))
+        .cast("long").alias("n_dropped"))

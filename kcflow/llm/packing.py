@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kcflow.llm.common import id_back, id_key, materialise
+from kcflow.llm.common import arrow_batches, id_back, id_key, materialise
 from kcflow.llm.numbering import gapless
 from kcflow.llm.tokens import Encoder
 
@@ -152,7 +152,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str
     tokenised = tokenised_pieces(docs, tokenizer, capacity, doc_id, text, ids)
     if ids:  # names a piece in the written table, where whole pieces may be equal
         tokenised = tokenised.withColumn("at", F.monotonically_increasing_id())
-    pieces = materialise(tokenised, "pieces")
+    with arrow_batches(spark):
+        pieces = materialise(tokenised, "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(
         F.count(F.lit(1)).alias("n")).collect()}  # `capacity` rows at most
     table = spark.sparkContext.broadcast(places(plan(histogram, capacity)))

@@ -53,3 +53,28 @@ def test_query_agrees_with_sql(worker_path):
     want = con.sql(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({LINE_DEDUP_SQL})")
     got = op1_line_dedup(worker_path, SF_SMALL)
     assert {tuple(r) for r in got.collect()} == set(want.fetchall())
+
+
+def test_python_gets_few_texts_at_once(spark, monkeypatch, tmp_path):
+    """Whole texts of a long partition go to Python in small batches, and the cleaned
+    texts are not made there at all."""
+    from kcflow.llm import line_dedup
+    from kcflow.llm.common import BATCH_ROWS
+
+    seen = []
+    taken = line_dedup.twice_filter
+
+    def at(hashes, source, bits):
+        seen.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return taken(hashes, source, bits)
+
+    monkeypatch.setattr(line_dedup, "twice_filter", at)
+    rows = [(i, f"a line of many documents\nown line {i} of {i}\n") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = dedup_lines(docs)
+    assert seen and max(seen) <= BATCH_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "pythonUDF" not in plan and "cleaned" not in plan
+    assert result(out) == plain(rows)
