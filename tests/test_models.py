@@ -181,3 +181,28 @@ def test_resampled_and_weighted_boosting(frames):
     constant = (p * (1 - p)) ** 0.5
     assert drawn == pytest.approx(error(resample=True)) and drawn < constant and weighted < constant
     assert abs(drawn - weighted) < 0.05
+
+
+def test_every_row_is_fitted_on(spark):
+    """More rows than the library once sampled: a fit reads them all."""
+    n = 1_100_000
+    rows = spark.range(n).select(
+        F.lit("train").alias("split"), F.col("id").alias("row"),
+        *[(F.col("id") % 7).cast("double").alias(c) for c in M.INPUTS],
+        (F.col("id") % 2).cast("int").alias("cfa"))
+    data = M.model_frames(rows)
+    assert data.fit.count() == n
+    assert M.fit_rows(data.train).count() == n
+    data.release()
+
+
+def test_leaderboard_keeps_the_fit_rows_once(spark, frames):
+    """The kept rows of ``model_frames`` are used as they are and stay the caller's."""
+    def kept():
+        return {int(i) for i in spark.sparkContext._jsc.getPersistentRDDs()}
+
+    assert frames.fit.count() and frames.fit.is_cached
+    before = kept()
+    M.leaderboard(frames.fit, frames.test, ["BasicLogistic"], baseline=frames.train)
+    assert frames.fit.is_cached and before <= kept()
+    assert not frames.fit.storageLevel.useDisk
