@@ -76,6 +76,61 @@ def test_correlation_with_missing_values(spark):
     assert m[("a", "a")] == pytest.approx(1.0)
 
 
+def _pairwise(x, y):
+    both = ~(np.isnan(x) | np.isnan(y))
+    x, y = x[both], y[both]
+    if len(x) < 2 or not np.ptp(x) or not np.ptp(y):
+        return None
+    return float(np.corrcoef(x, y)[0, 1])
+
+
+def test_correlation_of_many_columns_groups_and_parts(spark):
+    """Pairwise over missing values, per group (a null one too), whatever the rows'
+    partitions; constants, also those that are constant only where the other is
+    present, give null; large means do not cost digits."""
+    rng = np.random.default_rng(7)
+    n, k = 400, 12
+    x = rng.normal(size=(n, k)) + np.arange(k) * rng.normal(size=(n, 1))
+    x[:, 1] += 1e6
+    x[:, 2] = 0.1
+    x[rng.random((n, k)) < 0.1] = np.nan
+    x[:, 3] = np.where(np.arange(n) < 100, 0.3, x[:, 3])
+    x[100:, 4] = np.nan
+    x[:, 5], x[:, 6] = np.where(np.arange(n) % 2, x[:, 5], np.nan), np.where(
+        np.arange(n) % 2, np.nan, x[:, 6])
+    g = [("u", "v", None)[i % 3] for i in range(n)]
+    cols = [f"c{i}" for i in range(k)]
+    df = spark.createDataFrame([(g[i], *[None if np.isnan(v) else float(v) for v in x[i]])
+                                for i in range(n)],
+                               "g string, " + ", ".join(f"{c} double" for c in cols))
+    got = explore.correlation_long(df.repartition(7), cols, ["g"]).collect()
+    assert len(got) == 3 * k * k
+    for r in got:
+        here = np.array([v == r.g for v in g])
+        want = _pairwise(x[here, cols.index(r.col_a)], x[here, cols.index(r.col_b)])
+        assert r["corr"] is None if want is None else r["corr"] == pytest.approx(want, abs=1e-9), r
+
+
+def test_correlation_aggregates_once_per_task(spark):
+    """The statistics of all pairs come from one pass over blocks of rows: a plan with
+    three aggregates a pair falls back to row-wise evaluation."""
+    cols = [f"c{i}" for i in range(12)]
+    df = spark.range(10).select(*[(F.col("id") * i).cast("double").alias(c)
+                                  for i, c in enumerate(cols)])
+    plan = explore.correlation_long(df, cols)._jdf.queryExecution().executedPlan().toString()
+    assert "covar_samp" not in plan and "MapInArrow" in plan
+
+
+def test_correlation_of_nan_and_of_no_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0, float("nan")), (2.0, 5.0, 1.0), (3.0, 1.0, 1.0)],
+                               "a double, b double, c double")
+    m = {(r.col_a, r.col_b): r["corr"] for r in explore.correlation_long(df, ["a", "b", "c"]).collect()}
+    assert np.isnan(m["a", "c"]) and np.isnan(m["c", "c"]) and m["a", "b"] == pytest.approx(
+        _pairwise(np.array([1.0, 2, 3]), np.array([2.0, 5, 1])))
+    none = explore.correlation_long(df.where("false"), ["a", "b"]).collect()
+    assert len(none) == 4 and all(r["corr"] is None for r in none)
+
+
 def test_describe_matches_pandas(spark):
     rng = np.random.default_rng(3)
     vals = rng.exponential(18, 500).tolist()
