@@ -156,3 +156,33 @@ def test_feature_table_count_and_drop_forms(edge):
     rows = kept.join(edge.select("row", F.col("student").alias("who")), "row").collect()
     assert sorted((r["split"], r["who"]) for r in rows) == [("test", "A"), ("train", "A")]
     assert all(r["problem_cfar"] == pytest.approx(1 / 3) for r in rows)   # denominators: all rows
+
+
+def test_one_hot_vectors_equal_the_encoder(spark):
+    """The vectors are those of MLlib's encoder and assembler, without a name per slot."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+
+    from kcflow.operators.encoding import one_hot_vectors, vector_indices
+
+    df = spark.range(60_000).select(
+        "id", F.col("id").alias("a"), (F.col("id") % 3).alias("b"),
+        (F.col("id") % 7).cast("int").alias("c")).repartition(5)
+    cols = ["b", "a", "c"]
+    got = one_hot_vectors(df, cols)
+    assert len(got._jdf.schema().json()) < 2000 and got.columns == [*df.columns, "one_hot"]
+    hot = OneHotEncoder(inputCols=cols, outputCols=["x", "y", "z"], dropLast=False)
+    few = df.where("id < 50")
+    want = VectorAssembler(inputCols=["x", "y", "z"], outputCol="one_hot").transform(
+        hot.fit(df).transform(few))
+    ours = {r.id: r.one_hot for r in got.where("id < 50").collect()}
+    assert ours == {r.id: r.one_hot for r in want.collect()} and ours[49].size == 60_010
+    places = got.where("id = 49").select(vector_indices("one_hot").alias("i")).first().i
+    assert list(places) == [1, 3 + 49, 3 + 60_000]
+
+
+def test_one_hot_vectors_need_codes(spark):
+    from kcflow.operators.encoding import one_hot_vectors
+
+    for bad in (None, -1.0, 0.5):
+        with pytest.raises(ValueError, match="1 rows"):
+            one_hot_vectors(spark.createDataFrame([(0.0,), (bad,)], "a double"), ["a"])
