@@ -2,6 +2,9 @@
 gives the same score, incomplete rows neither stop a fit nor stay unpredicted,
 known labels survive the export."""
 
+import math
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +209,43 @@ def test_leaderboard_keeps_the_fit_rows_once(spark, frames):
     M.leaderboard(frames.fit, frames.test, ["BasicLogistic"], baseline=frames.train)
     assert frames.fit.is_cached and before <= kept()
     assert not frames.fit.storageLevel.useDisk
+
+
+def test_boosted_trees_in_blocks_equal_the_columns(spark, frames):
+    """The trees' outputs and their weighted median are those of MLlib's columns, and
+    the weights of a round those of the step-by-step columns."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from kcflow.functions.metrics import weighted_median
+
+    rows, done, w = frames.fit.select("row", "features", "cfa"), [], F.lit(1.0)
+    fitted, weights = [], [0.7, 0.2, 0.2, 0.9]
+    wide = rows
+    for i, depth in enumerate((3, 1, 0, 3)):
+        model = DecisionTreeRegressor(maxDepth=depth, labelCol="cfa", seed=i).fit(
+            frames.fit.where(F.col("row") % 4 != i))
+        fitted.append(M.tree_of(model))
+        wide = model.setPredictionCol(f"p{i}").transform(wide)
+        top, total, beta = 0.8 + i / 10, 100.0 + i, 0.3 + i / 10
+        done.append((fitted[-1], top, total, math.log(beta)))
+        w = M.adaboost_weight(w / total, M.adaboost_loss(
+            F.abs(F.col("cfa") - F.col(f"p{i}")), top), beta)
+    got = wide.select(
+        M._tree_median(fitted, weights).alias("a"),
+        weighted_median([f"p{i}" for i in range(4)], weights).alias("b"),
+        M._weights(done).alias("c"), w.alias("d")).collect()
+    assert len(got) == frames.fit.count()
+    assert all(r.a == r.b and r.c == pytest.approx(r.d, rel=1e-9) for r in got)
+    assert len({r.a for r in got}) > 3
+
+
+def test_boosting_writes_and_keeps_nothing(spark, frames):
+    """A round's rows and weights live in memory and go with it; no round is a checkpoint."""
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    folder = spark.sparkContext.getCheckpointDir()
+    written = sum(len(f) for _, _, f in os.walk(folder.removeprefix("file:")))
+    fitted = M.fit_adaboost(frames.fit, rounds=11)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+    assert sum(len(f) for _, _, f in os.walk(folder.removeprefix("file:"))) == written
+    plan = fitted.predict(frames.test)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "array_sort" not in plan
